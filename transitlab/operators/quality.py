@@ -23,15 +23,18 @@ def _present(df: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
-def _within(col: str, bound: float) -> Column:
+def _within(df: DataFrame, col: str, bound: float) -> Column:
     # NaN is rejected explicitly (Spark orders NaN above every number; the check must not depend on that).
+    if col not in df.columns:
+        return F.lit(True)  # absence already fails the required-attribute check
     c = F.col(col)
     return c.isNull() | (~F.isnan(c) & c.between(-bound, bound))
 
 
 def vehicle_is_valid(df: DataFrame) -> Column:
     """F1 as a boolean column: required present, coordinates in range (bounds allowed), speed null or >= 0."""
-    cond = _present(df, VEHICLE_REQUIRED) & _within("latitude", LAT_BOUND) & _within("longitude", LON_BOUND)
+    cond = _present(df, VEHICLE_REQUIRED) & _within(df, "latitude", LAT_BOUND) \
+        & _within(df, "longitude", LON_BOUND)
     if "speed" in df.columns:
         cond = cond & (F.col("speed").isNull() | ~(F.col("speed") < 0))
     return cond
