@@ -80,3 +80,24 @@ def test_clock_text_to_seconds(spark):
                                "t string")
     got = [r[0] for r in df.select(clock_to_seconds("t")).collect()]
     assert got == [90600, 28800, 0, 0, 0, 3723, 0]
+
+
+def test_timetable_merge_equals_schedule_merge_with_repeated_keys(spark):
+    # dimensions that repeat keys (not allowed by the format, but must not change the answer)
+    st = spark.createDataFrame([("t1", "s1", "08:00:00", "08:00:00", 2), ("t1", "s1", "07:00:00", "07:00:00", 2),
+                                ("t1", "s2", "09:00:00", "09:00:00", 3), ("t9", "s1", "10:00:00", "10:00:00", 1)],
+                               "trip_id string, stop_id string, arrival_time string, departure_time string, stop_sequence int")
+    trips = spark.createDataFrame([("t1", "r2", "x", "h"), ("t1", "r1", "x", "h")],
+                                  "trip_id string, route_id string, service_id string, trip_headsign string")
+    routes = spark.createDataFrame([("r1", "B", "Bee", 3), ("r1", "A", "Zed", 3), ("r2", "C", "Cee", 3)],
+                                   "route_id string, route_short_name string, route_long_name string, route_type int")
+    stops = spark.createDataFrame([("s1", "Main", 1.0, 2.0), ("s1", "Main", 0.5, 2.0)],
+                                  "stop_id string, stop_name string, stop_lat double, stop_lon double")
+    ups = spark.createDataFrame([("t1", "s1", 60), ("t1", "s2", 0), ("t9", "s1", 1), ("t7", "s7", 2)],
+                                "trip_id string, stop_id string, arrival_delay int")
+    a = schedule.merge_realtime_with_schedule(ups, schedule.schedule_without_calendar(st, trips, routes, stops))
+    b = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops)
+    assert a.columns == b.columns
+    assert sorted(a.collect()) == sorted(b.collect())
+    r = {x.stop_id + x.trip_id: x for x in b.collect()}["s1t1"]
+    assert (r.arrival_time, r.route_id, r.route_short_name, r.stop_lat) == ("07:00:00", "r1", "A", 0.5)

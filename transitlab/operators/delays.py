@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefuncs import hour_of_day
-from .schedule import merge_realtime_with_schedule
+from .schedule import merge_realtime_with_schedule, merge_realtime_with_timetable
 
 # Fixed values: |delay| <= 5 minutes counts as on time; histograms have 50 equal-width bins.
 ON_TIME_MINUTES = 5.0
@@ -32,6 +32,12 @@ def calculate_delays(updates: DataFrame, schedule: DataFrame) -> DataFrame:
     return merge_realtime_with_schedule(calculate_delay_from_trip_updates(updates), schedule)
 
 
+def calculate_delays_from_timetable(updates: DataFrame, stop_times: DataFrame, trips: DataFrame,
+                                    routes: DataFrame, stops: DataFrame) -> DataFrame:
+    """A5 from the timetable tables (schedule reduced before the dimension joins)."""
+    return merge_realtime_with_timetable(calculate_delay_from_trip_updates(updates), stop_times, trips, routes, stops)
+
+
 def _median(col: str, approx: bool) -> Column:
     # Exact median: Spark's percentile keeps a value -> frequency map per group (partial aggregation
     # included), so memory follows the number of distinct delays, not rows. ``approx`` switches to the

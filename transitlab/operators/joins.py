@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check runs ``limit(max_rows + 1).count()``, which stops reading once the bound is exceeded,
-    so it costs at most ``max_rows`` rows however large the table is. Beyond the bound the planner
-    and AQE choose the join (sort-merge, or broadcast if run-time statistics allow).
+    so it costs at most ``max_rows`` rows however large the table is. ``bound_by`` names a cheaper frame
+    with at least as many rows (the input of an aggregate, say), so the aggregate is not run twice.
+    Beyond the bound the planner and AQE choose the join (sort-merge, or broadcast if run-time
+    statistics allow).
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -88,11 +88,7 @@ def merge_realtime_with_schedule(updates: DataFrame, schedule: DataFrame, includ
     """
     if not include_schedule_info:
         return updates
-    sched = first_schedule_row(schedule)
-    renamed = [F.col(c).alias(c + SCHEDULE_SUFFIX) if c in updates.columns and c not in ("trip_id", "stop_id")
-               else F.col(c) for c in sched.columns]
-    return updates.join(sched.select(*renamed), ["trip_id", "stop_id"], "left") \
-        .select(*updates.columns, *[c for c in sched.select(*renamed).columns if c not in ("trip_id", "stop_id")])
+    return _attach(updates, first_schedule_row(schedule))
 
 
 def trip_service_dates(trips: DataFrame, calendar_dates: DataFrame, active_only: bool = False,
@@ -100,3 +96,45 @@ def trip_service_dates(trips: DataFrame, calendar_dates: DataFrame, active_only:
     """J4 on its own: every trip with each date its service runs (trips without a calendar keep one row)."""
     return expand_service_dates(trips.select(*_cols(trips, TRIP_COLUMNS)), calendar_dates, active_only,
                                 broadcast_max_rows)
+
+
+def first_timetable_rows(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame,
+                         broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``first_schedule_row(schedule_without_calendar(...))`` without building the full schedule.
+
+    Route attributes depend only on trip_id and stop attributes only on stop_id, so the smallest
+    (stop_sequence, arrival_time, route..., stop...) tuple of a (trip_id, stop_id) group is the smallest
+    (stop_sequence, arrival_time) of its stop times, plus the smallest route tuple of the trip, plus the
+    smallest stop tuple of the stop -- also when a dimension repeats a key. Reducing first means the
+    dimension lookups run on one row per key, after the shuffle, instead of on every stop time.
+    """
+    st = stop_times.groupBy("trip_id", "stop_id") \
+        .agg(F.min(F.struct("stop_sequence", "arrival_time")).alias("_t"))
+    rt = routes.select(*_cols(routes, ("route_id", "route_short_name", "route_long_name")))
+    tr = trips.select("trip_id", "route_id").join(bounded_broadcast(rt, broadcast_max_rows), "route_id", "left") \
+        .groupBy("trip_id").agg(F.min(F.struct("route_id", "route_short_name", "route_long_name")).alias("_r"))
+    sp = stops.groupBy("stop_id").agg(F.min(F.struct("stop_name", "stop_lat", "stop_lon")).alias("_s"))
+    # An aggregate has no more rows than its input: bound the small sides by their inputs.
+    out = st.join(bounded_broadcast(tr, broadcast_max_rows, bound_by=trips.select("trip_id")), "trip_id", "left") \
+        .join(bounded_broadcast(sp, broadcast_max_rows, bound_by=stops.select("stop_id")), "stop_id", "left")
+    return out.select("trip_id", "stop_id", "_t.stop_sequence", "_t.arrival_time", "_r.route_id",
+                      "_r.route_short_name", "_r.route_long_name", "_s.stop_name", "_s.stop_lat", "_s.stop_lon")
+
+
+def merge_realtime_with_timetable(updates: DataFrame, stop_times: DataFrame, trips: DataFrame,
+                                  routes: DataFrame, stops: DataFrame, include_schedule_info: bool = True,
+                                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """J6 straight from the timetable tables: same result as ``merge_realtime_with_schedule`` on the
+    J1-J3 schedule, with the schedule reduced before any dimension join."""
+    if not include_schedule_info:
+        return updates
+    sched = first_timetable_rows(stop_times, trips, routes, stops, broadcast_max_rows)
+    return _attach(updates, sched)
+
+
+def _attach(updates: DataFrame, sched: DataFrame) -> DataFrame:
+    renamed = [F.col(c).alias(c + SCHEDULE_SUFFIX) if c in updates.columns and c not in ("trip_id", "stop_id")
+               else F.col(c) for c in sched.columns]
+    right = sched.select(*renamed)
+    return updates.join(right, ["trip_id", "stop_id"], "left") \
+        .select(*updates.columns, *[c for c in right.columns if c not in ("trip_id", "stop_id")])

@@ -45,9 +45,13 @@ def _master(spark, sf):
     return schedule.expand_service_dates(_schedule3(spark, sf), _v(spark, sf, "calendar_dates"))
 
 
+def _timetable(spark, sf):
+    return [_v(spark, sf, n) for n in ("stop_times", "trips", "routes", "stops")]
+
+
 def _sched_delays(spark, sf):
     """A5 on the lineitem-derived updates."""
-    return delays.calculate_delays(_v(spark, sf, "schedule_updates"), _schedule3(spark, sf))
+    return delays.calculate_delays_from_timetable(_v(spark, sf, "schedule_updates"), *_timetable(spark, sf))
 
 
 def _live_vehicles(spark, sf):
@@ -107,7 +111,7 @@ def q_raw_preview(spark, sf):
 
 
 def q_updates_with_schedule(spark, sf):
-    return schedule.merge_realtime_with_schedule(_v(spark, sf, "schedule_updates"), _schedule3(spark, sf))
+    return schedule.merge_realtime_with_timetable(_v(spark, sf, "schedule_updates"), *_timetable(spark, sf))
 
 
 def q_latest_delay(spark, sf):
