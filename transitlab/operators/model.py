@@ -49,6 +49,22 @@ def prepare_data(df: DataFrame, feature_cols: Sequence[str], target_col: str = "
             marked.filter(F.col("_u") < test_size).drop("_u"))
 
 
+# Execution settings only (the fitted model does not depend on them): more nodes split per pass over
+# the data, and node ids cached with the training rows instead of re-walking each tree every level.
+TREE_EXECUTION = dict(maxMemoryInMB=1024, cacheNodeIds=True)
+
+
+def _fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    # Tree learners pass over the training rows once per level: keep them materialised for the fit
+    # (memory and disk, so a lost executor recomputes its blocks instead of failing the fit).
+    from pyspark import StorageLevel
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(train)
+    finally:
+        train.unpersist()
+
+
 def _pipeline(feature_cols: Sequence[str], target_col: str, regressor) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="error")
     regressor.setFeaturesCol("features").setLabelCol(target_col).setPredictionCol("prediction")
@@ -59,16 +75,17 @@ def train_random_forest(train: DataFrame, feature_cols: Sequence[str], target_co
                         n_estimators: int = 100, max_depth: int = 20, seed: int = 42) -> PipelineModel:
     """M2: random forest; every feature is considered at every split."""
     rf = RandomForestRegressor(numTrees=n_estimators, maxDepth=max_depth, seed=seed,
-                               featureSubsetStrategy="all")
-    return _pipeline(feature_cols, target_col, rf).fit(train)
+                               featureSubsetStrategy="all", **TREE_EXECUTION)
+    return _fit(_pipeline(feature_cols, target_col, rf), train)
 
 
 def train_boosted_trees(train: DataFrame, feature_cols: Sequence[str], target_col: str = "delay_minutes",
                         n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 6,
                         seed: int = 42) -> PipelineModel:
     """M3: gradient-boosted trees (the same model family as the boosted-tree option; other internals)."""
-    gbt = GBTRegressor(maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, seed=seed)
-    return _pipeline(feature_cols, target_col, gbt).fit(train)
+    gbt = GBTRegressor(maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, seed=seed,
+                       **TREE_EXECUTION)
+    return _fit(_pipeline(feature_cols, target_col, gbt), train)
 
 
 def regression_metrics(pred: DataFrame, label_col: str = "delay_minutes", prediction_col: str = "prediction"

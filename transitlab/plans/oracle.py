@@ -326,3 +326,7 @@ ORACLE["regression_metrics"] = W("trip_updates") + (
     "round(avg(CAST(abs(y - p) <= 1 AS DOUBLE)) * 100.0, 6) AS within_1min, "
     "round(avg(CAST(abs(y - p) <= 2 AS DOUBLE)) * 100.0, 6) AS within_2min, "
     "round(avg(CAST(abs(y - p) <= 5 AS DOUBLE)) * 100.0, 6) AS within_5min, count(*) AS test_samples FROM p")
+
+ORACLE["ingest_vehicles_stream"] = W("vehicle_positions") + (
+    f"\nSELECT DISTINCT vehicle_id, timestamp, feed_timestamp, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date "
+    f"FROM vehicle_positions WHERE {VALID_V}")
