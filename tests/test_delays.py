@@ -58,3 +58,22 @@ def test_hourly_trend_and_schedule_summary(spark):
     assert [(r.hour, r.avg_delay) for r in delays.hourly_trend(df).collect()] == [(8, 2.0), (9, 5.0)]
     s = delays.schedule_summary(df).first()
     assert (s.total_records, s.unique_routes, s.unique_stops) == (3, 1, 2)
+
+
+def test_schedule_summary_without_fan_out_equals_summary_of_fan_out(spark):
+    from transitlab.operators import schedule
+    st = spark.createDataFrame([("t1", "s1", "08:00:00", "08:00:00", 1), ("t1", "s2", "09:00:00", "09:00:00", 2),
+                                ("t2", "s1", "10:00:00", "10:00:00", 1), ("t3", "s3", "11:00:00", "11:00:00", 1)],
+                               "trip_id string, stop_id string, arrival_time string, departure_time string, stop_sequence int")
+    trips = spark.createDataFrame([("t1", "r1", "a", "x"), ("t2", "r2", "b", "x"), ("t3", None, "zz", "x")],
+                                  "trip_id string, route_id string, service_id string, trip_headsign string")
+    routes = spark.createDataFrame([("r1", "1", "One", 3), ("r1", "1b", "One b", 3)],
+                                   "route_id string, route_short_name string, route_long_name string, route_type int")
+    stops = spark.createDataFrame([("s1", "S", 1.0, 1.0)], "stop_id string, stop_name string, stop_lat double, stop_lon double")
+    cal = spark.createDataFrame([("a", "20240101", 1), ("a", "20240102", 2), ("a", "20240103", 1), ("b", "20240101", 1)],
+                                "service_id string, date string, exception_type int")
+    for active in (False, True):
+        full = delays.schedule_summary(schedule.build_master_schedule(st, trips, routes, stops, cal, active)).first()
+        fast = delays.schedule_summary_from_timetable(st, trips, routes, stops, cal, active).first()
+        assert full == fast
+    assert full.total_records == 2 * 2 * 2 + 1 + 1   # t1 rows x 2 route rows x 2 active dates, t2, t3

@@ -124,6 +124,29 @@ def hourly_trend(df: DataFrame, col: str = "delay_minutes", ts_col: str = "feed_
         .agg(F.avg(col).alias("avg_delay")).orderBy("hour")
 
 
+def schedule_summary_from_timetable(stop_times: DataFrame, trips: DataFrame, routes: DataFrame,
+                                    stops: DataFrame, calendar_dates: DataFrame | None = None,
+                                    active_only: bool = False) -> DataFrame:
+    """A18 of the master schedule (J5) without materialising its calendar fan-out.
+
+    Each J1-J3 row stands for max(1, number of service dates of its service) master rows; distinct routes
+    and stops are the same before and after the fan-out. So the summary costs one pass over the J1-J3
+    rows plus a per-service count of the calendar, instead of a pass over rows x dates.
+    """
+    from .joins import bounded_broadcast
+    from .schedule import schedule_without_calendar
+    s3 = schedule_without_calendar(stop_times, trips, routes, stops).select("route_id", "stop_id", "service_id")
+    weight = F.lit(1).cast("bigint")
+    if calendar_dates is not None:
+        cal = calendar_dates if not active_only else calendar_dates.filter(F.col("exception_type") != 2)
+        per_service = cal.groupBy("service_id").agg(F.count(F.lit(1)).alias("_dates"))
+        s3 = s3.join(bounded_broadcast(per_service, bound_by=calendar_dates.select("service_id")), "service_id", "left")
+        weight = F.coalesce(F.col("_dates"), weight)
+    return s3.agg(F.sum(weight).cast("bigint").alias("total_records"),
+                  F.count_distinct("route_id").alias("unique_routes"),
+                  F.count_distinct("stop_id").alias("unique_stops"))
+
+
 def schedule_summary(schedule: DataFrame) -> DataFrame:
     """Schedule rows, distinct routes and distinct stops (nulls not counted)."""
     return schedule.agg(F.count(F.lit(1)).alias("total_records"),

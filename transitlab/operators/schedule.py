@@ -50,13 +50,18 @@ def expand_service_dates(schedule: DataFrame, calendar_dates: DataFrame | None,
 
     ``exception_type`` is not looked at unless ``active_only`` (then removed dates, type 2, are dropped).
     """
-    if calendar_dates is None or calendar_dates.isEmpty():
+    if calendar_dates is None:
+        return schedule
+    # one bounded count decides both "is there a calendar" and "may it be broadcast"
+    n = calendar_dates.limit(broadcast_max_rows + 1).count()
+    if n == 0:
         return schedule
     cal = calendar_with_weekday(calendar_dates)
     if active_only:
         cal = cal.filter(F.col("exception_type") != 2)
     cal = cal.select(*CALENDAR_COLUMNS)
-    return schedule.join(bounded_broadcast(cal, broadcast_max_rows), "service_id", "left")
+    cal = F.broadcast(cal) if n <= broadcast_max_rows else cal
+    return schedule.join(cal, "service_id", "left")
 
 
 def build_master_schedule(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame,

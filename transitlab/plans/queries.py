@@ -284,7 +284,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_histogram": lambda s, sf: delays.delay_histogram(
         delays.calculate_delay_from_trip_updates(_v(s, sf, "schedule_updates"))),
     "hourly_trend": lambda s, sf: delays.hourly_trend(_tu_delays(s, sf)),
-    "schedule_summary": lambda s, sf: delays.schedule_summary(_master(s, sf)),
+    "schedule_summary": lambda s, sf: delays.schedule_summary_from_timetable(
+        *_timetable(s, sf), _v(s, sf, "calendar_dates")),
     "kpis": q_kpis,
     "heatmap_long": lambda s, sf: reports.heatmap_long(_tu_delays(s, sf)),
     "heatmap_pivot": lambda s, sf: reports.heatmap_pivot(_tu_delays(s, sf)),

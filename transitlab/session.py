@@ -22,6 +22,23 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of TB, ~1000 executors): start with many shuffle partitions and let
+# AQE coalesce them to ~256 MB; scan splits of 256 MB; split skewed join partitions above 5x the median.
+# Dimension broadcasts are decided by ``operators.joins.bounded_broadcast``, not by size estimates.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_spark(app: str = "transitlab", master: str | None = None, shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
