@@ -84,10 +84,10 @@ FEATS = ["hour_of_day", "day_of_week", "is_rush_hour", "route_id_encoded"]
 
 def test_split_is_deterministic_and_about_80_20(spark):
     df = _matrix(spark, 1000)
-    train, test = model.prepare_data(df, FEATS)
+    train, test = model.prepare_data(df, FEATS, exact=False)
     n_train, n_test = train.count(), test.count()
     assert n_train + n_test == 1000 and 150 <= n_test <= 250
-    again = model.prepare_data(df, FEATS)[1]
+    again = model.prepare_data(df, FEATS, exact=False)[1]
     assert sorted(r.id for r in test.collect()) == sorted(r.id for r in again.collect())
     with_null = df.union(spark.createDataFrame([(9999, None, 1, 0, 1, 1.0)], df.schema))
     assert sum(x.count() for x in model.prepare_data(with_null, FEATS)) == 1000
@@ -131,3 +131,23 @@ def test_boosted_trees_and_unknown_type(spark):
     assert out["metrics"]["test_samples"] > 0
     with pytest.raises(ValueError):
         model.train_and_evaluate(spark, df, FEATS, model_type="svm")
+
+
+def test_exact_split_sizes_and_disjoint(spark):
+    for n in (100, 7, 1):
+        df = _matrix(spark, n)
+        train, test = model.prepare_data(df, FEATS, exact=True)
+        tr, te = [r.id for r in train.collect()], [r.id for r in test.collect()]
+        assert len(te) == __import__("math").ceil(0.2 * n) and len(tr) + len(te) == n   # 100 -> 80/20 exactly
+        assert not set(tr) & set(te)
+
+
+def test_exact_split_with_many_identical_rows(spark):
+    # 90 copies of one row and 10 distinct rows: the tie at the threshold is split by copy counts
+    rows = [(1, 2, 3, 4, 5.0)] * 90 + [(i, 0, 0, 0, float(i)) for i in range(10, 20)]
+    df = spark.createDataFrame(rows, "hour_of_day int, day_of_week int, is_rush_hour int, route_id_encoded int, "
+                                     "delay_minutes double")
+    train, test = model.prepare_data(df, FEATS, exact=True)
+    assert test.count() == 20 and train.count() == 80
+    both = sorted(train.union(test).collect())
+    assert both == sorted(df.collect())

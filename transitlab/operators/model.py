@@ -35,20 +35,93 @@ def clean_training_rows(df: DataFrame, feature_cols: Sequence[str], target_col:
 
 
 def prepare_data(df: DataFrame, feature_cols: Sequence[str], target_col: str = "delay_minutes",
-                 test_size: float = 0.2, seed: int = 42, key_cols: Sequence[str] | None = None
-                 ) -> tuple[DataFrame, DataFrame]:
-    """M1: clean, then split by hash into (train, test) with about ``test_size`` of rows in test.
-
-    The split is approximate in size (a hash, not a shuffle-and-cut) but deterministic. ``key_cols``
-    (default: every column) decides which rows travel together.
+                 test_size: float = 0.2, seed: int = 42, key_cols: Sequence[str] | None = None,
+                 exact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """M1: clean, then split into (train, test).
+
+    Default (``exact=True``): exactly ``ceil(test_size * n)`` rows in test, the rows with the smallest hashes
+    (see ``exact_hash_split``; five passes over one hash column). ``exact=False``: each row goes to test when
+    its hash fraction is below ``test_size`` -- one pass, no shuffle, about ``test_size`` of the rows. ``key_cols`` (default: every column)
+    decides which rows hash together.
     """
     clean = clean_training_rows(df, feature_cols, target_col)
+    if exact:
+        return exact_hash_split(clean, test_size, seed, key_cols)
     u = split_fraction(list(key_cols or clean.columns), seed)
     marked = clean.withColumn("_u", u)
     return (marked.filter(F.col("_u") >= test_size).drop("_u"),
             marked.filter(F.col("_u") < test_size).drop("_u"))
 
 
+_RADIX_BITS, _ROUNDS = 16, 4
+
+
+def exact_hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
+                     key_cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Exactly ``ceil(test_size * n)`` rows to test: those with the smallest 64-bit row hash.
+
+    The k-th smallest hash is found by a radix search: four passes, each counting rows per 16-bit digit
+    under the digits fixed so far (a ``groupBy`` with at most 65,536 groups; those counts are all the
+    driver sees). Rows below that hash go to test, rows above to train. Rows that share the threshold hash
+    are identical rows (or, rarely, a 64-bit collision); they are reduced to (row, copies) and the
+    remaining test places are handed out as copy counts, so no tied group is ever gathered in one task.
+    """
+    from pyspark.sql import Window
+    cols = list(df.columns)
+    hashed = df.withColumn("_k", F.xxhash64(*[F.col(c) for c in (key_cols or cols)], F.lit(seed)))
+    k, prefix, rank = _radix_rank(hashed, test_size)
+    if k is None:                                   # every row is a test row
+        return hashed.limit(0).drop("_k"), hashed.drop("_k")
+    if k == 0:
+        return hashed.drop("_k"), hashed.limit(0).drop("_k")
+    # the radix search ran on the sign-flipped hash; the same threshold on the signed hash is U - 2^63
+    t = prefix - (1 << 63)
+    below, above = hashed.filter(F.col("_k") < t), hashed.filter(F.col("_k") > t)
+    # rank = how many rows of the tie group still belong to test (1 <= rank <= size of the group)
+    tied = hashed.filter(F.col("_k") == t).groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    w = Window.partitionBy(F.lit(t)).orderBy(*cols)              # the distinct tied rows: one or a few
+    before = F.sum("_m").over(w) - F.col("_m")
+    tied = tied.withColumn("_take", F.least(F.greatest(F.lit(rank) - before, F.lit(0)), F.col("_m")))
+
+    def copies(n):
+        return F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias("_x")
+
+    test = below.select(*cols).unionByName(tied.select(*cols, copies(F.col("_take"))).select(*cols))
+    train = above.select(*cols).unionByName(tied.select(*cols, copies(F.col("_m") - F.col("_take"))).select(*cols))
+    return train, test
+
+
+def _radix_rank(hashed: DataFrame, test_size: float):
+    """Number of test rows ``k``, the unsigned 64-bit value U of the k-th smallest sign-flipped hash, and the
+    rank of the k-th row inside the group sharing that value. ``k`` is None when every row is a test row."""
+    import math
+    from pyspark import StorageLevel
+    # flip the sign bit so that unsigned digit order equals the signed order of the hash
+    keys = hashed.select(F.col("_k").bitwiseXOR(F.lit(-(1 << 63))).alias("_h")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)   # one long per row, for the count and four passes
+    try:
+        n = keys.count()
+        k = math.ceil(test_size * n)
+        if k >= n:
+            return None, 0, 0
+        if k <= 0:
+            return 0, 0, 0
+        prefix, rank = 0, k
+        for r in range(_ROUNDS):
+            shift = 64 - _RADIX_BITS * (r + 1)
+            digit = F.shiftrightunsigned("_h", shift).bitwiseAND(F.lit((1 << _RADIX_BITS) - 1))
+            part = keys if r == 0 else keys.filter(F.shiftrightunsigned("_h", shift + _RADIX_BITS) == F.lit(prefix))
+            counts = sorted((row[0], row[1]) for row in part.groupBy(digit.alias("d")).count().collect())
+            for d, c in counts:
+                if rank <= c:
+                    prefix = (prefix << _RADIX_BITS) | d
+                    break
+                rank -= c
+        return k, prefix, rank
+    finally:
+        keys.unpersist()
+
+
 # Execution settings only (the fitted model does not depend on them): more nodes split per pass over
 # the data, and node ids cached with the training rows instead of re-walking each tree every level.
 TREE_EXECUTION = dict(maxMemoryInMB=1024, cacheNodeIds=True)
