@@ -85,11 +85,14 @@ def q_flatten_trip_updates(spark, sf):
 
 
 def q_archive_day(spark, sf):
-    vp = quality.clean_vehicles(_v(spark, sf, "vehicle_positions"))
-    root = staging.staging_path(spark, sf, "archive")
-    archive.write_archive(vp, root, "vehicles", "feed_timestamp", batch_id=0)
+    """S10 -> S11/S12: cleaned positions archived by snapshot day; the newest day read back (pruned)."""
+    raw = _v(spark, sf, "vehicle_positions")
+    vp = quality.clean_vehicles(raw)
+    root = staging.stage_vehicle_archive(spark, sf, vp)
     schema = T.StructType([T.StructField(c, vp.schema[c].dataType) for c in vp.columns])
-    latest_day = vp.agg(F.date_format(F.max("feed_timestamp"), "yyyyMMdd")).first()[0]
+    # de-duplication keeps a row of every key, so the newest valid snapshot is the newest archived one
+    latest_day = quality.validate_vehicle_positions(raw) \
+        .agg(F.date_format(F.max("feed_timestamp"), "yyyyMMdd")).first()[0]
     return archive.read_archive(spark, root, schema, "vehicles", latest_day) \
         .select(*vp.columns, "archive_key", "date")
 
