@@ -113,3 +113,14 @@ def test_route_ranking_and_display(spark):
     shown = reports.route_ranking_display(reports.route_ranking(df)).collect()
     assert shown[-1]["Avg Delay"] == "0.12 min" and shown[-1]["Route"] == "3"   # half-even like the reference
     assert len(full) == 3
+
+
+def test_dashboard_bundle_has_expected_columns(spark):
+    vp = spark.createDataFrame([("v1", "r1", 53.1, -113.1, 5.0, ts("2024-01-01T10:00:00"), 1)], VP)
+    data = live.load_dashboard_data(vp, _updates(spark), as_of="2024-01-01T10:05:00")
+    assert data["data_source"] == "live"
+    assert set(data["vehicles"].columns) == {"vehicle_id", "route_id", "latitude", "longitude", "speed", "timestamp"}
+    assert data["trip_updates"].columns == ["route_id", "trip_id", "vehicle_id", "delay_minutes", "feed_timestamp"]
+    assert data["vehicles"].count() == 1
+    empty = live.load_dashboard_data(vp.limit(0), _updates(spark).limit(0))
+    assert empty["vehicles"].count() == 0 and empty["trip_updates"].count() == 0   # no fallback to sample data
