@@ -37,7 +37,7 @@ def _signature(sf_dir: str, tables: tuple[str, ...]) -> tuple:
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name, _signature(sf_dir, tables))
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, name, _signature(sf_dir, tables))
     if key not in _STAGED:
         _STAGED[key] = build()
     return _STAGED[key]

@@ -60,20 +60,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (tests on a laptop) is a folder of our own chosen.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - unset
+        configured = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset
-            configured = None
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="transitlab-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        if sc is None:
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        configured = tempfile.mkdtemp(prefix="transitlab-ckpt-")  # tests on one machine only
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
