@@ -1,0 +1,27 @@
+import contextlib
+import io
+
+from transitlab.operators.joins import bounded_broadcast
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_broadcast_only_within_the_bound(spark):
+    fact = spark.range(1000).withColumnRenamed("id", "k")
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints may broadcast
+    try:
+        small = _plan(fact.join(bounded_broadcast(dim, max_rows=50), "k"))
+        assert "BroadcastHashJoin" in small
+        large = _plan(fact.join(bounded_broadcast(dim, max_rows=49), "k"))
+        assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+        by_input = _plan(fact.join(bounded_broadcast(dim.groupBy("k").count(), max_rows=49, bound_by=dim), "k"))
+        assert "BroadcastHashJoin" not in by_input
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -130,3 +130,16 @@ def test_training_table_scan(spark, tmp_dir):
     df = training_csv.read_training_table(spark, f"{tmp_dir}/train.csv")
     assert dict(df.dtypes) == {"trip_id": "string", "hour_of_day": "int", "route_id_encoded": "int", "delay_minutes": "double"}
     assert [r.hour_of_day for r in df.collect()] == [8, None]
+
+
+def test_archive_as_a_stream(spark, tmp_dir):
+    df = spark.createDataFrame([("v1", ts("2024-01-01T10:00:00")), ("v2", ts("2024-01-02T11:30:05"))],
+                               "vehicle_id string, feed_timestamp timestamp")
+    root = f"{tmp_dir}/archive_s"
+    archive.write_archive(df, root, "vehicles", batch_id=1)
+    s = archive.read_archive_stream(spark, root, df.schema, "vehicles")
+    q = s.writeStream.format("memory").queryName("archive_stream_test") \
+        .option("checkpointLocation", f"{tmp_dir}/ck_arch").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = sorted((r.vehicle_id, r.date) for r in spark.sql("SELECT * FROM archive_stream_test").collect())
+    assert got == [("v1", "20240101"), ("v2", "20240102")]
