@@ -127,8 +127,9 @@ def test_regression_metrics_identity(spark):
 
 def test_boosted_trees_and_unknown_type(spark):
     df = _matrix(spark, 200)
-    out = model.train_and_evaluate(spark, df, FEATS, model_type="xgboost", n_estimators=5)
-    assert out["metrics"]["test_samples"] > 0
+    out = model.train_and_evaluate(spark, df, FEATS, model_type="boosted_trees", n_estimators=5)
+    assert out["metrics"]["test_samples"] == 40                     # exact 20 % of 200
+    assert model.train_and_evaluate(spark, df, FEATS, model_type="xgboost", n_estimators=2)["metrics"]
     with pytest.raises(ValueError):
         model.train_and_evaluate(spark, df, FEATS, model_type="svm")
 

@@ -135,14 +135,15 @@ def schedule_summary_from_timetable(stop_times: DataFrame, trips: DataFrame, rou
     """
     from .joins import bounded_broadcast
     from .schedule import schedule_without_calendar
-    s3 = schedule_without_calendar(stop_times, trips, routes, stops).select("route_id", "stop_id", "service_id")
+    rows = schedule_without_calendar(stop_times, trips, routes, stops).select("route_id", "stop_id", "service_id")
     weight = F.lit(1).cast("bigint")
     if calendar_dates is not None:
         cal = calendar_dates if not active_only else calendar_dates.filter(F.col("exception_type") != 2)
         per_service = cal.groupBy("service_id").agg(F.count(F.lit(1)).alias("_dates"))
-        s3 = s3.join(bounded_broadcast(per_service, bound_by=calendar_dates.select("service_id")), "service_id", "left")
+        rows = rows.join(bounded_broadcast(per_service, bound_by=calendar_dates.select("service_id")), "service_id",
+                         "left")
         weight = F.coalesce(F.col("_dates"), weight)
-    return s3.agg(F.sum(weight).cast("bigint").alias("total_records"),
+    return rows.agg(F.sum(weight).cast("bigint").alias("total_records"),
                   F.count_distinct("route_id").alias("unique_routes"),
                   F.count_distinct("stop_id").alias("unique_stops"))
 

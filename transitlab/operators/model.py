@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 RANDOM_FOREST = dict(numTrees=100, maxDepth=20, seed=42)
 BOOSTED_TREES = dict(maxIter=100, stepSize=0.1, maxDepth=6, seed=42)
 WITHIN_MINUTES = (1, 2, 5)
-MODEL_TYPES = ("random_forest", "xgboost")
+MODEL_TYPES = ("random_forest", "boosted_trees")
+# the boosted-tree option is also accepted under the name callers of the original used for it
+MODEL_TYPE_ALIASES = {"xgboost": "boosted_trees"}
 DEFAULT_MODEL_NAME = "delay_model"
 
 
@@ -239,6 +241,7 @@ def train_and_evaluate(spark: SparkSession, df: DataFrame, feature_cols: Sequenc
                        target_col: str = "delay_minutes", model_type: str = "random_forest",
                        model_dir: str | None = None, **params) -> dict:
     """M9: split -> fit -> metrics -> importances -> save. Unknown model types are an error."""
+    model_type = MODEL_TYPE_ALIASES.get(model_type, model_type)
     if model_type not in MODEL_TYPES:
         raise ValueError(f"Unknown model type: {model_type}")
     train, test = prepare_data(df, feature_cols, target_col)
