@@ -101,3 +101,29 @@ def test_timetable_merge_equals_schedule_merge_with_repeated_keys(spark):
     assert sorted(a.collect()) == sorted(b.collect())
     r = {x.stop_id + x.trip_id: x for x in b.collect()}["s1t1"]
     assert (r.arrival_time, r.route_id, r.route_short_name, r.stop_lat) == ("07:00:00", "r1", "A", 0.5)
+
+
+def _reference_clock(text):
+    # brute-force model of the original parsing: three int() parts, anything failing gives 0
+    if text is None:
+        return 0
+    try:
+        parts = text.split(":")
+        return int(parts[0]) * 3600 + int(parts[1]) * 60 + int(parts[2])
+    except (ValueError, IndexError):
+        return 0
+
+
+def test_clock_text_matches_brute_force_model(spark):
+    from hypothesis import given, settings, strategies as st
+    part = st.text(alphabet="0123456789 +-_.a", min_size=0, max_size=4)
+    clock = st.one_of(st.none(), st.lists(part, min_size=1, max_size=4).map(":".join))
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(clock, min_size=50, max_size=120))
+    def check(texts):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r.i: r.s for r in df.select("i", clock_to_seconds("t").alias("s")).collect()}
+        assert got == {i: _reference_clock(t) for i, t in enumerate(texts)}
+
+    check()

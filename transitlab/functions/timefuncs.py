@@ -16,10 +16,17 @@ def clock_to_seconds(col) -> Column:
     three parts or a part that is not an integer give 0, the same value as midnight.
     """
     parts = F.split(_c(col), ":")
-    h, m, s = (F.get(parts, i).try_cast("bigint") for i in range(3))
+    h, m, s = (_integer_text(F.get(parts, i)) for i in range(3))
     return F.coalesce(h * 3600 + m * 60 + s, F.lit(0).cast("bigint"))
 
 
+def _integer_text(part: Column) -> Column:
+    """Integer text -> BIGINT, null when not an integer. Accepts surrounding spaces, a sign, leading zeros
+    and single underscores between digit groups ('1_0' is 10); rejects decimals, exponents and hex."""
+    grouped = part.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")
+    return F.when(grouped, F.regexp_replace(part, "_", "")).otherwise(part).try_cast("bigint")
+
+
 def parse_service_date(col) -> Column:
     """``yyyyMMdd`` text -> midnight TIMESTAMP of that day (the reference keeps service dates as timestamps).
 
