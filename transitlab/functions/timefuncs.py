@@ -23,7 +23,8 @@ def clock_to_seconds(col) -> Column:
 def _integer_text(part: Column) -> Column:
     """Integer text -> BIGINT, null when not an integer. Accepts surrounding spaces, a sign, leading zeros
     and single underscores between digit groups ('1_0' is 10); rejects decimals, exponents and hex."""
-    grouped = part.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")
+    # the regular expression only runs on the rare parts that contain an underscore (AND short-circuits)
+    grouped = part.contains("_") & part.rlike(r"^\s*[+-]?[0-9]+(_[0-9]+)+\s*$")
     return F.when(grouped, F.regexp_replace(part, "_", "")).otherwise(part).try_cast("bigint")
 
 
