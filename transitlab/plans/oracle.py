@@ -104,15 +104,16 @@ def _stats(valid: str, keys: str, table: str, label: str) -> str:
 
 
 def _histogram(src: str) -> str:
+    lo, hi = "(SELECT min(v) FROM hv)", "(SELECT max(v) FROM hv)"
     return f"""
 , hv AS (SELECT CAST(delay_minutes AS DOUBLE) AS v FROM {src} WHERE delay_minutes IS NOT NULL AND NOT isnan(delay_minutes)),
-hb AS (SELECT min(v) AS lo, max(v) AS hi FROM hv),
-hbin AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((v - lo) / (hi - lo) * CAST(50 AS DOUBLE)) + 1, 50) END
-                AS INTEGER) AS bin FROM hv, hb)
-SELECT bin, round(lo + (bin - 1) * ((hi - lo) / CAST(50 AS DOUBLE)), 6) AS bin_start,
-       round(CASE WHEN bin = 50 THEN hi ELSE lo + bin * ((hi - lo) / CAST(50 AS DOUBLE)) END, 6) AS bin_end,
+hbin AS (SELECT CAST(CASE WHEN {hi} = {lo} THEN 1
+                          ELSE least(floor((v - {lo}) / ({hi} - {lo}) * CAST(50 AS DOUBLE)) + 1, 50) END
+                AS INTEGER) AS bin FROM hv)
+SELECT bin, round({lo} + (bin - 1) * (({hi} - {lo}) / CAST(50 AS DOUBLE)), 6) AS bin_start,
+       round(CASE WHEN bin = 50 THEN {hi} ELSE {lo} + bin * (({hi} - {lo}) / CAST(50 AS DOUBLE)) END, 6) AS bin_end,
        count(*) AS frequency
-FROM hbin, hb GROUP BY bin, lo, hi"""
+FROM hbin GROUP BY bin"""
 
 
 SCHED3_COLS = (f"trip_id, stop_id, arrival_time, departure_time, stop_sequence, route_id, service_id, trip_headsign, "
