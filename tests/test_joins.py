@@ -25,3 +25,31 @@ def test_broadcast_only_within_the_bound(spark):
         assert "BroadcastHashJoin" not in by_input
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_salted_left_join_equals_plain_join_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    from transitlab.operators.joins import hot_keys, salted_left_join
+    # a third of the rows on one key (plus duplicates), some keys without a partner
+    left = spark.range(3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50)).alias("k"),
+                                    (F.col("id") % 5).alias("v"))
+    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    assert [r.k for r in hot_keys(left, ["k"], 0.05).collect()] == [7]
+    want = sorted(left.join(right, "k", "left").collect())
+    got = salted_left_join(left, right, ["k"], fraction=0.05, salts=8)
+    assert sorted(got.select("k", "v", "w").collect()) == want
+
+
+def test_realtime_merge_salted_equals_plain(spark):
+    from transitlab.operators import schedule
+    st = spark.createDataFrame([("t1", "s1", "08:00:00", "08:00:00", 1), ("t2", "s2", "09:00:00", "09:00:00", 2)],
+                               "trip_id string, stop_id string, arrival_time string, departure_time string, stop_sequence int")
+    trips = spark.createDataFrame([("t1", "r1", "a", "x")], "trip_id string, route_id string, service_id string, trip_headsign string")
+    routes = spark.createDataFrame([("r1", "1", "One", 3)], "route_id string, route_short_name string, route_long_name string, route_type int")
+    stops = spark.createDataFrame([("s1", "S", 1.0, 1.0)], "stop_id string, stop_name string, stop_lat double, stop_lon double")
+    ups = spark.createDataFrame([("t1", "s1", i) for i in range(60)] + [("t2", "s2", 1), ("t9", "s9", 2)],
+                                "trip_id string, stop_id string, arrival_delay int")
+    plain = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops)
+    salted = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops, skew_fraction=0.2)
+    assert salted.columns == plain.columns
+    assert sorted(salted.collect()) == sorted(plain.collect())

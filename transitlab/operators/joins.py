@@ -28,3 +28,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 def left_join_dimension(fact: DataFrame, dim: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
                         ) -> DataFrame:
     return fact.join(bounded_broadcast(dim, max_rows), on=on, how="left")
+
+
+def hot_keys(df: DataFrame, keys, fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of the rows of ``df`` (at most ``1 / fraction`` of them).
+
+    One aggregation with map-side combining; the result is small by construction.
+    """
+    total = df.select(F.count(F.lit(1))).scalar()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= total * fraction) \
+        .select(*keys, F.lit(True).alias("_hot"))
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys, fraction: float = 0.01, salts: int = 32
+                     ) -> DataFrame:
+    """Left equi-join that splits hot keys of ``left`` over ``salts`` tasks.
+
+    Rows of a key holding at least ``fraction`` of ``left`` get a salt from a hash of the whole row; the
+    right rows of those keys are repeated once per salt value; every other key keeps salt 0, so only the
+    hot keys pay for the repetition. Same result as ``left.join(right, keys, "left")``. AQE's skew-join
+    split does the same at run time when it is on; this is for sessions or join types where it is not.
+    """
+    keys = list(keys)
+    hot = F.broadcast(hot_keys(left, keys, fraction))       # at most 1 / fraction rows
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    l2 = left.join(hot, keys, "left") \
+        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+    r2 = right.join(hot, keys, "left") \
+        .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                       .otherwise(F.array(F.lit(0))))).drop("_hot")
+    return l2.join(r2, keys + ["_salt"], "left").drop("_salt")

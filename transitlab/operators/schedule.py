@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefuncs import parse_service_date, weekday_monday0
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, salted_left_join
 
 # The columns each timetable table contributes to the master schedule.
 TRIP_COLUMNS = ("trip_id", "route_id", "service_id", "trip_headsign")
@@ -128,18 +128,25 @@ def first_timetable_rows(stop_times: DataFrame, trips: DataFrame, routes: DataFr
 
 def merge_realtime_with_timetable(updates: DataFrame, stop_times: DataFrame, trips: DataFrame,
                                   routes: DataFrame, stops: DataFrame, include_schedule_info: bool = True,
-                                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                                  skew_fraction: float | None = None) -> DataFrame:
     """J6 straight from the timetable tables: same result as ``merge_realtime_with_schedule`` on the
-    J1-J3 schedule, with the schedule reduced before any dimension join."""
+    J1-J3 schedule, with the schedule reduced before any dimension join.
+
+    ``skew_fraction`` (e.g. 0.01) salts (trip, stop) keys that hold at least that share of the updates
+    (``joins.salted_left_join``); by default skewed partitions are left to AQE's skew-join split.
+    """
     if not include_schedule_info:
         return updates
     sched = first_timetable_rows(stop_times, trips, routes, stops, broadcast_max_rows)
-    return _attach(updates, sched)
+    return _attach(updates, sched, skew_fraction)
 
 
-def _attach(updates: DataFrame, sched: DataFrame) -> DataFrame:
+def _attach(updates: DataFrame, sched: DataFrame, skew_fraction: float | None = None) -> DataFrame:
     renamed = [F.col(c).alias(c + SCHEDULE_SUFFIX) if c in updates.columns and c not in ("trip_id", "stop_id")
                else F.col(c) for c in sched.columns]
     right = sched.select(*renamed)
-    return updates.join(right, ["trip_id", "stop_id"], "left") \
-        .select(*updates.columns, *[c for c in right.columns if c not in ("trip_id", "stop_id")])
+    keys = ["trip_id", "stop_id"]
+    joined = salted_left_join(updates, right, keys, skew_fraction) if skew_fraction \
+        else updates.join(right, keys, "left")
+    return joined.select(*updates.columns, *[c for c in right.columns if c not in keys])
