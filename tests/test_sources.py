@@ -143,3 +143,14 @@ def test_archive_as_a_stream(spark, tmp_dir):
     q.awaitTermination(120)
     got = sorted((r.vehicle_id, r.date) for r in spark.sql("SELECT * FROM archive_stream_test").collect())
     assert got == [("v1", "20240101"), ("v2", "20240102")]
+
+
+def test_master_schedule_from_text_tables(spark, tmp_dir):
+    _write(f"{tmp_dir}/routes.txt", "route_id,route_short_name,route_long_name,route_type\nr1,1,One,3\n")
+    _write(f"{tmp_dir}/trips.txt", "route_id,service_id,trip_id,trip_headsign\nr1,wk,t1,North\n")
+    _write(f"{tmp_dir}/stops.txt", "stop_id,stop_name,stop_lat,stop_lon\ns1,Main,53.5,-113.5\n")
+    _write(f"{tmp_dir}/stop_times.txt", "trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt1,08:00:00,08:00:00,s1,1\n")
+    _write(f"{tmp_dir}/calendar_dates.txt", "service_id,date,exception_type\nwk,20240101,1\nwk,20240102,1\n")
+    ms = gtfs_static.load_master_schedule(spark, tmp_dir).orderBy("date").collect()
+    assert [(r.trip_id, r.route_short_name, r.stop_name, r.day_of_week) for r in ms] == \
+        [("t1", "1", "Main", 0), ("t1", "1", "Main", 1)]

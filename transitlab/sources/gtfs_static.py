@@ -73,3 +73,11 @@ def write_timetable_table(df: DataFrame, root: str, name: str) -> str:
     df.select(*[f.name for f in TIMETABLE[name].fields if f.name in df.columns]) \
         .write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def load_master_schedule(spark: SparkSession, root: str, active_only: bool = False) -> DataFrame:
+    """S6 then J5: read the timetable folder and build the master schedule in one call."""
+    from ..operators.schedule import build_master_schedule
+    t = load_timetable(spark, root)
+    return build_master_schedule(t["stop_times"], t["trips"], t["routes"], t["stops"], t["calendar_dates"],
+                                 active_only=active_only)
