@@ -49,7 +49,9 @@ def _tag(sf_dir: str) -> str:
 
 
 def staging_path(spark: SparkSession, sf_dir: str, *parts: str) -> str:
-    return shared_dir(spark, "staging", _tag(sf_dir), *parts)
+    # one folder per application, so two jobs staging the same inputs never overwrite each other's files
+    app = spark.conf.get("spark.app.id", "app")
+    return shared_dir(spark, "staging", app, _tag(sf_dir), *parts)
 
 
 def stage_timetable_table(spark: SparkSession, sf_dir: str, name: str) -> str:
