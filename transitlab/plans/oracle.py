@@ -332,6 +332,9 @@ ORACLE["ingest_vehicles_stream"] = W("vehicle_positions") + (
     f"\nSELECT DISTINCT vehicle_id, timestamp, feed_timestamp, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date "
     f"FROM vehicle_positions WHERE {VALID_V}")
 
+ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
+ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+
 # DuckDB's round() keeps the sign of a value that rounds to zero (-0.0); Spark's decimal rounding gives 0.0.
 # Adding 0.0 maps -0.0 to 0.0 and leaves every other double unchanged.
 ORACLE = {k: v.replace(", 6)", ", 6) + 0.0") for k, v in ORACLE.items()}

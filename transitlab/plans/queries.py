@@ -300,6 +300,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # live views
     "live_vehicles": _live_vehicles,
     "live_trip_delays": _live_trips,
+    # the same views with the original freshness windows (10 minutes / 1 hour before the newest row)
+    "live_vehicles_default_window": lambda s, sf: live.live_vehicle_positions(_v(s, sf, "vehicle_positions")),
+    "live_trip_delays_default_window": lambda s, sf: live.live_trip_delays(_v(s, sf, "trip_updates")),
     # scalar functions
     "arrival_seconds": q_arrival_seconds,
     "calendar_weekday": q_calendar_weekday,
