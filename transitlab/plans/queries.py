@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from ..functions.keys import archive_key
 from ..functions.timefuncs import clock_to_seconds
 from ..operators import delays, features, live, model, quality, reports, schedule
-from ..schemas import VEHICLE_POSITIONS
 from ..sources import archive, feeds, gtfs_static, keyed_store
 from . import staging, views
 
