@@ -78,3 +78,75 @@ def test_delay_by_route_equals_pandas_groupby(spark):
                     assert abs(ours - theirs) < 1e-9
             assert r["count"] == s["count"] and abs(r.on_time_rate - rate[route]) < 1e-12
     check()
+
+
+from transitlab.operators import reports  # noqa: E402
+
+TD = "route_id string, trip_id string, vehicle_id string, delay_minutes double, feed_timestamp timestamp"
+trow = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["t1", "t2", None]),
+                 st.sampled_from(["v1", "v2", None]),
+                 st.one_of(st.none(), st.integers(-8, 12).map(float)),
+                 st.integers(0, 5).map(lambda h: BASE + timedelta(hours=h)))
+
+
+def _pdf(rows):
+    return pd.DataFrame(rows, columns=["route_id", "trip_id", "vehicle_id", "delay_minutes", "feed_timestamp"]) \
+        .astype({"delay_minutes": "float64"})
+
+
+def test_heatmap_peaks_equal_mean_of_cell_means(spark):
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(trow, min_size=1, max_size=40))
+    def check(rows):
+        got = {r.dimension: (r.key, r.avg_delay) for r in reports.heatmap_peaks(spark.createDataFrame(rows, TD)).collect()}
+        pdf = _pdf(rows)
+        pdf["hour"] = pdf["feed_timestamp"].dt.hour
+        cells = pdf.groupby(["route_id", "hour"])["delay_minutes"].mean().reset_index()
+        for dim, col in (("hour", "hour"), ("route", "route_id")):
+            means = cells.groupby(col)["delay_minutes"].mean().dropna()
+            if means.empty:
+                assert dim not in got or got[dim][1] is None
+                continue
+            best = means.max()
+            tied = sorted(k for k, v in means.items() if abs(v - best) < 1e-9)
+            key, val = got[dim]
+            assert abs(val - best) < 1e-9 and key == str(tied[0])      # ties go to the lowest key (T10)
+    check()
+
+
+def test_kpis_equal_pandas(spark):
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(trow, min_size=1, max_size=30), st.lists(st.sampled_from(["v1", "v2", "v3", None]), max_size=8))
+    def check(trips, vehicles):
+        vdf = spark.createDataFrame([(v,) for v in vehicles], "vehicle_id string")
+        k = reports.kpis(vdf, spark.createDataFrame(trips, TD)).first()
+        assert k.active_buses == len(pd.Series(vehicles, dtype=object).unique())      # T9: null counts once
+        d = _pdf(trips)["delay_minutes"]
+        avg = d.mean()
+        if pd.isna(avg):
+            assert k.avg_delay is None and k.avg_delay_status == "N/A"
+        else:
+            assert abs(k.avg_delay - avg) < 1e-9
+            assert k.avg_delay_status == ("normal" if avg <= 3 else "inverse")
+        rate = (d.abs() <= 5).sum() / len(d) * 100
+        assert abs(k.on_time_rate - rate) < 1e-9
+        assert k.on_time_label == ("Good" if rate >= 80 else "Below Target")
+    check()
+
+
+def test_live_trip_delays_equal_pandas_groupby(spark):
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(trow, min_size=1, max_size=40))
+    def check(rows):
+        out = live.live_trip_delays(spark.createDataFrame(rows, TD), window="1 DAY")
+        got = {(r.route_id, r.trip_id, r.vehicle_id): (r.delay_minutes, r.feed_timestamp) for r in out.collect()}
+        pdf = _pdf(rows)
+        g = pdf.groupby(["route_id", "trip_id", "vehicle_id"]).agg(
+            delay_minutes=("delay_minutes", "mean"), feed_timestamp=("feed_timestamp", "min"))  # earliest (T13)
+        want = {k: (None if pd.isna(v.delay_minutes) else v.delay_minutes, v.feed_timestamp.to_pydatetime())
+                for k, v in g.iterrows()}
+        assert got.keys() == want.keys()
+        for key, (d, t) in want.items():
+            assert got[key][1] == t
+            assert (got[key][0] is None and d is None) or abs(got[key][0] - d) < 1e-9
+    check()
