@@ -154,3 +154,19 @@ def test_master_schedule_from_text_tables(spark, tmp_dir):
     ms = gtfs_static.load_master_schedule(spark, tmp_dir).orderBy("date").collect()
     assert [(r.trip_id, r.route_short_name, r.stop_name, r.day_of_week) for r in ms] == \
         [("t1", "1", "Main", 0), ("t1", "1", "Main", 1)]
+
+
+def test_read_snapshots_in_the_original_layout(spark, tmp_dir):
+    import json
+    recs = [{"vehicle_id": "1", "latitude": 53.5461, "longitude": -113.4937, "timestamp": "2024-01-01T10:00:00"},
+            {"vehicle_id": "2", "latitude": 53.55, "longitude": -113.5, "timestamp": "2024-01-01T10:00:30"}]
+    _write(f"{tmp_dir}/transit/vehicles/20240101/20240101_100000.json", json.dumps(recs, indent=2))
+    _write(f"{tmp_dir}/transit/vehicles/20240102/20240102_000000.json", json.dumps(recs[:1], indent=2))
+    schema = "vehicle_id string, latitude double, longitude double, timestamp timestamp"
+    from pyspark.sql.types import _parse_datatype_string
+    day = archive.read_snapshot_files(spark, tmp_dir, _parse_datatype_string(schema), "vehicles", "20240101")
+    rows = sorted(day.collect())
+    assert [(r.vehicle_id, r.timestamp, r.date, r.archive_key) for r in rows] == [
+        ("1", ts("2024-01-01T10:00:00"), "20240101", "transit/vehicles/20240101/20240101_100000.json"),
+        ("2", ts("2024-01-01T10:00:30"), "20240101", "transit/vehicles/20240101/20240101_100000.json")]
+    assert archive.read_snapshot_files(spark, tmp_dir, _parse_datatype_string(schema), "vehicles").count() == 3
