@@ -332,6 +332,15 @@ ORACLE["ingest_vehicles_stream"] = W("vehicle_positions") + (
     f"\nSELECT DISTINCT vehicle_id, timestamp, feed_timestamp, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date "
     f"FROM vehicle_positions WHERE {VALID_V}")
 
+ORACLE["vehicle_preview"] = W("vehicle_positions") + LIVE_V + (
+    f"\nSELECT vehicle_id, route_id, {r('latitude', 'longitude', 'speed')}, timestamp, feed_timestamp, "
+    f"(SELECT count(*) FROM live_v) AS total_rows FROM live_v ORDER BY vehicle_id LIMIT 100")
+ORACLE["route_filter_vehicles"] = W("vehicle_positions") + (
+    f"SELECT {VP} FROM vehicle_positions WHERE route_id IN ('click', 'view')")
+ORACLE["schedule_calendar_active"] = W("trips", "calendar_dates") + CAL + (
+    "\nSELECT t.trip_id, t.route_id, t.service_id, t.trip_headsign, c.date, c.day_of_week "
+    "FROM trips t LEFT JOIN (SELECT * FROM cal WHERE exception_type <> 2) c ON t.service_id = c.service_id")
+
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
 

@@ -271,8 +271,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_range_filter": q_time_range_filter,
     "map_points": q_map_points,
     "raw_preview": q_raw_preview,
+    "vehicle_preview": lambda s, sf: quality.preview(_live_vehicles(s, sf), ["vehicle_id"], 100),
+    "route_filter_vehicles": lambda s, sf: quality.filter_routes(_v(s, sf, "vehicle_positions"), SELECTED_ROUTES),
     # joins
     "schedule_calendar": lambda s, sf: schedule.trip_service_dates(_v(s, sf, "trips"), _v(s, sf, "calendar_dates")),
+    "schedule_calendar_active": lambda s, sf: schedule.trip_service_dates(
+        _v(s, sf, "trips"), _v(s, sf, "calendar_dates"), active_only=True),
     "master_schedule": _master,
     "updates_with_schedule": q_updates_with_schedule,
     "vehicles_with_delay": q_vehicles_with_delay,
