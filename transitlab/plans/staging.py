@@ -1,7 +1,8 @@
 """Files that Spark derives from the supplied tables, for queries that exercise a file source.
 
 Everything is written under the shared checkpoint location (``spark.checkpoint.dir``), never to a
-machine-local folder, and rewritten on every call (overwrite), so reruns after a failure are safe.
+machine-local folder: one folder per application and input folder, written once (with overwrite, so a
+rerun after a failure replaces partial output) and then reused by every query of that application.
 """
 from __future__ import annotations
 
