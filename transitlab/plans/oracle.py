@@ -341,6 +341,10 @@ ORACLE["schedule_calendar_active"] = W("trips", "calendar_dates") + CAL + (
     "\nSELECT t.trip_id, t.route_id, t.service_id, t.trip_headsign, c.date, c.day_of_week "
     "FROM trips t LEFT JOIN (SELECT * FROM cal WHERE exception_type <> 2) c ON t.service_id = c.service_id")
 
+ORACLE["ingest_trip_updates_stream"] = W("trip_updates") + (
+    f"\nSELECT DISTINCT trip_id, stop_id, feed_timestamp, CAST(CAST(feed_timestamp AS DATE) AS VARCHAR) AS event_date "
+    f"FROM trip_updates WHERE {VALID_T} AND (arrival_delay IS NOT NULL OR departure_delay IS NOT NULL)")
+
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
 

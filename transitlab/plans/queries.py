@@ -231,18 +231,23 @@ def q_delay_model_metrics(spark, sf):
     return model.regression_metrics(q_delay_model_scores(spark, sf))
 
 
-def q_ingest_vehicles_stream(spark, sf):
-    """R1 + R2: the landed feed drained by the streaming ingest job; the keys that reached the store."""
-    import uuid
-    from ..streaming import ingest
-    feed = staging.stage_feed_messages(spark, sf)
-    run = staging.staging_path(spark, sf, "ingest", uuid.uuid4().hex)
-    q = ingest.start_ingest(spark, feed, run, "vehicles", checkpoint=f"{run}/_checkpoint")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    store = keyed_store.read_store(spark, f"{run}/store/vehicles")
-    return store.select("vehicle_id", "timestamp", "feed_timestamp", "event_date")
+def _ingest_stream(kind, cols):
+    def q(spark, sf):
+        """R1 + R2: the landed feed drained by the streaming ingest job; the keys that reached the store."""
+        import uuid
+        from ..streaming import ingest
+        feed = staging.stage_feed_messages(spark, sf)
+        run = staging.staging_path(spark, sf, "ingest", uuid.uuid4().hex)
+        stream = ingest.start_ingest(spark, feed, run, kind, checkpoint=f"{run}/_checkpoint")
+        stream.awaitTermination()
+        if stream.exception() is not None:
+            raise stream.exception()
+        return keyed_store.read_store(spark, f"{run}/store/{kind}").select(*cols)
+    return q
+
+
+q_ingest_vehicles_stream = _ingest_stream("vehicles", ["vehicle_id", "timestamp", "feed_timestamp", "event_date"])
+q_ingest_trip_updates_stream = _ingest_stream("trip_updates", ["trip_id", "stop_id", "feed_timestamp", "event_date"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -321,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_model_metrics": q_delay_model_metrics,
     # streaming
     "ingest_vehicles_stream": q_ingest_vehicles_stream,
+    "ingest_trip_updates_stream": q_ingest_trip_updates_stream,
 }
 
 # Trained models: rows-only checks (tree ensembles have no SQL equivalent); left out of the bench's
