@@ -155,12 +155,10 @@ def time_range_filter(df: DataFrame, hours: int | None = 24, ts_col: str = "feed
 
 def map_points(df: DataFrame, size: int = 50) -> DataFrame:
     """F10 + F11: positions fit to draw (both coordinates present, non-NaN and non-zero), numeric, sized."""
-    lat = F.col("latitude").try_cast("double")
-    lon = F.col("longitude").try_cast("double")
-    ok = lat.isNotNull() & lon.isNotNull() & ~F.isnan(lat) & ~F.isnan(lon) & (lat != 0) & (lon != 0)
     keep = [c for c in ("vehicle_id",) if c in df.columns]
-    return df.filter(ok).select(*keep, lat.alias("latitude"), lon.alias("longitude"),
-                                F.lit(size).alias("size"))
+    return drawable_positions(df).select(*keep, F.col("latitude").try_cast("double").alias("latitude"),
+                                         F.col("longitude").try_cast("double").alias("longitude"),
+                                         F.lit(size).alias("size"))
 
 
 def preview(df: DataFrame, order_cols: Sequence[str], n: int = 100) -> DataFrame:
