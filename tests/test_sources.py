@@ -170,3 +170,19 @@ def test_read_snapshots_in_the_original_layout(spark, tmp_dir):
         ("1", ts("2024-01-01T10:00:00"), "20240101", "transit/vehicles/20240101/20240101_100000.json"),
         ("2", ts("2024-01-01T10:00:30"), "20240101", "transit/vehicles/20240101/20240101_100000.json")]
     assert archive.read_snapshot_files(spark, tmp_dir, _parse_datatype_string(schema), "vehicles").count() == 3
+
+
+def test_archive_day_filter_prunes_partitions(spark, tmp_dir):
+    import contextlib
+    import io
+    df = spark.createDataFrame([("v1", ts("2024-01-01T10:00:00")), ("v2", ts("2024-01-02T11:30:05"))],
+                               "vehicle_id string, feed_timestamp timestamp")
+    root = f"{tmp_dir}/archive_p"
+    archive.write_archive(df, root, "vehicles", batch_id=3)
+    day = archive.read_archive(spark, root, df.schema, "vehicles", "20240102")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [" in plan and "(date#" in plan and "= 20240102)" in plan
+    assert [r.vehicle_id for r in day.collect()] == ["v2"]
