@@ -150,3 +150,45 @@ def test_live_trip_delays_equal_pandas_groupby(spark):
             assert got[key][1] == t
             assert (got[key][0] is None and d is None) or abs(got[key][0] - d) < 1e-9
     check()
+
+
+def test_histogram_equals_equal_width_binning(spark):
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.integers(-40, 40).map(lambda x: x / 4.0)), min_size=1, max_size=60),
+           st.integers(1, 12))
+    def check(values, bins):
+        df = spark.createDataFrame([(v,) for v in values], "delay_minutes double")
+        got = {r.bin: r.frequency for r in delays.delay_histogram(df, bins=bins).collect()}
+        vals = [v for v in values if v is not None]
+        want = {}
+        if vals:
+            lo, hi = min(vals), max(vals)
+            for v in vals:
+                b = 1 if hi == lo else min(math.floor((v - lo) / (hi - lo) * bins) + 1, bins)
+                want[b] = want.get(b, 0) + 1
+        assert got == want
+    check()
+
+
+def test_quality_counters_equal_validator_loop(spark):
+    from pyspark.sql import functions as F
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(row, min_size=0, max_size=40))
+    def check(rows):
+        frame = _frame(spark, rows)
+        # without a longitude attribute every record fails the required-attribute check
+        r = quality.quality_stats(frame).first()
+        assert (r.processed, r.valid, r.invalid, r.duplicate) == (len(rows), 0, len(rows), 0)
+        # with one: count like the validator (valid includes duplicates; duplicates among valid, tuple keys)
+        r = quality.quality_stats(frame.withColumn("longitude", F.lit(1.0))).first()
+        valid = duplicate = 0
+        seen = set()
+        for v, _route, lat, speed, t in rows:
+            if v is not None and lat is not None and t is not None and -90 <= lat <= 90 \
+                    and (speed is None or speed >= 0):
+                valid += 1
+                duplicate += (v, t) in seen
+                seen.add((v, t))
+        assert (r.processed, r.valid, r.invalid, r.duplicate) == (len(rows), valid, len(rows) - valid, duplicate)
+    check()
