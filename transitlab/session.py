@@ -55,37 +55,68 @@ def get_spark(app: str = "transitlab", master: str | None = None, shuffle_partit
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def _configured_dir(spark: SparkSession) -> str | None:
+    """The folder ``spark.checkpoint.dir`` names, from the session or from the application's settings."""
+    try:
+        named = spark.conf.get("spark.checkpoint.dir")
+    except Exception:  # noqa: BLE001 - unset
+        named = None
+    if named:
+        return named
+    try:
+        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
+        return None
+
+
+def _on_one_machine(spark: SparkSession) -> bool:
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - a remote session: never assume that folders are shared
+        return False
+    return master == "local" or master.startswith("local[")
+
+
+# folder chosen here for a session on one machine that names none (tests): application id -> folder
+_OWN_DIRS: dict[str, str] = {}
 
-    Only when it is unset (tests on a laptop) is a folder of our own chosen.
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
+
+    ``spark.checkpoint.dir`` where it is set; otherwise the parent of the folder given to
+    ``SparkContext.setCheckpointDir`` (which appends a random sub-folder); otherwise, only when the master is
+    one machine (``local``/``local[n]``), a fresh temporary folder. A cluster session that names no shared
+    folder is an error: a machine-local folder would lose files with its machine.
     """
+    named = _configured_dir(spark)
+    if named:
+        return named.rstrip("/")
     try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - remote session
+        current = None
     if current:
-        return current
+        return current.rstrip("/").rsplit("/", 1)[0]
+    if not _on_one_machine(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="transitlab-ckpt-")
+    return _OWN_DIRS[app]
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` usable and return the folder it writes to."""
     try:
-        configured = spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # noqa: BLE001 - unset
-        configured = None
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if sc is None:
-            raise RuntimeError("spark.checkpoint.dir is not set")
-        configured = tempfile.mkdtemp(prefix="transitlab-ckpt-")  # tests on one machine only
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    return configured
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
+        return shared_root(spark)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_root(spark))
+    return sc.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the shared checkpoint location, for written tables that cut lineage."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    # setCheckpointDir appends a random sub-folder; keep written tables beside it, not inside it.
-    root = base.rsplit("/", 1)[0] if "/" in base else base
-    return "/".join([root, "transitlab", *parts])
+    """A folder under the shared location, for written tables that cut lineage."""
+    return "/".join([shared_root(spark), "transitlab", *parts])
