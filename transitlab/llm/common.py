@@ -54,14 +54,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SLICE_BYTES = 1 << 20
+
+
+def slices(batch, column: str = "text", size: int = SLICE_BYTES) -> Iterator:
+    """The batch in runs of rows that hold about ``size`` bytes of text, so that what Python makes of a run (lists of
+    ids, words, spans) stays small; a longer text is a run of its own."""
+    k = batch.schema.get_field_index(column)
+    if k < 0:
+        yield batch
+        return
+    import pyarrow.compute as pc
+    first, total = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column(k)).to_pylist()):
+        if total and total + (n or 0) > size:
+            yield batch.slice(first, i - first)
+            first, total = i, 0
+        total += n or 0
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     """``fn(record batch) -> record batch or None`` over Arrow batches (bounded by rows and bytes); no shuffle."""
     ship(df.sparkSession)
 
     def run(batches: Iterator):
         for b in batches:
-            if b.num_rows:
-                out = fn(b)
+            for part in slices(b) if b.num_rows else ():
+                out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
     return df.mapInArrow(run, schema)

@@ -79,7 +79,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, size: int = SIZE,
         import numpy as np
         from pyspark import TaskContext
         enc, task, made = encoder(vocabulary), TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in (part for b in batches for part in common.slices(b)):
             cols = [[] for _ in PIECES.fields]
             for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch)):
                 ids = enc.encode_ordinary(text)
@@ -136,29 +136,37 @@ class _Left:
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in one sequence, number of such sequences) that hold all pieces counted by length."""
     left = _Left(counts, size)
-    for a in sorted(left.n, reverse=True):
-        gap = size - a
-        if a in left.n and (gap == 0 or gap in left.n):
-            left.take(*(k for k in (a, gap) if k))
-        found = left.pairs(gap) if a in left.n else 0
-        while found and a in left.n:
-            b = found.bit_length() - 1
-            left.take(a, b, gap - b)
-            found = left.pairs(gap) & ((1 << b) - 1)
-        firsts = left.have & ((1 << gap) - 1 if gap else 0)
-        while firsts and a in left.n:
-            b = firsts.bit_length() - 1
-            firsts ^= 1 << b
-            if 3 * b < gap:
-                break
-            found = left.pairs(gap - b) & ((1 << (b + 1)) - 1)
-            while found and a in left.n and b in left.n:
-                c = found.bit_length() - 1
-                left.take(a, b, c, gap - b - c)
-                found = left.pairs(gap - b) & ((1 << c) - 1)
+    longest = sorted(left.n, reverse=True)
+    for a in longest:
+        if a in left.n and (a == size or size - a in left.n):
+            left.take(*(k for k in (a, size - a) if k))
+    for a in longest:
+        while a in left.n and _fill_exactly(left, a, size - a):
+            pass
     return left.used + _best_fit(left.n, size)
 
 
+def _fill_exactly(left: _Left, a: int, gap: int) -> bool:
+    """Use ``a`` with the longest length that fits its gap and one or two more that complete the sum.
+
+    Other pairs and triples would spend short pieces on gaps that one long piece nearly fills; short pieces are what the
+    last sequences need, so such gaps are left to the best-fit step.
+    """
+    b = (left.have & ((1 << (gap + 1)) - 1)).bit_length() - 1
+    rest = gap - b
+    if b < 1 or rest < 1:
+        return False
+    if rest in left.n and left.take(a, b, rest):
+        return True
+    found = left.pairs(rest)
+    while found:
+        c = found.bit_length() - 1
+        if left.take(a, b, c, rest - c):
+            return True
+        found ^= 1 << c
+    return False
+
+
 def _best_fit(left: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """Longest first into the smallest gap that holds it; equal sequences are handled as one group."""
     open_: dict[int, list[list]] = defaultdict(list)      # gap -> groups of [pattern, how many]

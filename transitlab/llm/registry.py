@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import packing, sentence_pieces
+from . import language_id, packing, sentence_pieces
 from .common import table
 
 
@@ -26,9 +26,18 @@ def op4_packing(spark, sf_dir):
         .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_language_id(spark, sf_dir):
+    """Language of every document; learned from documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.language_spans(docs, language_id.train(docs))
+    return found.select("doc_id", (~language_id.is_training(F.col("doc_id"))).alias("held_out"), "lang_pred", "score",
+                        F.size("spans").alias("n_spans"))
+
+
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_packing": op4_packing,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE: dict[str, str] = {}
