@@ -51,7 +51,8 @@ def test_round_trip_rows(spark):
     docs = spark.createDataFrame(
         [(1, "Hello world.", "x"), (1, "Hello world.", "y"), (2, None, None), (None, "", "z"), (3, "é" * 20_000, "q")],
         "doc_id long, text string, ids string")
-    rows = sp.round_trip(docs, PATH).collect()
+    rows = sp.round_trip(docs, PATH, "texts").collect()
+    assert {tuple(r) for r in rows} == {tuple(r) for r in sp.round_trip(docs, PATH).collect()}
     assert len(rows) == 5 and all(r["library_equal"] for r in rows)
     empty = [r for r in rows if r["doc_id"] in (2, None)]
     assert all(r["n_tokens"] == 1 and r["decoded_sha256"] == hashlib.sha256(b"").hexdigest() for r in empty)
@@ -59,3 +60,19 @@ def test_round_trip_rows(spark):
     back = {(r["doc_id"], r["text"]) for r in sp.decode(enc, PATH).collect()}
     assert back == {(1, "Hello world."), (2, ""), (None, ""), (3, "é" * 20_000)}
     assert sp.round_trip(docs.limit(0), PATH).count() == 0
+
+
+def test_new_parts_are_checked_once():
+    m = sp.PieceModel(PATH)
+    m.encode("Some words, some more words.\n\nAnd 12% 日本 of them!")
+    assert m.cache.new and m.check_new_parts() and not m.cache.new
+    m.encode("Some words, some more")
+    assert not m.cache.new
+    m.cache["▁wrong"] = (5,)
+    m.cache.new.append("▁wrong")
+    assert not m.check_new_parts()
+
+
+def test_whole_table_equals_the_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert sp.round_trip(docs, PATH, "texts").filter("NOT library_equal").count() == 0

@@ -4,7 +4,8 @@ A text is normalised by the model's own rules, split where no vocabulary entry c
 another character), and every part is merged by an agenda: a heap of adjacent symbol pairs whose join is an entry,
 best score first, leftmost on ties. Parts recur, so each Python worker keeps a bounded table of parts
 already merged. Symbols that are no entry become their UTF-8 byte entries, or the unknown id where the vocabulary
-has none. Each Arrow batch is checked against the sentencepiece library (``library_equal``).
+has none. Each Arrow batch is checked against the sentencepiece library (``library_equal``): the parts merged for it, or
+with ``check="texts"`` every whole text.
 
 Defined results: null and empty texts encode to the end id alone and decode to "". Rows are kept one to one
 (repeated rows and ids included). Columns of the input other than ``doc_id`` and ``text`` are ignored.
@@ -36,12 +37,13 @@ class PartTable(dict):
 
     def __init__(self, merge):
         super().__init__()
-        self.merge, self.old = merge, {}
+        self.merge, self.old, self.new = merge, {}, []
 
     def __missing__(self, part: str):
         got = self.old.get(part)
         if got is None:
             got = self.merge(part)
+            self.new.append(part)
         if len(part) <= CACHED_LENGTH:
             if len(self) >= CACHE_PARTS:
                 self.old = dict(self)
@@ -58,6 +60,7 @@ class PieceModel:
         self.lib = lib = sentencepiece.SentencePieceProcessor(model_file=path)
         n = lib.get_piece_size()
         self.pieces = [lib.id_to_piece(i) for i in range(n)]
+        self.number = [str(i) for i in range(n)]
         self.end, self.unk = lib.eos_id(), lib.unk_id()
         silent = [lib.is_control(i) for i in range(n)]
         self.bytes = {i: int(p[3:5], 16) for i, p in enumerate(self.pieces) if lib.is_byte(i)}
@@ -151,6 +154,17 @@ class PieceModel:
         out.append(self.end)
         return out
 
+    def check_new_parts(self) -> bool:
+        """Whether the library agrees on every part merged since the last call (one call for all of them).
+
+        The library sees a part at the start of a text, where it puts its mark before it.
+        """
+        new, self.cache.new = self.cache.new, []
+        bare = [p[1:] if self.prefix and p.startswith(MARK) else p for p in new]
+        marked = [MARK + p if self.prefix else p for p in bare]
+        theirs = self.lib.encode(bare, num_threads=1) if bare else []
+        return all(list(self.cache.get(m) or self.merge(m)) == t for m, t in zip(marked, theirs) if m != MARK)
+
     def decode(self, ids: list[int]) -> str:
         """Surface of the entries; runs of byte entries become UTF-8; the blank that stands for the start goes."""
         text = "".join(map(self.surface.__getitem__, ids)) if self.bytes.keys().isdisjoint(ids) \
@@ -201,17 +215,29 @@ def model(path: str) -> PieceModel:
 
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
                         T.StructField("library_equal", T.BooleanType())])
+CHECKS = ("parts", "texts", "none")
+
+
+def _agrees(m: PieceModel, texts: list[str], ids: list[list[int]], check: str) -> list[bool | None]:
+    """``texts``: the library encodes every text too. ``parts``: it encodes every part that was merged for this batch;
+    all rows of the batch are marked false if it differs on one."""
+    if check == "texts":
+        return [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))]
+    same = m.check_new_parts() if check == "parts" else None
+    m.cache.new.clear()
+    return [same] * len(ids)
+
 
+def encode(docs: DataFrame, model_path: str, check: str = "parts") -> DataFrame:
+    """doc_id, ids (with the end id) and whether the library agrees (see ``CHECKS``; null if unchecked)."""
+    if check not in CHECKS:
+        raise ValueError(f"check must be one of {CHECKS}")
 
-def encode(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
-    """doc_id, ids (with the end id) and whether the library gives the same ids (null if unchecked)."""
     def fn(batch):
         m = model(model_path)
         texts = common.texts_of(batch)
         ids = [m.encode(t) for t in texts]
-        same = [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))] if check \
-            else [None] * len(ids)
-        return common.batch_of(ENCODED, [batch.column(0), ids, same])
+        return common.batch_of(ENCODED, [batch.column(0), ids, _agrees(m, texts, ids, check)])
     return common.map_batches(docs.select("doc_id", "text"), fn, ENCODED)
 
 
@@ -231,23 +257,21 @@ ROUND_TRIP = T.StructType([
     T.StructField("library_equal", T.BooleanType())])
 
 
-def round_trip(docs: DataFrame, model_path: str, check: bool = True) -> DataFrame:
-    """Encode and decode in one pass, kept as digests: ids and texts never leave the task that made them.
+def round_trip(docs: DataFrame, model_path: str, check: str = "parts") -> DataFrame:
+    """Encode and decode in one pass, kept as digests: ids and texts never leave the task that made them."""
+    if check not in CHECKS:
+        raise ValueError(f"check must be one of {CHECKS}")
 
-    ``library_equal``: ids and decoded text both equal what the library gives for that text.
-    """
     def fn(batch):
         m = model(model_path)
         texts = common.texts_of(batch)
         ids = [m.encode(t) for t in texts]
+        same = _agrees(m, texts, ids, check)
         back = [m.decode(i) for i in ids]
-        same = [None] * len(ids)
-        if check:
-            theirs = m.lib.encode(texts, num_threads=1, add_eos=True)
-            decoded = m.lib.decode(theirs, num_threads=1) if theirs else []
-            same = [a == b and c == d for a, b, c, d in zip(ids, theirs, back, decoded)]
+        if check == "texts":
+            same = [a and b == c for a, b, c in zip(same, back, m.lib.decode(ids, num_threads=1) if ids else [])]
         return common.batch_of(ROUND_TRIP, [
             batch.column(0), [len(i) for i in ids],
-            [hashlib.sha256(" ".join(map(str, i)).encode()).hexdigest() for i in ids],
+            [hashlib.sha256(" ".join(map(m.number.__getitem__, i)).encode()).hexdigest() for i in ids],
             [hashlib.sha256(t.encode()).hexdigest() for t in back], same])
     return common.map_batches(docs.select("doc_id", "text"), fn, ROUND_TRIP)
