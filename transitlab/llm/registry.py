@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language_id, packing, sentence_pieces
+from . import language_id, packing, sentence_pieces, toxicity
 from .common import table
 
 
@@ -26,6 +26,14 @@ def op4_packing(spark, sf_dir):
         .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_toxicity(spark, sf_dir):
+    """Toxicity of every document; labels of held-out documents are not learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", (~toxicity.is_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 def op8_language_id(spark, sf_dir):
     """Language of every document; learned from documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +45,7 @@ def op8_language_id(spark, sf_dir):
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op8_language_id": op8_language_id,
 }
 
