@@ -7,10 +7,13 @@ inside a word and common digit-for-letter swaps are folded away first. A Nyströ
 kernel into short vectors; a linear machine on them (squared hinge) collapses into one table of weights by subsequence,
 which is what documents are scored with.
 
-Training: sentences of clean documents are clean; in a toxic document a sentence is toxic when it holds a witness, a word
-over-represented in toxic documents (G-squared at least ``EVIDENCE``). After a first fit the clean documents' most
-toxic-looking words are added as hard negatives. A document's score is a logistic curve of its highest word value and
-of how many words the machine accepts, fitted on the same rows and weighted back to the labels' proportions.
+Training: every distinct sentence of the sampled documents counts once, so copies of a document add nothing, and is
+clean if any clean document has it. Witnesses are words over-represented in sentences of toxic documents (G-squared above
+twice the log of the number of words) that clean sentences hardly hold; a toxic document's sentence with a witness is a
+toxic sentence, the words of clean sentences are clean. Spellings of a witness with one character inserted are added
+with a small weight. After each fit the clean documents' most toxic-looking words are added as hard negatives
+(``HARD_ROUNDS`` times). A document's score is a logistic curve of its highest word value and of how many words the
+machine accepts, fitted on the same documents and weighted back to the labels' proportions.
 
 Bound of the training sample: at most about ``MAX_DOCS`` labelled documents of each class, chosen by a hash of doc_id,
 whole texts; the units collected from them are at most ``MAX_UNITS`` by count.
@@ -31,9 +34,12 @@ from pyspark.sql import types as T
 from . import common
 
 MAX_DOCS = 1500
-MAX_UNITS = 8000
-LANDMARKS = 160
-EVIDENCE = 12.0
+MAX_UNITS = 4000
+LANDMARKS = 320
+CLEAN_SHARE = 0.05          # clean sentences that may hold a witness, against toxic ones
+HARD_ROUNDS, HARD_WEIGHT = 3, 10.0
+VARIANT_WEIGHT = 0.3
+SENTENCE_END = re.compile(r"[.!?\n]+")
 SPAN, DECAY = 7, 0.5
 WINDOW = 24                 # longer words are read through windows of this many characters
 CACHE_WORDS = 300_000
@@ -157,7 +163,7 @@ class Machine:
         return [1 / (1 + math.exp(-max(-60.0, min(60.0, a * top + c * math.log1p(n) + b)))) for top, n in self.measures(texts)]
 
 
-def fit_machine(positive: dict[str, float], negative: dict[str, float], landmarks: list[str], ridge: float = 1e-3) -> dict:
+def fit_machine(positive: dict[str, float], negative: dict[str, float], landmarks: list[str], ridge: float = 1e-4) -> dict:
     """Machine from weighted words of toxic and of clean sentences (at most a few times ``MAX_UNITS`` words)."""
     import numpy as np
     ids, cols, vals = [], [], []
@@ -234,18 +240,41 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int):
     return sample, size
 
 
-def _unit_counts(sample: DataFrame) -> DataFrame:
+SENTENCES = T.StructType([T.StructField("sentence", T.StringType()), T.StructField("toxic", T.IntegerType())])
+
+
+def labelled_sentences(sample: DataFrame) -> DataFrame:
+    """The distinct sentences with the label of their documents (clean if any of these is clean)."""
     def fn(batch):
-        count: dict[str, list[int]] = {}
+        found: dict[str, int] = {}
         for text, toxic in zip(common.texts_of(batch), batch.column(2).to_pylist()):
+            for s in SENTENCE_END.split(text.lower()):
+                s = " ".join(s.split())
+                if s:
+                    found[s] = min(toxic, found.get(s, 1))
+        return common.batch_of(SENTENCES, [list(found), list(found.values())])
+    return common.map_batches(sample, fn, SENTENCES).groupBy("sentence").agg(F.min("toxic").alias("toxic"))
+
+
+def _unit_counts(sentences: DataFrame) -> DataFrame:
+    def fn(batch):
+        count: dict[str, list[int]] = {}
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for u in {w for t in tokens(text) for w in windows(unit_of(t))}:
                 count.setdefault(u, [0, 0])[0 if toxic else 1] += 1
         return common.batch_of(UNITS, [list(count), [c[0] for c in count.values()], [c[1] for c in count.values()]])
-    return common.map_batches(sample, fn, UNITS).groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return common.map_batches(sentences, fn, UNITS).groupBy("unit").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def variants(word: str) -> set[str]:
+    """The word with one character inserted: a foreign one, or one of its own doubled."""
+    if len(word) < 4:
+        return set()
+    return {word[:k] + x + word[k:] for k in range(1, len(word)) for x in ("x", word[k])}
 
 
 def _tops(sample: DataFrame, model: dict):
-    """Per sampled document: its measures and its most toxic-looking words (at most 3)."""
+    """Per sampled document: its measures and its most toxic-looking words (at most 5)."""
     shared = _shared(sample, model)
 
     def fn(batch):
@@ -254,7 +283,7 @@ def _tops(sample: DataFrame, model: dict):
         cols = [batch.column(2).to_pylist(), [], [], []]
         for ts, v in zip(toks, m.values(toks)):
             by_word = sorted(zip(ts, v), key=lambda p: -p[1])
-            best = list(dict.fromkeys(unit_of(t) for t, _ in by_word[:12]))[:3]
+            best = list(dict.fromkeys(unit_of(t) for t, _ in by_word[:20]))[:5]
             cols[1].append(by_word[0][1] if by_word else LOWEST)
             cols[2].append(sum(1 for x in v if x > 0))
             cols[3].append([w for b in best for w in windows(b)[:1]])
@@ -269,28 +298,39 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> dict
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if not n_pos or not n_neg:
         return None
-    units = common.written(_unit_counts(sample), "toxic-units")
-    k, n = F.col("pos") + F.col("neg"), float(n_pos + n_neg)
+    sentences = common.written(labelled_sentences(sample), "toxic-sentences")
+    units = common.written(_unit_counts(sentences), "toxic-units")
+    by_class = {r["toxic"]: r["n"] for r in sentences.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    s_pos, s_neg = by_class.get(1, 0), by_class.get(0, 0)
+    k, n = F.col("pos") + F.col("neg"), float(s_pos + s_neg)
+
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-    # G-squared of (word in document) against (toxic document)
-    g2 = 2 * (part(F.col("pos"), k * n_pos / n) + part(F.col("neg"), k * n_neg / n)
-              + part(n_pos - F.col("pos"), (n - k) * n_pos / n) + part(n_neg - F.col("neg"), (n - k) * n_neg / n))
-    scored = units.withColumn("g2", F.when(F.col("pos") * n_neg > F.col("neg") * n_pos, g2).otherwise(0.0))
-    witnesses = scored.filter(F.col("g2") >= EVIDENCE).orderBy(F.desc("g2"), "unit").limit(MAX_UNITS).collect()
-    clean = scored.filter((F.col("g2") < EVIDENCE) & (F.col("neg") > 0)).orderBy(F.desc("neg"), "unit").limit(MAX_UNITS).collect()
+    # G-squared of (word in sentence) against (toxic document)
+    g2 = 2 * (part(F.col("pos"), k * s_pos / n) + part(F.col("neg"), k * s_neg / n)
+              + part(s_pos - F.col("pos"), (n - k) * s_pos / n) + part(s_neg - F.col("neg"), (n - k) * s_neg / n))
+    scored = units.withColumn("g2", F.when(F.col("pos") * s_neg > F.col("neg") * s_pos, g2).otherwise(0.0))
+    evidence = 2 * math.log(max(2, units.count()))
+    rare = F.col("neg") <= CLEAN_SHARE * F.col("pos")
+    witnesses = scored.filter((F.col("g2") >= evidence) & rare).orderBy(F.desc("g2"), "unit").limit(MAX_UNITS).collect()
+    clean = scored.filter(~rare).orderBy(F.desc("neg"), "unit").limit(MAX_UNITS).collect()
     if not witnesses or not clean:
         return None
-    positive = {r["unit"]: float(r["pos"]) for r in witnesses}
-    negative = {r["unit"]: float(r["neg"]) for r in clean}
-    landmarks = [*list(positive)[:LANDMARKS * 3 // 4], *list(negative)[:LANDMARKS // 4]]
-    model = fit_machine(positive, negative, landmarks)
-    for r in _tops(sample, model):
-        if r["toxic"] == 0:
-            for w in r["words"]:
-                negative[w] = negative.get(w, 0.0) + 1.0 if w not in positive else 0.0
-    negative = {w: c for w, c in negative.items() if c}
-    model = fit_machine(positive, negative, landmarks)
+    positive = {r["unit"]: 1 + math.log(r["pos"]) for r in witnesses}
+    negative = {r["unit"]: 1 + math.log(r["neg"]) for r in clean}
+    near = {v: VARIANT_WEIGHT for w in list(positive)[:LANDMARKS // 2] for v in variants(w) if v not in positive}
+    hard: dict[str, int] = {}
+    model = None
+    for _ in range(1 + HARD_ROUNDS):
+        if model is not None:
+            for r in _tops(sample, model):
+                for w in r["words"] if r["toxic"] == 0 else ():
+                    if w not in positive and w not in near:
+                        hard[w] = hard.get(w, 0) + 1
+        worst = sorted(hard, key=lambda w: (-hard[w], w))
+        half = LANDMARKS // 4
+        landmarks = dict.fromkeys([*list(positive)[:LANDMARKS // 2], *worst[:half], *list(negative)[:half]])
+        model = fit_machine(positive | near, negative | {w: HARD_WEIGHT * (1 + math.log(c)) for w, c in hard.items()}, list(landmarks))
     back = {1: size[1] / n_pos, 0: size[0] / n_neg}
     model["curve"] = fit_curve([(r["top"], r["n"], r["toxic"], back[r["toxic"]]) for r in _tops(sample, model)])
     return model
