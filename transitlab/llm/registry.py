@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, language_id, packing, sentence_pieces, toxicity
+from . import chat, language_id, packing, personal_data, sentence_pieces, toxicity
 from .common import table
 
 
@@ -15,6 +15,18 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_personal_data(spark, sf_dir):
+    """Personal data in every document: base patterns and accepted candidates."""
+    docs = table(spark, sf_dir, "documents")
+    found = personal_data.find_spans(docs.select("doc_id", "text"), personal_data.train(docs))
+
+    def count(kind):
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = map(count, personal_data.BASE_KINDS)
+    return found.select("doc_id", *counts, F.sha2(personal_data.listed(F.col("_base")), 256).alias("base_sha256"),
+                        personal_data.listed(F.col("_spans")).alias("spans"))
+
+
 def op2_sentencepiece(spark, sf_dir):
     """Encoded and decoded documents as digests; every batch is checked against the library."""
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
@@ -62,6 +74,7 @@ def op9_chat_format(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
