@@ -88,6 +88,43 @@ def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def by_group(df: DataFrame, keys: list[str], fn: Callable, schema) -> DataFrame:
+    """``fn(arrow table of one group) -> record batch or None`` for every key; one shuffle and a sort inside tasks.
+
+    A group is held in memory as a whole, so callers split groups into blocks of bounded size first.
+    """
+    ship(df.sparkSession)
+
+    def run(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+        pending, current = [], None
+
+        def flush():
+            out = fn(pa.Table.from_batches(pending)) if pending else None
+            return out if out is not None and out.num_rows else None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [b.column(b.schema.get_field_index(k)) for k in keys]
+            change = np.zeros(b.num_rows, dtype=bool)
+            for c in cols:
+                v = c.to_numpy(zero_copy_only=False)
+                change[1:] |= v[1:] != v[:-1]
+            cuts = [0, *change.nonzero()[0].tolist(), b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                key = tuple(c[lo].as_py() for c in cols)
+                if key != current:
+                    if (out := flush()) is not None:
+                        yield out
+                    pending, current = [], key
+                pending.append(b.slice(lo, hi - lo))
+        if (out := flush()) is not None:
+            yield out
+    # the number of partitions is left to the session and to run-time coalescing
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def batch_of(schema, columns: list):
     """A record batch with the given Spark schema from Python lists (or Arrow/NumPy arrays)."""
     import pyarrow as pa

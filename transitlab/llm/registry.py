@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, language_id, packing, personal_data, sentence_pieces, toxicity
+from . import chat, language_id, ngram_join, packing, personal_data, sentence_pieces, toxicity
 from .common import table
 
 
@@ -73,6 +73,11 @@ def op9_chat_format(spark, sf_dir):
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_ngram_join(spark, sf_dir):
+    """Documents linked by shingle similarity: component and number of links of each."""
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_sentencepiece": op2_sentencepiece,
@@ -80,6 +85,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 # The template's own length is part of the result: two marks and two newlines a turn, one backslash for each escape.
@@ -95,4 +101,20 @@ SELECT conv_id, count(*) AS n_turns,
                 + len(regexp_extract_all(text, '<\\\\*\\|'))) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id"""
 
-ORACLE: dict[str, str] = {"op9_chat_format": _OP9_SQL}
+_OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 5 * k >= 4 * (p.n + q.n - k)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT d.doc_id, l.class_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links
+FROM documents d JOIN least l ON l.x = d.doc_id LEFT JOIN degree g ON g.x = d.doc_id"""
+
+ORACLE: dict[str, str] = {"op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
