@@ -139,6 +139,36 @@ def texts_of(batch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+class Forest:
+    """Union-find over 0..n-1."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+
+def blocks(df: DataFrame, group: str, count: str, member: str, size: int) -> DataFrame:
+    """Deals a group of ``count`` members out as blocks: ``block`` numbers a pair of parts (one part: 0).
+
+    Parts are chosen by the member's hash; a member of part p goes to the pairs (p, q) for every q. ``part`` is its own.
+    """
+    parts = F.greatest(F.lit(1), F.ceil(F.col(count) / size)).cast("int")
+    df = df.withColumn("_parts", parts).withColumn("part", F.pmod(F.xxhash64(F.col(member), F.lit(3)), F.col("_parts")).cast("int"))
+    q = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    low, high = F.least(F.col("part"), F.col("_q")), F.greatest(F.col("part"), F.col("_q"))
+    return df.withColumn("_q", q).withColumn("block", (low * F.col("_parts") + high).cast("long")).drop("_q", "_parts")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node that has an edge; component = the smallest node reachable.
 

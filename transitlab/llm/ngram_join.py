@@ -123,24 +123,6 @@ def survivors(sigs, sizes, one: int, others, threshold: float = THRESHOLD, rules
     return left
 
 
-class Forest:
-    """Union-find over 0..n-1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-
-
 SIGNED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()),
                        T.StructField("cls", T.BinaryType()), T.StructField("size", T.IntegerType()), T.StructField("sig", T.BinaryType())])
 
@@ -177,18 +159,6 @@ def _band_keys(classes: DataFrame) -> DataFrame:
     return common.map_batches(classes.select("cls", "sig"), fn, KEYS)
 
 
-def _blocks(df: DataFrame, group: str, count: str, member: str, size: int) -> DataFrame:
-    """Deals a group of ``count`` members out as blocks: ``block`` numbers a pair of parts (one part: 0).
-
-    Parts are chosen by the member's hash; a member of part p goes to the pairs (p, q) for every q. ``part`` is its own.
-    """
-    parts = F.greatest(F.lit(1), F.ceil(F.col(count) / size)).cast("int")
-    df = df.withColumn("_parts", parts).withColumn("part", F.pmod(F.xxhash64(F.col(member), F.lit(3)), F.col("_parts")).cast("int"))
-    q = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    low, high = F.least(F.col("part"), F.col("_q")), F.greatest(F.col("part"), F.col("_q"))
-    return df.withColumn("_q", q).withColumn("block", (low * F.col("_parts") + high).cast("long")).drop("_q", "_parts")
-
-
 def candidate_edges(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """A spanning forest of the pairs that survive the Bayesian test in some bucket."""
     keys = _band_keys(classes)
@@ -198,7 +168,7 @@ def candidate_edges(classes: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .filter("m > 1")
     buckets = common.written(buckets.groupBy("m", "x", "s").agg(F.min("key").alias("key")).select("key", "m"), "join-buckets")
     member = common.written(keys.join(buckets, "key"), "join-members")
-    rows = _blocks(member, "key", "m", "cls", BUCKET_BLOCK).select("key", "block", "cls") \
+    rows = common.blocks(member, "key", "m", "cls", BUCKET_BLOCK).select("key", "block", "cls") \
         .join(classes.select("cls", "size", "sig"), "cls")
 
     def fn(table):
@@ -275,7 +245,7 @@ def _verified(docs: DataFrame, classes: DataFrame, component: DataFrame, words:
         sets = [shingles(t, words).tobytes() for t in common.texts_of(batch)]
         return common.batch_of(SETS, [batch.column(0), sets])
     sets = common.map_batches(text, build, SETS).groupBy("cls").agg(F.first("shingles").alias("shingles"))
-    rows = _blocks(member.join(sets, "cls"), "component", "m", "cls", BLOCK) \
+    rows = common.blocks(member.join(sets, "cls"), "component", "m", "cls", BLOCK) \
         .select("component", "block", "part", "cls", "size", "n_docs", "sig", "shingles")
 
     def fn(table):
@@ -285,7 +255,7 @@ def _verified(docs: DataFrame, classes: DataFrame, component: DataFrame, words:
         sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint16).reshape(len(cls), HASHES)
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
         good = exact_similar(sigs, sizes, sets, table.column("part").to_numpy(), 0, threshold)
-        forest = Forest(len(cls))
+        forest = common.Forest(len(cls))
         for i, j in zip(*np.nonzero(np.triu(good))):
             forest.join(int(i), int(j))
         links = good @ table.column("n_docs").to_numpy()

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, language_id, ngram_join, packing, personal_data, sentence_pieces, toxicity
+from . import chat, embedding_dedup, language_id, ngram_join, packing, personal_data, sentence_pieces, toxicity
 from .common import table
 
 
@@ -32,6 +32,11 @@ def op2_sentencepiece(spark, sf_dir):
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op3_embedding_dedup(spark, sf_dir):
+    """Links, components and kept vectors of all embeddings."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark, sf_dir):
     """Every document packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), keep_tokens=False) \
@@ -81,6 +86,7 @@ def op10_ngram_join(spark, sf_dir):
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op8_language_id": op8_language_id,
@@ -117,4 +123,18 @@ degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT d.doc_id, l.class_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links
 FROM documents d JOIN least l ON l.x = d.doc_id LEFT JOIN degree g ON g.x = d.doc_id"""
 
-ORACLE: dict[str, str] = {"op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
+_OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.x = e.vec_id LEFT JOIN degree g ON g.x = e.vec_id"""
+
+ORACLE: dict[str, str] = {"op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
