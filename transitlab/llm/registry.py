@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, language_id, ngram_join, packing, personal_data, sentence_pieces, toxicity
+from . import (chat, embedding_dedup, language_id, license_rules, ngram_join, packing, personal_data, sentence_pieces,
+               spot_signatures, toxicity)
 from .common import table
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -29,7 +30,7 @@ def op1_personal_data(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir):
     """Encoded and decoded documents as digests; every batch is checked against the library."""
-    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def op3_embedding_dedup(spark, sf_dir):
@@ -39,7 +40,7 @@ def op3_embedding_dedup(spark, sf_dir):
 
 def op4_packing(spark, sf_dir):
     """Every document packed into sequences of 1024 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), keep_tokens=False) \
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), keep_tokens=False) \
         .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -51,6 +52,19 @@ def op5_toxicity(spark, sf_dir):
         "doc_id", (~toxicity.is_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")
 
 
+def op6_license_scan(spark, sf_dir):
+    """Licence sentences and licences of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_rules.scan(docs).select(
+        "doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"))
+
+
+def op7_spot_signatures(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return spot_signatures.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark, sf_dir):
     """Language of every document; learned from documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -89,6 +103,8 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_license_scan": op6_license_scan,
+    "op7_spot_signatures": op7_spot_signatures,
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_ngram_join": op10_ngram_join,
@@ -137,4 +153,36 @@ degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
 FROM embeddings e JOIN least l ON l.x = e.vec_id LEFT JOIN degree g ON g.x = e.vec_id"""
 
-ORACLE: dict[str, str] = {"op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _normal_sql(expr: str) -> str:
+    """The sentence form of op6 without lookarounds: dots between digits are set aside while the rest is replaced."""
+    kept = f"regexp_replace(regexp_replace(lower({expr}), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g'), '([0-9])\\.([0-9])', '\\1\x01\\2', 'g')"
+    return f"trim(replace(regexp_replace({kept}, '[^\\p{{L}}\\p{{N}}\x01]+', ' ', 'g'), '\x01', '.'))"
+
+
+def _op6_sql() -> str:
+    known = ", ".join(f"({k}, {_quote(i)}, {_quote(t)})" for k, (i, t) in enumerate(license_rules.SENTENCES))
+    rules = sorted(license_rules.RULES, key=lambda r: -len(r[1]))
+    chains = ["".join(f"|{i}|" for i in ids) for _, ids in rules]
+    pattern = "|".join("(?:" + c.replace("|", "\\|").replace(".", "\\.") + ")" for c in chains)
+    names: dict[str, str] = {}
+    for c, (name, _) in zip(chains, rules):
+        names.setdefault(c, name)
+    lookup = ", ".join(f"{_quote(c)}: {_quote(n)}" for c, n in names.items())
+    return f"""
+WITH known AS (SELECT id, {_normal_sql("s")} AS s FROM (VALUES {known}) k(n, id, s)),
+split AS (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '([.!?;:])[ \\t]+', '\\1\n', 'g'), '[\\n\\r]+') AS parts FROM documents),
+one AS (SELECT doc_id, generate_subscripts(parts, 1) AS n, unnest(parts) AS s FROM split),
+hit AS (SELECT one.doc_id, one.n, known.id FROM one JOIN (SELECT DISTINCT id, s FROM known) known ON {_normal_sql("one.s")} = known.s),
+seq AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY n) AS ids, string_agg('|' || id || '|', '' ORDER BY n) AS chain FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(seq.n, 0) AS BIGINT) AS n_sentences, coalesce(seq.ids, '') AS sentence_ids,
+  coalesce(array_to_string(list_transform(regexp_extract_all(seq.chain, {_quote(pattern)}), lambda m: map {{{lookup}}}[m]), ','), '') AS licenses
+FROM documents d LEFT JOIN seq ON seq.doc_id = d.doc_id"""
+
+
+ORACLE: dict[str, str] = {"op6_license_scan": _op6_sql(), "op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
