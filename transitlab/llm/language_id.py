@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +26,9 @@ from . import common
 
 UNDETERMINED = "und"
 MAX_DOCS_PER_LANGUAGE = 2000
-BUCKETS = 1 << 15
+BUCKET_BITS = 15
+BUCKETS = 1 << BUCKET_BITS
+PRIME, MIX = 1_000_000_007, 0x9E3779B97F4A7C15      # constants of the hash into cells
 SMOOTHING = 0.2
 GRAM_WEIGHT = 0.3          # overlapping n-grams of a word are not independent evidence
 WORD_LIMIT = 6.0           # the most one word can say against a language (natural log)
@@ -58,12 +59,32 @@ def script_of(word: str) -> str:
     return "other"
 
 
-def cells_of(word: str) -> list[int]:
-    """Cells of the word's 1- to 4-grams (with word ends) and of the word itself."""
-    w = f"^{word.lower()}$"
-    grams = [w[i:i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
-    grams += [*w[1:-1], "=" + w]
-    return [zlib.crc32(g.encode()) & (BUCKETS - 1) for g in grams]
+def cells_of(words: list[str]):
+    """(positions, cells) for the words of each length: cells of their 1- to 4-grams with word ends, and of the whole."""
+    import numpy as np
+    by_length: dict[int, list[int]] = {}
+    lower = [w.lower() for w in words]
+    for at, w in enumerate(lower):
+        by_length.setdefault(len(w), []).append(at)
+    for n, where in by_length.items():
+        step = max(1, 200_000 // (n + 2))
+        for lo in range(0, len(where), step):
+            part = where[lo:lo + step]
+            raw = np.frombuffer("".join(lower[a] for a in part).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            ends = np.full((len(part), 1), 1, dtype=np.uint64)
+            code = np.hstack([ends, raw.reshape(len(part), n).astype(np.uint64), ends])
+            gram, whole, grams = np.zeros_like(code), np.zeros(len(part), dtype=np.uint64), []
+            for k in range(1, 5):
+                if code.shape[1] < k:
+                    break
+                # one more character on every k-gram: a polynomial in the code points, salted by the length
+                gram = gram[:, :code.shape[1] - k + 1] * PRIME + code[:, k - 1:]
+                grams.append(gram[:, 1:-1] if k == 1 else gram + np.uint64(k * 1_000_003))
+            for j in range(code.shape[1]):
+                whole = whole * PRIME + code[:, j]
+            cells = np.hstack([*grams, (whole + np.uint64(77))[:, None]])
+            cells = (cells ^ (cells >> np.uint64(31))) * MIX
+            yield np.array(part), (cells >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
 def is_training(doc_id: Column) -> Column:
@@ -84,15 +105,21 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LANGUAGE) -> dict:
     sample = rows.withColumn("_place", place).join(share, "lang").filter(F.col("_place") < F.col("_share"))
 
     def fn(batch):
+        import numpy as np
         words = defaultdict(Counter)
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words[lang].update(WORD.findall(text))
-        out = Counter()
+        out: dict[tuple[str, object], float] = {}
         for lang, counted in words.items():
+            listed, total = list(counted), np.zeros(BUCKETS)
+            often = np.array([counted[w] for w in listed], dtype=float)
+            for where, cells in cells_of(listed):
+                total += np.bincount(cells.ravel(), weights=np.repeat(often[where], cells.shape[1]), minlength=BUCKETS)
+            for c in total.nonzero()[0].tolist():
+                out[lang, c] = total[c]
             for w, n in counted.items():
-                out[lang, script_of(w)] += n * len(w)
-                for c in cells_of(w):
-                    out[lang, c] += n
+                key = lang, script_of(w)
+                out[key] = out.get(key, 0) + n * len(w)
         return common.batch_of(COUNTS, [[k[0] for k in out], [str(k[1]) for k in out], [float(v) for v in out.values()]])
     counted = common.map_batches(sample.select("text", "lang"), fn, COUNTS).groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     return build(((r["lang"], r["cell"], r["n"]) for r in counted.toLocalIterator()))
@@ -119,25 +146,41 @@ def build(counts) -> dict:
     return {"langs": langs, "logp": np.array(logp, dtype="float32").T.copy() if langs else None, "scripts": uses}
 
 
-class WordScores(dict):
-    """word -> number of its row in ``rows``; scores are relative to the word's best language."""
+class WordScores:
+    """Scores of words met, relative to each word's best language; bounded by ``CACHE_WORDS``."""
 
     def __init__(self, model: dict):
-        super().__init__()
-        self.model, self.rows = model, []
-
-    def __missing__(self, word: str) -> int:
+        import numpy as np
+        self.model, self.place = model, {}
+        self.rows = np.zeros((1024, max(1, len(model["langs"]))))
+
+    def of(self, texts: list[list[str]]) -> list:
+        """One score matrix (words x languages) per text."""
+        import numpy as np
+        new = list(set().union(*texts) - self.place.keys())
+        if len(self.place) + len(new) > CACHE_WORDS:
+            self.place.clear()
+            new = list(set().union(*texts))
+        first = len(self.place)
+        while first + len(new) > len(self.rows):
+            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
         m = self.model
-        s = m["logp"][cells_of(word)].sum(axis=0) * GRAM_WEIGHT
-        mine = m["scripts"][script_of(word)]
-        if len(mine) < len(s):
-            kept = s[mine]
-            s[:] = kept.max() - 2 * WORD_LIMIT
-            s[mine] = kept
-        s -= s.max()
-        self.rows.append(s.clip(-WORD_LIMIT, 0.0).tolist())
-        self[word] = len(self.rows) - 1
-        return self[word]
+        for where, cells in cells_of(new):
+            self.rows[first + where] = m["logp"][cells].sum(axis=1) * GRAM_WEIGHT
+        got = self.rows[first:first + len(new)]
+        odd = [(i, script_of(w)) for i, w in enumerate(new) if not w.isascii()]
+        if len(m["scripts"]["latin"]) < got.shape[1]:
+            odd = [(i, script_of(w)) for i, w in enumerate(new)]
+        for i, script in odd:
+            mine = m["scripts"][script]
+            if len(mine) < got.shape[1]:
+                kept = got[i, mine]
+                got[i] = kept.max() - 2 * WORD_LIMIT
+                got[i, mine] = kept
+        got -= got.max(axis=1, keepdims=True)
+        np.maximum(got, -WORD_LIMIT, out=got)
+        self.place.update(zip(new, range(first, first + len(new))))
+        return [self.rows[list(map(self.place.__getitem__, t))] for t in texts]
 
 
 def viterbi(rows: list[list[float]], penalty: float = SWITCH_PENALTY) -> list[int]:
@@ -182,21 +225,21 @@ SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end",
                      T.StructField("lang", T.StringType())])
 
 
-def label(text: str, table: WordScores, penalty: float = SWITCH_PENALTY):
-    """(language, score, spans) of one text; spans are (start, end, language) in code points."""
+def label_all(texts: list[str], table: WordScores, penalty: float = SWITCH_PENALTY) -> list:
+    """(language, score, spans) of each text; spans are (start, end, language) in code points."""
+    if not table.model["langs"]:
+        return [(UNDETERMINED, 0.0, [])] * len(texts)
+    words = [WORD.findall(t) for t in texts]
+    return [_label(t, w, s, table.model["langs"], penalty) if w else (UNDETERMINED, 0.0, [])
+            for t, w, s in zip(texts, words, table.of(words))]
+
+
+def _label(text: str, words: list[str], scores, langs: list[str], penalty: float):
     import numpy as np
-    words = WORD.findall(text) if table.model["langs"] else []
-    if not words:
-        return UNDETERMINED, 0.0, []
-    langs = table.model["langs"]
-    if len(table) > CACHE_WORDS:
-        table.clear()
-        table.rows.clear()
-    ids = list(map(table.__getitem__, words))
-    scores = np.array([table.rows[i] for i in ids])
     sure = one_language(scores, penalty)
     lengths = np.fromiter(map(len, words), float, len(words))
     if sure is not None:
+        path = None
         spans = [(text.find(words[0]), text.rfind(words[-1]) + len(words[-1]), langs[sure])]
         letters = np.zeros(len(langs))
         letters[sure] = lengths.sum()
@@ -210,8 +253,10 @@ def label(text: str, table: WordScores, penalty: float = SWITCH_PENALTY):
             else:
                 spans.append((m.start(), m.end(), langs[k]))
     win = int(letters.argmax())
-    rest = np.delete(scores.sum(axis=0), win)
-    margin = float(scores[:, win].sum() - rest.max()) if len(rest) else 50.0
+    mine = scores if path is None else scores[np.array(path) == win]
+    rest = np.delete(mine.sum(axis=0), win)
+    # how far the words labelled with the winner speak for it against the next language
+    margin = float(mine[:, win].sum() - rest.max()) if len(rest) else 50.0
     sure_share = 1 / (1 + math.exp(-min(50.0, max(-50.0, margin))))
     return langs[win], float(letters[win] / letters.sum()) * sure_share, spans
 
@@ -242,19 +287,19 @@ def language_spans(docs: DataFrame, model: dict) -> DataFrame:
 
     def fn(batch):
         table = _table(shared.value)
-        got = [label(t, table) for t in common.texts_of(batch)]
+        got = label_all(common.texts_of(batch), table)
         spans = [[{"start": a, "end": b, "lang": x} for a, b, x in g[2]] for g in got]
         return common.batch_of(schema, [batch.column(0), [g[0] for g in got], [g[1] for g in got], spans])
     return common.map_batches(docs.select("doc_id", "text"), fn, schema)
 
 
-def keep_identified(docs: DataFrame, model: dict, min_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: dict, min_score: float = 0.3) -> DataFrame:
     """The rows whose language is known: not ``und`` and scored ``min_score`` or more. All columns, no shuffle."""
     shared = _shared(docs, model)
 
     def fn(batch):
         import pyarrow as pa
         table = _table(shared.value)
-        got = [label(t, table) for t in common.texts_of(batch)]
+        got = label_all(common.texts_of(batch), table)
         return batch.filter(pa.array([g[0] != UNDETERMINED and g[1] >= min_score for g in got]))
     return common.map_batches(docs, fn, docs.schema)
