@@ -110,10 +110,10 @@ def test_train_evaluate_importance_save_load_predict(spark, tmp_dir):
     path = model.save_model(spark, rf, tmp_dir, "random_forest", FEATS, {"r2_score": m.r2_score})
     loaded, meta = model.load_model(spark, path)
     assert model.model_info(meta).first().feature_names == FEATS
-    assert model.model_info(None) == {"status": "No model loaded"}
+    assert model.model_info(None) == {"status": "no model"}
     one = test.limit(1)
     assert model.predict(loaded, one).count() == 1                 # T19: one row is still a table
-    with pytest.raises(ValueError, match="Missing required features"):
+    with pytest.raises(ValueError, match="lacks model inputs"):
         model.predict(loaded, test.drop("route_id_encoded"))
 
 

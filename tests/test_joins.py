@@ -1,7 +1,7 @@
 import contextlib
 import io
 
-from transitlab.operators.joins import bounded_broadcast
+from transitlab.operators.joins import left_join_dimension
 
 
 def _plan(df):
@@ -11,22 +11,71 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_broadcast_only_within_the_bound(spark):
+def test_no_job_runs_before_a_dimension_join(spark):
+    from pyspark.sql import functions as F
+    from transitlab.operators import schedule
+    st = spark.range(2000).select(F.col("id").cast("string").alias("trip_id"), F.lit("s").alias("stop_id"), F.lit("08:00:00").alias("arrival_time"))
+    trips = spark.range(2000).select(F.col("id").cast("string").alias("trip_id"), F.lit("r").alias("route_id"), F.lit("x").alias("service_id"))
+    routes = spark.range(1).select(F.lit("r").alias("route_id"), F.lit("R").alias("route_short_name"))
+    stops = spark.range(1).select(F.lit("s").alias("stop_id"), F.lit("S").alias("stop_name"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy-join", "no job")
+    try:
+        out = schedule.schedule_without_calendar(st, trips, routes, stops)
+        assert len(tracker.getJobIdsForGroup("lazy-join")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert out.count() == 2000
+
+
+def test_broadcast_is_the_planners_choice(spark):
     fact = spark.range(1000).withColumnRenamed("id", "k")
     dim = spark.range(50).withColumnRenamed("id", "k")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints may broadcast
     try:
-        small = _plan(fact.join(bounded_broadcast(dim, max_rows=50), "k"))
-        assert "BroadcastHashJoin" in small
-        large = _plan(fact.join(bounded_broadcast(dim, max_rows=49), "k"))
-        assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
-        by_input = _plan(fact.join(bounded_broadcast(dim.groupBy("k").count(), max_rows=49, bound_by=dim), "k"))
-        assert "BroadcastHashJoin" not in by_input
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "BroadcastHashJoin" not in _plan(left_join_dimension(fact, dim, "k"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+        assert "BroadcastHashJoin" in _plan(left_join_dimension(fact, dim, "k"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_hot_keys_need_a_fraction_that_bounds_them(spark):
+    import pytest
+    from transitlab.operators.joins import hot_keys
+    with pytest.raises(ValueError):
+        hot_keys(spark.range(3), ["id"], 0.0)
+
+
+def test_hot_and_null_keys_are_spread_by_default(spark):
+    from pyspark.sql import functions as F
+    from transitlab.operators import schedule
+    # a third of the updates on one key, a third without a key
+    ups = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "t1").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("trip_id"),
+                                   F.lit("s1").alias("stop_id"), F.col("id"))
+    st = spark.createDataFrame([("t1", "s1", "08:00:00", 1), ("t1", "s1", "09:00:00", 2), ("4", "s1", "07:00:00", 1)],
+                               "trip_id string, stop_id string, arrival_time string, stop_sequence int")
+    trips = spark.createDataFrame([("t1", "r1")], "trip_id string, route_id string")
+    routes = spark.createDataFrame([("r1", "1", "One")], "route_id string, route_short_name string, route_long_name string")
+    stops = spark.createDataFrame([("s1", "S", 1.0, 1.0)], "stop_id string, stop_name string, stop_lat double, stop_lon double")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops)
+        assert "_salt" in _plan(out)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2000                    # unsalted, one task would hold 3000 of the hot key and one 3000 nulls
+        plain = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops, skew_fraction=None)
+        key = lambda r: r["id"]
+        assert sorted(out.collect(), key=key) == sorted(plain.collect(), key=key)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_salted_left_join_equals_plain_join_with_a_hot_key(spark):
     from pyspark.sql import functions as F
     from transitlab.operators.joins import hot_keys, salted_left_join
@@ -49,7 +98,7 @@ def test_realtime_merge_salted_equals_plain(spark):
     stops = spark.createDataFrame([("s1", "S", 1.0, 1.0)], "stop_id string, stop_name string, stop_lat double, stop_lon double")
     ups = spark.createDataFrame([("t1", "s1", i) for i in range(60)] + [("t2", "s2", 1), ("t9", "s9", 2)],
                                 "trip_id string, stop_id string, arrival_delay int")
-    plain = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops)
+    plain = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops, skew_fraction=None)
     salted = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops, skew_fraction=0.2)
     assert salted.columns == plain.columns
     assert sorted(salted.collect()) == sorted(plain.collect())

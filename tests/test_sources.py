@@ -94,7 +94,7 @@ def test_archive_write_read_list(spark, tmp_dir):
     day = archive.read_archive(spark, root, schema, "vehicles", "20240102").collect()
     assert [r.vehicle_id for r in day] == ["v2"] and day[0].archive_key == "transit/vehicles/20240102/20240102_113005.json"
     assert archive.read_archive(spark, root, schema).count() == 2
-    files = [r.file_path for r in archive.list_archive_files(spark, root, schema, "vehicles", "20240101").collect()]
+    files = [r.file_path for r in archive.list_archive_files(spark, root, "vehicles", "20240101").collect()]
     assert files and all("date=20240101" in f for f in files)
 
 
@@ -102,9 +102,11 @@ def test_keyed_store_upsert_later_put_wins(spark, tmp_dir):
     path = f"{tmp_dir}/store"
     vp = "vehicle_id string, route_id string, latitude double, timestamp timestamp, event_id long"
     b1 = spark.createDataFrame([("v1", "r1", 1.0, ts("2024-01-01T10:00:00"), 1), ("v2", None, 2.0, ts("2024-01-01T10:00:00"), 2)], vp)
-    assert keyed_store.upsert_items(spark, keyed_store.vehicle_items(b1), path, ["event_id"]) == 2
+    keyed_store.upsert_items(spark, keyed_store.vehicle_items(b1), path, ["event_id"], 0)
     b2 = spark.createDataFrame([("v1", "r1", 9.0, ts("2024-01-01T10:00:00"), 0), ("v3", "r1", 3.0, ts("2024-01-01T10:05:00"), 3)], vp)
-    keyed_store.upsert_items(spark, keyed_store.vehicle_items(b2), path, ["event_id"])
+    keyed_store.upsert_items(spark, keyed_store.vehicle_items(b2), path, ["event_id"], 1)
+    keyed_store.upsert_items(spark, keyed_store.vehicle_items(b2), path, ["event_id"], 1)      # a replay
+    assert keyed_store.read_puts(spark, path).count() == 4
     store = keyed_store.read_store(spark, path)
     got = {(r.pk, r.sk): r.latitude for r in store.collect()}
     assert got == {("VEHICLE#r1", "2024-01-01T10:00:00#v1"): 9.0,          # the later put wins
@@ -115,6 +117,55 @@ def test_keyed_store_upsert_later_put_wins(spark, tmp_dir):
     assert keyed_store.query_recent_vehicles(store, None, limit=10).count() == 3
 
 
+def test_store_reads_only_touched_days_and_compacts(spark, tmp_dir):
+    import contextlib
+    import io
+    path = f"{tmp_dir}/days"
+    vp = "vehicle_id string, route_id string, latitude double, timestamp timestamp, event_id long"
+    rows = [("v", "r", float(d), ts(f"2024-01-{d:02d}T10:00:00"), d) for d in range(1, 6)]
+    items = keyed_store.vehicle_items(spark.createDataFrame(rows, vp))
+    assert keyed_store.read_store(spark, path) is None and keyed_store.compact(spark, path, f"{path}-new") is None
+    keyed_store.upsert_items(spark, items, path, ["event_id"], 0)
+    keyed_store.upsert_items(spark, items.filter("event_id = 2").withColumn("latitude", F.lit(9.0)), path, ["event_id"], 3)
+    day = keyed_store.read_store(spark, path, ["2024-01-02"], items.schema)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        day.explain()
+    assert "PartitionFilters: [event_date" in buf.getvalue().replace("isnotnull(event_date#", "event_date#") or "event_date" in \
+        buf.getvalue().split("PartitionFilters:")[1].split("]")[0]
+    assert [(r.latitude, r.event_date) for r in day.collect()] == [(9.0, "2024-01-02")]
+    compacted = keyed_store.compact(spark, path, f"{path}-new")
+    assert sorted(r.latitude for r in compacted.collect()) == [1.0, 3.0, 4.0, 5.0, 9.0]
+    assert keyed_store.read_puts(spark, f"{path}-new").count() == 5
+    keyed_store.upsert_items(spark, items.filter("event_id = 1").withColumn("latitude", F.lit(7.0)), f"{path}-new", ["event_id"], 4)
+    assert sorted(r.latitude for r in keyed_store.read_store(spark, f"{path}-new").collect()) == [3.0, 4.0, 5.0, 7.0, 9.0]
+
+
+def test_failed_put_leaves_the_store_whole(spark, tmp_dir):
+    import pytest
+    path = f"{tmp_dir}/failing"
+    vp = "vehicle_id string, route_id string, latitude double, timestamp timestamp, event_id long"
+    good = keyed_store.vehicle_items(spark.createDataFrame([("v", "r", 1.0, ts("2024-01-01T10:00:00"), 1)], vp))
+    keyed_store.upsert_items(spark, good, path, ["event_id"], 0)
+    bad = good.withColumn("latitude", F.when(F.col("event_id") > 0, F.raise_error(F.lit("lost")).cast("double")))
+    with pytest.raises(Exception):
+        keyed_store.upsert_items(spark, bad, path, ["event_id"], 1)
+    assert [r.latitude for r in keyed_store.read_store(spark, path).collect()] == [1.0]
+
+
+def test_writers_leave_the_callers_cache_alone(spark, tmp_dir):
+    vp = "vehicle_id string, route_id string, timestamp timestamp, feed_timestamp timestamp, event_id long"
+    df = spark.createDataFrame([("v", "r", ts("2024-01-01T10:00:00"), ts("2024-01-01T10:00:00"), 1)], vp).cache()
+    df.count()
+    archive.write_archive(df, f"{tmp_dir}/a", "vehicles", batch_id=1)
+    assert df.storageLevel.useMemory
+    items = keyed_store.vehicle_items(df).cache()
+    keyed_store.upsert_items(spark, items, f"{tmp_dir}/s", ["event_id"], 1)
+    assert items.storageLevel.useMemory and df.storageLevel.useMemory
+    items.unpersist()
+    df.unpersist()
+
+
 def test_trip_update_keys_and_export(spark, tmp_dir):
     tu = spark.createDataFrame([("t1", "r1", "s1", ts("2024-01-01T10:00:00.250000"), 1)],
                                "trip_id string, route_id string, stop_id string, feed_timestamp timestamp, event_id long")

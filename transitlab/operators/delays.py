@@ -133,15 +133,14 @@ def schedule_summary_from_timetable(stop_times: DataFrame, trips: DataFrame, rou
     and stops are the same before and after the fan-out. So the summary costs one pass over the J1-J3
     rows plus a per-service count of the calendar, instead of a pass over rows x dates.
     """
-    from .joins import bounded_broadcast
+    from .joins import left_join_dimension
     from .schedule import schedule_without_calendar
     rows = schedule_without_calendar(stop_times, trips, routes, stops).select("route_id", "stop_id", "service_id")
     weight = F.lit(1).cast("bigint")
     if calendar_dates is not None:
         cal = calendar_dates if not active_only else calendar_dates.filter(F.col("exception_type") != 2)
         per_service = cal.groupBy("service_id").agg(F.count(F.lit(1)).alias("_dates"))
-        rows = rows.join(bounded_broadcast(per_service, bound_by=calendar_dates.select("service_id")), "service_id",
-                         "left")
+        rows = left_join_dimension(rows, per_service, "service_id")
         weight = F.coalesce(F.col("_dates"), weight)
     return rows.agg(F.sum(weight).cast("bigint").alias("total_records"),
                   F.count_distinct("route_id").alias("unique_routes"),

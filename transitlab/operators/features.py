@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefuncs import hour_of_day, is_rush_hour, is_weekend, time_of_day, weekday_monday0
 from .delays import _ts
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from .joins import left_join_dimension
 
 # Model inputs in order, identifier columns kept beside them.
 BASE_FEATURES = ["hour_of_day", "day_of_week", "is_weekend", "is_rush_hour", "route_id_encoded"]
@@ -49,7 +49,7 @@ def encode_route(df: DataFrame, model: StringIndexerModel | None, col: str = "ro
     Unseen labels fail unless ``handle_invalid='keep'`` (they then get the next free code).
     """
     if model is None:
-        raise ValueError("Encoder must be fitted before transform")
+        raise ValueError("no fitted route encoder was given")
     model = model.copy().setHandleInvalid(handle_invalid)
     out = model.transform(df.withColumn("_route_text", route_text(df, col)))
     # The indexer marks its output nominal; the code is used as a number downstream.
@@ -66,8 +66,7 @@ def encode_categorical_features(df: DataFrame, fit: bool = True, model: StringIn
     return encode_route(df, model, col), model
 
 
-def add_weather_feature(df: DataFrame, temperature=None, hour_col: str = "feed_timestamp",
-                        broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def add_weather_feature(df: DataFrame, temperature=None, hour_col: str = "feed_timestamp") -> DataFrame:
     """``weather_temp`` from one temperature (float) or an hourly table (``hour``, ``temperature``).
 
     Missing hourly readings are filled with the mean reading. With no temperature at all the column
@@ -80,8 +79,7 @@ def add_weather_feature(df: DataFrame, temperature=None, hour_col: str = "feed_t
     weather = temperature.select(F.date_trunc("hour", F.col("hour")).alias("_wh"),
                                  F.col("temperature").cast("double").alias("_wt"))
     mean = weather.select(F.avg("_wt")).scalar()
-    joined = df.withColumn("_wh", F.date_trunc("hour", F.col(hour_col))) \
-        .join(bounded_broadcast(weather, broadcast_max_rows), "_wh", "left")
+    joined = left_join_dimension(df.withColumn("_wh", F.date_trunc("hour", F.col(hour_col))), weather, "_wh")
     return joined.withColumn("weather_temp", F.coalesce(F.col("_wt"), mean)).drop("_wh", "_wt")
 
 

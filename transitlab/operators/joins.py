@@ -1,59 +1,48 @@
-"""Join helpers: a side is broadcast only after its size has been bounded."""
+"""Join helpers. Which side is broadcast is left to the planner and to AQE, which go by real bytes."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we are willing to ship to every executor (rows). Dimension rows here are under
-# ~120 bytes, so this caps a broadcast near 120 MB; anything larger takes the shuffle join.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Hot keys are shipped to every executor: at most 1 / MIN_HOT_FRACTION of them.
+MIN_HOT_FRACTION = 1e-4
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once the bound is exceeded,
-    so it costs at most ``max_rows`` rows however large the table is. ``bound_by`` names a cheaper frame
-    with at least as many rows (the input of an aggregate, say), so the aggregate is not run twice.
-    Beyond the bound the planner and AQE choose the join (sort-merge, or broadcast if run-time
-    statistics allow).
-    """
-    if max_rows <= 0:
-        return df
-    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def left_join_dimension(fact: DataFrame, dim: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
-                        ) -> DataFrame:
-    return fact.join(bounded_broadcast(dim, max_rows), on=on, how="left")
+def left_join_dimension(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
+    """Left join with a dimension, without a hint: the planner broadcasts a side whose scan is known to be below
+    ``spark.sql.autoBroadcastJoinThreshold``, AQE one whose shuffle output proves to be; no job runs before the query."""
+    return fact.join(dim, on=on, how="left")
 
 
 def hot_keys(df: DataFrame, keys, fraction: float) -> DataFrame:
-    """Keys holding at least ``fraction`` of the rows of ``df`` (at most ``1 / fraction`` of them).
+    """Keys holding at least ``fraction`` of the rows of ``df`` (at most ``1 / fraction`` of them), nulls excepted.
 
-    One aggregation with map-side combining; the result is small by construction.
+    One aggregation with map-side combining; ``fraction`` may not be below ``MIN_HOT_FRACTION``.
     """
+    if fraction < MIN_HOT_FRACTION:
+        raise ValueError(f"fraction must be at least {MIN_HOT_FRACTION}")
     total = df.select(F.count(F.lit(1))).scalar()
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= total * fraction) \
-        .select(*keys, F.lit(True).alias("_hot"))
+    return df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .filter(F.col("_n") >= total * fraction).select(*keys, F.lit(True).alias("_hot"))
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, keys, fraction: float = 0.01, salts: int = 32
                      ) -> DataFrame:
     """Left equi-join that splits hot keys of ``left`` over ``salts`` tasks.
 
-    Rows of a key holding at least ``fraction`` of ``left`` get a salt from a hash of the whole row; the
-    right rows of those keys are repeated once per salt value; every other key keeps salt 0, so only the
-    hot keys pay for the repetition. Same result as ``left.join(right, keys, "left")``. AQE's skew-join
-    split does the same at run time when it is on; this is for sessions or join types where it is not.
+    Rows of a key holding at least ``fraction`` of ``left`` get a salt from a hash of the whole row; the right rows
+    of those keys are repeated once per salt value. Left rows with a null key match nothing, so they get a
+    salt too and spread out instead of meeting in one task. Every other key keeps salt 0. Same result as
+    ``left.join(right, keys, "left")``.
     """
     keys = list(keys)
     hot = F.broadcast(hot_keys(left, keys, fraction))       # at most 1 / fraction rows
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
+    unmatched = F.lit(False)
+    for k in keys:
+        unmatched = unmatched | F.col(k).isNull()
     l2 = left.join(hot, keys, "left") \
-        .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+        .withColumn("_salt", F.when(F.col("_hot") | unmatched, salt).otherwise(F.lit(0))).drop("_hot")
     r2 = right.join(hot, keys, "left") \
         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                                        .otherwise(F.array(F.lit(0))))).drop("_hot")

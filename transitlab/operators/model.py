@@ -81,7 +81,8 @@ def exact_hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     below, above = hashed.filter(F.col("_k") < t), hashed.filter(F.col("_k") > t)
     # rank = how many rows of the tie group still belong to test (1 <= rank <= size of the group)
     tied = hashed.filter(F.col("_k") == t).groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    w = Window.partitionBy(F.lit(t)).orderBy(*cols)              # the distinct tied rows: one or a few
+    # the distinct tied rows: one or a few, unless `key_cols` are coarse; their order is that of all columns
+    w = Window.partitionBy(F.lit(t)).orderBy(*cols)
     before = F.sum("_m").over(w) - F.col("_m")
     tied = tied.withColumn("_take", F.least(F.greatest(F.lit(rank) - before, F.lit(0)), F.col("_m")))
 
@@ -223,17 +224,16 @@ def predict(model: PipelineModel, df: DataFrame, feature_names: Sequence[str] |
 
     A single row still gives a table.
     """
-    names = list(feature_names or model_feature_names(model))
-    missing = [c for c in names if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required features: {missing}")
+    absent = sorted(set(feature_names or model_feature_names(model)).difference(df.columns))
+    if absent:
+        raise ValueError(f"the table lacks model inputs: {', '.join(absent)}")
     return model.transform(df).drop("features")
 
 
 def model_info(meta: DataFrame | None) -> DataFrame | dict:
     """M8: the metadata row, or a status when no model is loaded."""
     if meta is None:
-        return {"status": "No model loaded"}
+        return {"status": "no model"}
     return meta.select("model_type", "trained_at", "feature_names", "training_stats")
 
 
@@ -243,7 +243,7 @@ def train_and_evaluate(spark: SparkSession, df: DataFrame, feature_cols: Sequenc
     """M9: split -> fit -> metrics -> importances -> save. Unknown model types are an error."""
     model_type = MODEL_TYPE_ALIASES.get(model_type, model_type)
     if model_type not in MODEL_TYPES:
-        raise ValueError(f"Unknown model type: {model_type}")
+        raise ValueError(f"model_type must be one of {MODEL_TYPES}, not {model_type!r}")
     train, test = prepare_data(df, feature_cols, target_col)
     fit = train_random_forest if model_type == "random_forest" else train_boosted_trees
     model = fit(train, feature_cols, target_col, **params)
@@ -252,4 +252,18 @@ def train_and_evaluate(spark: SparkSession, df: DataFrame, feature_cols: Sequenc
     path = None
     if model_dir:
         path = save_model(spark, model, model_dir, model_type, feature_cols, metrics_row)
-    return {"model": model, "metrics": metrics_row, "feature_importance": importance, "path": path}
+    return {"model": model, "model_type": model_type, "metrics": metrics_row, "feature_importance": importance, "path": path}
+
+
+def train_delay_model(spark: SparkSession, data_path: str, feature_cols: Sequence[str] | None = None,
+                      model_type: str = "random_forest", target_col: str = "delay_minutes", fmt: str = "csv",
+                      model_dir: str | None = None, **params) -> dict:
+    """M9 from a written feature table: read (S17) -> split -> fit -> metrics -> importances -> save.
+
+    Without ``feature_cols`` the features present in the table are used, in their fixed order.
+    """
+    from ..sources.training_csv import read_training_table
+    from .features import feature_columns
+    df = read_training_table(spark, data_path, target_col, fmt)
+    return train_and_evaluate(spark, df, list(feature_cols or feature_columns(df, include_weather=True)), target_col, model_type,
+                              model_dir, **params)

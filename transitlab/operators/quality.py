@@ -56,17 +56,19 @@ def validate_trip_updates(df: DataFrame) -> DataFrame:
 def first_per_key(df: DataFrame, keys: Sequence[str], order_col: str | None) -> DataFrame:
     """Keep the first row per key in arrival order (smallest ``order_col``).
 
-    Written as ``groupBy(keys).agg(min_by(struct(row), order))``: the partial aggregate keeps one row per
-    key and map task before the shuffle, so a key holding a third of all rows ships one row per task.
-    Keys are compared as a tuple (nulls form one group). ``order_col=None`` keeps an arbitrary row.
+    Rows without an order value come last; equal order values are settled by the remaining columns, so the
+    result does not depend on partitioning. Written as ``groupBy(keys).agg(min(struct(order, row)))``: the partial
+    aggregate keeps one row per key and map task before the shuffle, so a key holding a third of all rows ships one
+    row per task. Keys are compared as a tuple (nulls form one group). ``order_col=None`` orders by the
+    remaining columns alone.
     """
     keys = list(keys)
-    if order_col is None:
-        return df.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_first")
-    out = df.groupBy(*keys).agg(first)
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_first.{c}").alias(c) for c in rest]) \
+    if not rest:
+        return df.dropDuplicates(keys)
+    order = [F.col(order_col).isNull().alias("_late"), F.col(order_col).alias("_order")] if order_col else []
+    out = df.groupBy(*keys).agg(F.min(F.struct(*order, F.struct(*[F.col(c) for c in rest]).alias("_row"))).alias("_first"))
+    return out.select(*[F.col(k) for k in keys], *[F.col(f"_first._row.{c}").alias(c) for c in rest]) \
         .select(*df.columns)
 
 

@@ -116,3 +116,17 @@ def route_ranking_display(ranking: DataFrame) -> DataFrame:
                           F.format_string("%.2f min", two_dp).alias("Avg Delay"),
                           F.col("num_updates").alias("Sample Size"),
                           F.col("route_name").alias("Route Name"))
+
+
+def report_page(page: dict, routes=None) -> dict:
+    """One run of the report page: the selected routes in both live views, then every report on them.
+
+    ``page`` is what ``live.load_dashboard_data`` returns. KPIs, map points, status summary, heatmap and hourly means come
+    back as frames.
+    """
+    from . import live, quality
+    vehicles = quality.filter_routes(page["vehicles"], routes)
+    trips = quality.filter_routes(page["trip_updates"], routes)
+    return {"kpis": kpis(vehicles, trips), "map_points": quality.map_points(vehicles),
+            "status_summary": status_summary(live.vehicles_with_latest_delay(quality.drawable_positions(vehicles), trips)),
+            "heatmap": heatmap_long(trips), "vehicles": vehicles, "trip_updates": trips}

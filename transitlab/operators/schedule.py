@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefuncs import parse_service_date, weekday_monday0
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast, salted_left_join
+from .joins import left_join_dimension, salted_left_join
 
 # The columns each timetable table contributes to the master schedule.
 TRIP_COLUMNS = ("trip_id", "route_id", "service_id", "trip_headsign")
@@ -28,48 +28,38 @@ def calendar_with_weekday(calendar_dates: DataFrame) -> DataFrame:
         .withColumn("day_of_week", weekday_monday0("date"))
 
 
-def schedule_without_calendar(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame,
-                              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def schedule_without_calendar(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame
+                              ) -> DataFrame:
     """stop_times left-joined with trips, routes and stops.
 
-    Dimensions go out as broadcasts only after their row count is bounded; a large trips or stops table
-    falls back to a shuffle join (and AQE splits skewed trip partitions).
+    Small dimensions are broadcast by the planner or by AQE; large ones take a shuffle join whose skewed
+    partitions AQE splits.
     """
-    s = stop_times.join(bounded_broadcast(trips.select(*_cols(trips, TRIP_COLUMNS)), broadcast_max_rows),
-                        "trip_id", "left")
-    s = s.join(bounded_broadcast(routes.select(*_cols(routes, ROUTE_COLUMNS)), broadcast_max_rows),
-               "route_id", "left")
-    s = s.join(bounded_broadcast(stops.select(*_cols(stops, STOP_COLUMNS)), broadcast_max_rows),
-               "stop_id", "left")
-    return s
+    s = left_join_dimension(stop_times, trips.select(*_cols(trips, TRIP_COLUMNS)), "trip_id")
+    s = left_join_dimension(s, routes.select(*_cols(routes, ROUTE_COLUMNS)), "route_id")
+    return left_join_dimension(s, stops.select(*_cols(stops, STOP_COLUMNS)), "stop_id")
 
 
-def expand_service_dates(schedule: DataFrame, calendar_dates: DataFrame | None, active_only: bool = False,
-                         broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def expand_service_dates(schedule: DataFrame, calendar_dates: DataFrame | None, active_only: bool = False
+                         ) -> DataFrame:
     """One row per service date (left join on service_id, fans out); skipped when there is no calendar.
 
-    ``exception_type`` is not looked at unless ``active_only`` (then removed dates, type 2, are dropped).
+    An empty calendar counts as none: the schedule's columns stay as they are. ``exception_type`` is not looked
+    at unless ``active_only`` (then removed dates, type 2, are dropped).
     """
-    if calendar_dates is None:
-        return schedule
-    # one bounded count decides both "is there a calendar" and "may it be broadcast"
-    n = calendar_dates.limit(broadcast_max_rows + 1).count()
-    if n == 0:
+    if calendar_dates is None or calendar_dates.isEmpty():      # one row at most is read to decide
         return schedule
     cal = calendar_with_weekday(calendar_dates)
     if active_only:
         cal = cal.filter(F.col("exception_type") != 2)
-    cal = cal.select(*CALENDAR_COLUMNS)
-    cal = F.broadcast(cal) if n <= broadcast_max_rows else cal
-    return schedule.join(cal, "service_id", "left")
+    return left_join_dimension(schedule, cal.select(*CALENDAR_COLUMNS), "service_id")
 
 
 def build_master_schedule(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame,
-                          calendar_dates: DataFrame | None = None, active_only: bool = False,
-                          broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                          calendar_dates: DataFrame | None = None, active_only: bool = False) -> DataFrame:
     """J5 = J1 -> J2 -> J3 -> J4."""
-    s = schedule_without_calendar(stop_times, trips, routes, stops, broadcast_max_rows)
-    return expand_service_dates(s, calendar_dates, active_only, broadcast_max_rows)
+    s = schedule_without_calendar(stop_times, trips, routes, stops)
+    return expand_service_dates(s, calendar_dates, active_only)
 
 
 def first_schedule_row(schedule: DataFrame) -> DataFrame:
@@ -84,8 +74,8 @@ def first_schedule_row(schedule: DataFrame) -> DataFrame:
         .select("trip_id", "stop_id", *[F.col(f"_s.{c}").alias(c) for c in info])
 
 
-def merge_realtime_with_schedule(updates: DataFrame, schedule: DataFrame, include_schedule_info: bool = True
-                                 ) -> DataFrame:
+def merge_realtime_with_schedule(updates: DataFrame, schedule: DataFrame, include_schedule_info: bool = True,
+                                 skew_fraction: float | None = 0.01) -> DataFrame:
     """Updates left-joined with the first schedule row of their (trip_id, stop_id).
 
     Schedule columns whose name the updates already use get the ``_scheduled`` suffix. The calendar is
@@ -93,18 +83,16 @@ def merge_realtime_with_schedule(updates: DataFrame, schedule: DataFrame, includ
     """
     if not include_schedule_info:
         return updates
-    return _attach(updates, first_schedule_row(schedule))
+    return _attach(updates, first_schedule_row(schedule), skew_fraction)
 
 
-def trip_service_dates(trips: DataFrame, calendar_dates: DataFrame, active_only: bool = False,
-                       broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def trip_service_dates(trips: DataFrame, calendar_dates: DataFrame, active_only: bool = False) -> DataFrame:
     """J4 on its own: every trip with each date its service runs (trips without a calendar keep one row)."""
-    return expand_service_dates(trips.select(*_cols(trips, TRIP_COLUMNS)), calendar_dates, active_only,
-                                broadcast_max_rows)
+    return expand_service_dates(trips.select(*_cols(trips, TRIP_COLUMNS)), calendar_dates, active_only)
 
 
-def first_timetable_rows(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame,
-                         broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def first_timetable_rows(stop_times: DataFrame, trips: DataFrame, routes: DataFrame, stops: DataFrame
+                         ) -> DataFrame:
     """``first_schedule_row(schedule_without_calendar(...))`` without building the full schedule.
 
     Route attributes depend only on trip_id and stop attributes only on stop_id, so the smallest
@@ -116,30 +104,30 @@ def first_timetable_rows(stop_times: DataFrame, trips: DataFrame, routes: DataFr
     st = stop_times.groupBy("trip_id", "stop_id") \
         .agg(F.min(F.struct("stop_sequence", "arrival_time")).alias("_t"))
     rt = routes.select(*_cols(routes, ("route_id", "route_short_name", "route_long_name")))
-    tr = trips.select("trip_id", "route_id").join(bounded_broadcast(rt, broadcast_max_rows), "route_id", "left") \
+    tr = left_join_dimension(trips.select("trip_id", "route_id"), rt, "route_id") \
         .groupBy("trip_id").agg(F.min(F.struct("route_id", "route_short_name", "route_long_name")).alias("_r"))
     sp = stops.groupBy("stop_id").agg(F.min(F.struct("stop_name", "stop_lat", "stop_lon")).alias("_s"))
-    # An aggregate has no more rows than its input: bound the small sides by their inputs.
-    out = st.join(bounded_broadcast(tr, broadcast_max_rows, bound_by=trips.select("trip_id")), "trip_id", "left") \
-        .join(bounded_broadcast(sp, broadcast_max_rows, bound_by=stops.select("stop_id")), "stop_id", "left")
+    out = left_join_dimension(left_join_dimension(st, tr, "trip_id"), sp, "stop_id")
     return out.select("trip_id", "stop_id", "_t.stop_sequence", "_t.arrival_time", "_r.route_id",
                       "_r.route_short_name", "_r.route_long_name", "_s.stop_name", "_s.stop_lat", "_s.stop_lon")
 
 
+SKEW_FRACTION = 0.01
+
+
 def merge_realtime_with_timetable(updates: DataFrame, stop_times: DataFrame, trips: DataFrame,
                                   routes: DataFrame, stops: DataFrame, include_schedule_info: bool = True,
-                                  broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                                  skew_fraction: float | None = None) -> DataFrame:
+                                  skew_fraction: float | None = SKEW_FRACTION) -> DataFrame:
     """J6 straight from the timetable tables: same result as ``merge_realtime_with_schedule`` on the
     J1-J3 schedule, with the schedule reduced before any dimension join.
 
-    ``skew_fraction`` (e.g. 0.01) salts (trip, stop) keys that hold at least that share of the updates
-    (``joins.salted_left_join``); by default skewed partitions are left to AQE's skew-join split.
+    (trip, stop) keys that hold ``skew_fraction`` of the updates or more are salted, and updates without a key
+    spread out (``joins.salted_left_join``): the reduced schedule is no plain table, so AQE's skew split does
+    not apply to this join. ``None`` switches the salting off.
     """
     if not include_schedule_info:
         return updates
-    sched = first_timetable_rows(stop_times, trips, routes, stops, broadcast_max_rows)
-    return _attach(updates, sched, skew_fraction)
+    return _attach(updates, first_timetable_rows(stop_times, trips, routes, stops), skew_fraction)
 
 
 def _attach(updates: DataFrame, sched: DataFrame, skew_fraction: float | None = None) -> DataFrame:

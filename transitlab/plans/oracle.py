@@ -22,6 +22,9 @@ VALID_T = "trip_id IS NOT NULL AND stop_id IS NOT NULL AND feed_timestamp IS NOT
 FIRST_V = "QUALIFY row_number() OVER (PARTITION BY vehicle_id, timestamp ORDER BY event_id) = 1"
 FIRST_T = "QUALIFY row_number() OVER (PARTITION BY trip_id, stop_id, feed_timestamp ORDER BY event_id) = 1"
 
+STOP_TIMES_T = ("CASE WHEN event_id % 4 = 0 THEN feed_timestamp + to_seconds(arrival_delay) END AS arrival_time, departure_delay, "
+                "CASE WHEN event_id % 5 = 0 THEN feed_timestamp + to_seconds(departure_delay) END AS departure_time")
+
 SCHED3 = """, sched3 AS (
 SELECT st.trip_id, st.stop_id, st.arrival_time, st.departure_time, st.stop_sequence,
        t.route_id, t.service_id, t.trip_headsign, r.route_short_name, r.route_long_name, r.route_type,
@@ -152,9 +155,7 @@ ORACLE: dict[str, str] = {
         f"CAST(NULL AS INTEGER) AS congestion_level, feed_timestamp FROM vehicle_positions"),
     "flatten_trip_updates": W("trip_updates") + (
         "SELECT trip_id, route_id, vehicle_id, stop_id, stop_sequence, arrival_delay, "
-        "CAST(NULL AS TIMESTAMP) AS arrival_time, departure_delay, CAST(NULL AS TIMESTAMP) AS departure_time, "
-        "CAST(NULL AS INTEGER) AS schedule_relationship, feed_timestamp FROM trip_updates "
-        "WHERE arrival_delay IS NOT NULL OR departure_delay IS NOT NULL"),
+        f"{STOP_TIMES_T}, CAST(NULL AS INTEGER) AS schedule_relationship, feed_timestamp FROM trip_updates"),
     "archive_day": W("vehicle_positions") + (
         f", clean AS (SELECT * FROM vehicle_positions WHERE {VALID_V} {FIRST_V})\n"
         f"SELECT {VP}, 'transit/vehicles/' || strftime(feed_timestamp, '%Y%m%d') || '/' "
@@ -328,10 +329,12 @@ ORACLE["regression_metrics"] = W("trip_updates") + (
     "round(avg(CAST(abs(y - p) <= 2 AS DOUBLE)) * 100.0, 6) AS within_2min, "
     "round(avg(CAST(abs(y - p) <= 5 AS DOUBLE)) * 100.0, 6) AS within_5min, count(*) AS test_samples FROM p")
 
-ORACLE["ingest_vehicles_stream"] = W("vehicle_positions") + (
-    f"\nSELECT DISTINCT vehicle_id, timestamp, feed_timestamp, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date "
-    f"FROM vehicle_positions WHERE {VALID_V}")
-
+_INGEST_V = W("vehicle_positions") + (
+    f"\nSELECT vehicle_id, CAST(NULL AS VARCHAR) AS trip_id, route_id, {r('latitude', 'longitude')}, CAST(NULL AS DOUBLE) AS bearing, "
+    "round(speed, 6) AS speed, timestamp, CAST(NULL AS INTEGER) AS current_stop_sequence, CAST(NULL AS INTEGER) AS current_status, "
+    "CAST(NULL AS INTEGER) AS congestion_level, feed_timestamp, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS event_date "
+    f"FROM vehicle_positions WHERE {VALID_V} {FIRST_V}")
+ORACLE["ingest_vehicles_stream"] = ORACLE["ingest_out_of_order"] = _INGEST_V
 ORACLE["vehicle_preview"] = W("vehicle_positions") + LIVE_V + (
     f"\nSELECT vehicle_id, route_id, {r('latitude', 'longitude', 'speed')}, timestamp, feed_timestamp, "
     f"(SELECT count(*) FROM live_v) AS total_rows FROM live_v ORDER BY vehicle_id LIMIT 100")
@@ -342,8 +345,49 @@ ORACLE["schedule_calendar_active"] = W("trips", "calendar_dates") + CAL + (
     "FROM trips t LEFT JOIN (SELECT * FROM cal WHERE exception_type <> 2) c ON t.service_id = c.service_id")
 
 ORACLE["ingest_trip_updates_stream"] = W("trip_updates") + (
-    f"\nSELECT DISTINCT trip_id, stop_id, feed_timestamp, CAST(CAST(feed_timestamp AS DATE) AS VARCHAR) AS event_date "
-    f"FROM trip_updates WHERE {VALID_T} AND (arrival_delay IS NOT NULL OR departure_delay IS NOT NULL)")
+    f"\nSELECT trip_id, route_id, vehicle_id, stop_id, stop_sequence, arrival_delay, {STOP_TIMES_T}, "
+    "CAST(NULL AS INTEGER) AS schedule_relationship, feed_timestamp, CAST(CAST(feed_timestamp AS DATE) AS VARCHAR) AS event_date "
+    f"FROM trip_updates WHERE {VALID_T} {FIRST_T}")
+ORACLE["ingest_summary"] = W("vehicle_positions", "trip_updates") + (
+    "\n, s AS (" + _stats(VALID_V, "vehicle_id, timestamp", "vehicle_positions", "vehicles") + " UNION ALL "
+    + _stats(VALID_T, "trip_id, stop_id, feed_timestamp", "trip_updates", "trip_updates")
+    + ")\nSELECT record_type AS kind, processed, valid, invalid, duplicate, valid - duplicate AS stored FROM s")
+ORACLE["recent_any_route"] = W("vehicle_positions") + ITEM_V + (
+    f"\nSELECT pk, sk, record_type, {VP}, event_date FROM items_v ORDER BY pk, sk LIMIT 100")
+ORACLE["store_upsert"] = W("vehicle_positions") + ITEM_V + (
+    ", puts AS (SELECT pk, sk, record_type, event_date, event_id, vehicle_id, route_id, latitude, longitude, speed, timestamp, feed_timestamp, 0 AS b "
+    "FROM items_v)"
+    + ITEM_V.replace("items_v", "items_w").replace("FROM vehicle_positions", "FROM vehicle_positions WHERE event_id % 3 = 0")
+    + ", both_puts AS (SELECT * FROM puts UNION ALL SELECT pk, sk, record_type, event_date, event_id, vehicle_id, route_id, latitude, longitude, "
+      "coalesce(speed, 0) + 100, timestamp, feed_timestamp, 1 FROM items_w)"
+    + f"\nSELECT pk, sk, record_type, {VP}, event_date FROM both_puts QUALIFY row_number() OVER (PARTITION BY pk, sk ORDER BY b DESC) = 1")
+ORACLE["archive_files"] = W("vehicle_positions") + (
+    f"\nSELECT 'vehicles' AS data_type, strftime(max(feed_timestamp), '%Y%m%d') AS date, true AS has_files, true AS not_empty "
+    f"FROM vehicle_positions WHERE {VALID_V}")
+ORACLE["timetable_summary"] = ALL + "\n" + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in ("routes", "trips", "stops", "stop_times", "calendar_dates"))
+ORACLE["filtered_kpis"] = ORACLE["kpis"].replace("FROM live_t)", "FROM live_t WHERE route_id IN ('click', 'view'))") \
+    .replace("FROM live_v) AS", "FROM live_v WHERE route_id IN ('click', 'view')) AS")
+ORACLE["training_table"] = ALL + SCHED3 + FIRST_SCHED + SU_D + SCHED_D + (
+    f"\nSELECT trip_id, route_id, stop_id, feed_timestamp, {_FEATURES}, round(delay_minutes, 6) AS delay_minutes FROM sched_d")
+ORACLE["route_encoding_reuse"] = W("schedule_updates") + (
+    "\nSELECT event_id, route_id, CAST(dense_rank() OVER (ORDER BY COALESCE(route_id, 'None')) - 1 AS INTEGER) AS route_id_encoded "
+    "FROM schedule_updates")
+ORACLE["weather_hourly"] = W("trip_updates") + (
+    "\n, w AS (SELECT feed_timestamp AS h, CASE WHEN hour(feed_timestamp) % 7 <> 0 THEN avg(arrival_delay) END AS t FROM trip_updates "
+    "WHERE hour(feed_timestamp) % 5 <> 0 GROUP BY feed_timestamp)"
+    "\nSELECT event_id, feed_timestamp, round(coalesce(t, (SELECT avg(t) FROM w)), 6) AS weather_temp FROM trip_updates LEFT JOIN w ON h = feed_timestamp")
+ORACLE["split_counts"] = W("trip_updates") + (
+    "\n, n AS (SELECT count(*) AS n FROM trip_updates WHERE arrival_delay IS NOT NULL)"
+    "\nSELECT n, n - CAST(ceil(0.2 * n) AS BIGINT) AS train, CAST(ceil(0.2 * n) AS BIGINT) AS test, CAST(0 AS BIGINT) AS overlap FROM n")
+_INPUTS = "hour_of_day,day_of_week,is_weekend,is_rush_hour,route_id_encoded,stop_sequence"
+for _type, _name in (("random_forest", "forest_round_trip"), ("boosted_trees", "boosted_round_trip")):
+    ORACLE[_name] = W("trip_updates") + (
+        "\n, n AS (SELECT CAST(ceil(0.2 * count(*)) AS BIGINT) AS n FROM trip_updates WHERE arrival_delay IS NOT NULL)"
+        f"\nSELECT n AS scored, n AS equal, '{','.join(sorted(_INPUTS.split(',')))}' AS features, CAST(1 AS DOUBLE) AS importance_sum, "
+        f"'{_type}' AS model_type, '{_INPUTS}' AS feature_names FROM n")
+ORACLE["train_from_table"] = W("schedule_updates") + (
+    f"\nSELECT 'random_forest' AS model_type, '{_INPUTS}' AS feature_names, CAST(ceil(0.2 * count(*)) AS BIGINT) AS test_samples FROM schedule_updates")
 
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")

@@ -7,7 +7,6 @@ rerun after a failure replaces partial output) and then reused by every query of
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,28 +17,27 @@ from . import views
 
 # A feed message holds at most this many entities of each kind (bounded groups, never one per hour).
 ENTITIES_PER_MESSAGE = 256
+# Days are dealt over at most so many landed files, whole days each.
+FEED_FILES = 8
 
 
-# Derived inputs are written once per process and input folder: the supplied tables are read-only, and the
-# signature (sizes and modification times of the local input files, when local) re-stages if they change.
+# Derived inputs are written once per process and input folder; the signature re-stages them if the tables change.
 _STAGED: dict[tuple, str] = {}
 
 
-def _signature(sf_dir: str, tables: tuple[str, ...]) -> tuple:
+def _signature(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
+    """Names, lengths and modification times of the input files, listed by the file reader of the tables' own storage."""
     sig = []
     for t in tables:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            sig.append((t, st.st_size, st.st_mtime_ns))
-        except OSError:
-            sig.append((t, None, None))
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        row = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), F.bit_xor(F.xxhash64("path", "length"))).first()
+        sig.append((t, *row))
     return tuple(sig)
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build) -> str:
-    key = (spark.conf.get("spark.app.id", ""), sf_dir, name, _signature(sf_dir, tables))
-    if key not in _STAGED:
+def once(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build) -> str:
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, name, _signature(spark, sf_dir, tables))
+    if key not in _STAGED:          # only the folder's name is kept
         _STAGED[key] = build()
     return _STAGED[key]
 
@@ -62,7 +60,7 @@ def stage_timetable_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     def build():
         write_timetable_table(views.view(spark, sf_dir, name), root, name)
         return root
-    return _once(spark, sf_dir, f"timetable/{name}", views.VIEWS[name][0], build)
+    return once(spark, sf_dir, f"timetable/{name}", views.VIEWS[name][0], build)
 
 
 def _vehicle_entity(vp: DataFrame) -> DataFrame:
@@ -83,35 +81,46 @@ def _vehicle_entity(vp: DataFrame) -> DataFrame:
     return vp.select("event_id", "feed_timestamp", ent.alias("entity"))
 
 
+def _stop_time(delay: str, every: int):
+    """Epoch seconds of the stop event on every ``every``-th update (a fixture's choice), null on the others."""
+    return F.when(F.col("event_id") % every == 0, F.unix_seconds("feed_timestamp") + F.col(delay))
+
+
 def _trip_update_entity(tu: DataFrame) -> DataFrame:
     stu = F.struct(
         F.col("stop_id"), F.col("stop_sequence"),
         F.when(F.col("arrival_delay").isNotNull(), F.struct(F.col("arrival_delay").alias("delay"),
-                                                            F.lit(None).cast("long").alias("time"))).alias("arrival"),
+                                                            _stop_time("arrival_delay", 4).alias("time"))).alias("arrival"),
         F.when(F.col("departure_delay").isNotNull(), F.struct(F.col("departure_delay").alias("delay"),
-                                                              F.lit(None).cast("long").alias("time"))).alias("departure"),
+                                                              _stop_time("departure_delay", 5).alias("time"))).alias("departure"),
         F.lit(None).cast("int").alias("schedule_relationship"),
     )
-    # An update with neither delay is landed with an empty stop_time_update list.
-    updates = F.when(F.col("arrival_delay").isNull() & F.col("departure_delay").isNull(), F.array()) \
-        .otherwise(F.array(stu))
     ent = F.struct(
         F.concat(F.lit("t"), F.col("event_id").cast("string")).alias("id"),
         F.lit(None).alias("vehicle"),
         F.struct(F.struct(F.col("trip_id"), F.col("route_id")).alias("trip"),
                  F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
-                 updates.alias("stop_time_update")).alias("trip_update"),
+                 F.array(stu).alias("stop_time_update")).alias("trip_update"),
     )
     return tu.select("event_id", "feed_timestamp", ent.alias("entity"))
 
 
+def _empty_update_entity(tu: DataFrame) -> DataFrame:
+    """An extra entity without any stop time update beside every 60th update (the flattener has to skip it)."""
+    ent = F.struct(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"), F.lit(None).alias("vehicle"),
+                   F.struct(F.struct(F.col("trip_id"), F.col("route_id")).alias("trip"),
+                            F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
+                            F.array().alias("stop_time_update")).alias("trip_update"))
+    return tu.filter(F.col("event_id") % 60 == 0).select("event_id", "feed_timestamp", ent.alias("entity"))
+
+
 def stage_feed_messages(spark: SparkSession, sf_dir: str) -> str:
     """Land the events-derived vehicle positions and trip updates as feed messages (JSON lines).
 
     Each message mixes both entity kinds of one snapshot hour, at most ``ENTITIES_PER_MESSAGE`` of
     each, so the flatteners meet entities they must skip.
     """
-    return _once(spark, sf_dir, "feed", ("events",), lambda: _write_feed(spark, sf_dir))
+    return once(spark, sf_dir, "feed", ("events",), lambda: _write_feed(spark, sf_dir))
 
 
 def _write_feed(spark: SparkSession, sf_dir: str) -> str:
@@ -119,13 +128,17 @@ def _write_feed(spark: SparkSession, sf_dir: str) -> str:
     entity_type = FEED_MESSAGE["entity"].dataType.elementType
     vp = _vehicle_entity(views.view(spark, sf_dir, "vehicle_positions"))
     tu = _trip_update_entity(views.view(spark, sf_dir, "trip_updates"))
-    both = vp.select("event_id", "feed_timestamp", F.col("entity").cast(entity_type).alias("entity")) \
-        .unionByName(tu.select("event_id", "feed_timestamp", F.col("entity").cast(entity_type).alias("entity")))
+    parts = [vp, tu, _empty_update_entity(views.view(spark, sf_dir, "trip_updates"))]
+    parts = [p.select("event_id", "feed_timestamp", F.col("entity").cast(entity_type).alias("entity")) for p in parts]
     block = F.floor(F.col("event_id") / ENTITIES_PER_MESSAGE)
-    msgs = both.groupBy("feed_timestamp", block.alias("block")).agg(F.collect_list("entity").alias("entity")) \
-        .select(F.struct(F.unix_seconds("feed_timestamp").alias("timestamp")).alias("header"), "entity")
+    # entities stand in the order of their events, and a day's messages share a file, in the order of hour and block
+    entities = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.col("entity.id").alias("id"), "entity"))), lambda x: x["entity"])
+    msgs = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("feed_timestamp", block.alias("block")) \
+        .agg(entities.alias("entity")).withColumn("_day", F.date_trunc("day", "feed_timestamp"))
     path = staging_path(spark, sf_dir, "feed")
-    msgs.write.mode("overwrite").json(path)
+    msgs.repartitionByRange(FEED_FILES, "_day").sortWithinPartitions("feed_timestamp", "block") \
+        .select(F.struct(F.unix_seconds("feed_timestamp").alias("timestamp")).alias("header"), "entity") \
+        .write.mode("overwrite").json(path)
     return path
 
 
@@ -137,4 +150,4 @@ def stage_vehicle_archive(spark: SparkSession, sf_dir: str, clean_vehicles: Data
     def build():
         archive.write_archive(clean_vehicles, root, "vehicles", "feed_timestamp", batch_id=0)
         return root
-    return _once(spark, sf_dir, "archive/vehicles", ("events",), build)
+    return once(spark, sf_dir, "archive/vehicles", ("events",), build)

@@ -24,7 +24,7 @@ DEFAULT_CONF = {
 
 # Sizing for a large cluster (hundreds of TB, ~1000 executors): start with many shuffle partitions and let
 # AQE coalesce them to ~256 MB; scan splits of 256 MB; split skewed join partitions above 5x the median.
-# Dimension broadcasts are decided by ``operators.joins.bounded_broadcast``, not by size estimates.
+# Which joins broadcast is left to the planner and AQE.
 CLUSTER_CONF = {
     **DEFAULT_CONF,
     "spark.sql.shuffle.partitions": "8000",

@@ -12,18 +12,34 @@ TRIP_WINDOW, TRIP_SLIDE, LATE_DELAY = "1 hour", "2 minutes", "10 minutes"
 def live_vehicles_stream(positions: DataFrame, order_cols=("timestamp",)) -> DataFrame:
     """L1 on a stream: per vehicle the last non-null value of every column (complete output mode).
 
-    State holds one row per vehicle; read the result with the freshness cutoff applied (F12).
+    Rows with equal ``order_cols`` are settled by their other columns, so the result does not depend on the order of
+    arrival. State holds one row per vehicle; read the result with the freshness cutoff applied (F12).
     """
     value_cols = [c for c in positions.columns if c != "vehicle_id"]
+    order = [*order_cols, *[c for c in value_cols if c not in order_cols]]
     return positions.filter(F.col("vehicle_id").isNotNull()).groupBy("vehicle_id") \
-        .agg(*[last_non_null(c, list(order_cols)).alias(c) for c in value_cols])
+        .agg(*[last_non_null(c, order).alias(c) for c in value_cols])
 
 
 def recent_trip_delays_stream(updates: DataFrame, window: str = TRIP_WINDOW, slide: str = TRIP_SLIDE,
                               late: str = LATE_DELAY) -> DataFrame:
     """L2 on a stream: per sliding hour (2-minute slide) and (route, trip, vehicle) the mean delay and
-    earliest feed time. Append mode emits each window once the watermark passes its end."""
+    earliest feed time. Append mode emits each window once the watermark passes its end.
+
+    Two steps: sum, count and minimum per ``slide`` and key, then those combined into the windows they belong to. So
+    a row is shuffled once, and only one row per slide and key is repeated for its windows. ``window`` has to be a
+    multiple of ``slide``. Rows older than the watermark can change no emitted window; ``late_rows`` counts them.
+    """
     d = with_delay_minutes(updates).withWatermark("feed_timestamp", late)
     keyed = d.filter(F.col("route_id").isNotNull() & F.col("trip_id").isNotNull() & F.col("vehicle_id").isNotNull())
-    return keyed.groupBy(F.window("feed_timestamp", window, slide), "route_id", "trip_id", "vehicle_id") \
-        .agg(F.avg("delay_minutes").alias("delay_minutes"), F.min("feed_timestamp").alias("feed_timestamp"))
+    step = keyed.groupBy(F.window("feed_timestamp", slide).alias("_step"), "route_id", "trip_id", "vehicle_id").agg(
+        F.sum("delay_minutes").alias("_sum"), F.count("delay_minutes").alias("_n"), F.min("feed_timestamp").alias("_first"))
+    out = step.groupBy(F.window(F.window_time("_step"), window, slide).alias("window"), "route_id", "trip_id", "vehicle_id").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.min("_first").alias("feed_timestamp"))
+    return out.select("window", "route_id", "trip_id", "vehicle_id",
+                      F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n")).alias("delay_minutes"), "feed_timestamp")
+
+
+def late_rows(query) -> int:
+    """Rows that came after the watermark in the progress a streaming query remembers."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
