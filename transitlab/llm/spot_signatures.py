@@ -21,7 +21,7 @@ import hashlib
 import math
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,7 +160,6 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 
 def _last_of_tasks(steps: DataFrame) -> DataFrame:
     """The rows that ended a task, joined to the first text of the next task that has rows (after the last: the first)."""
-    from pyspark.sql import Window
     heads = steps.filter("role = 'head'").select("task", F.col("text").alias("following"))
     numbers = heads.select("task")                                     # one small row per task
     w = Window.orderBy("task")
@@ -177,42 +176,58 @@ def _last_of_tasks(steps: DataFrame) -> DataFrame:
     return common.map_batches(tails, fn, schema)
 
 
-def near_pairs(docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN) -> DataFrame:
-    """(a, b, likeness) of the fingerprints that are alike to ``threshold`` or more, a < b as text; every fingerprint stands for
-    all documents that have it (join on ``fingerprints``).
+BUCKET_BLOCK = 512          # fingerprints of one bucket compared in a task
+SETS = T.StructType([T.StructField("fid", T.StringType()), T.StructField("size", T.IntegerType()), T.StructField("sig", T.LongType())])
+EDGES = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
 
-    Sizes are partitioned with bounds growing by 1/threshold, each set is looked up in its own partition and the next one,
-    and only through its rarest signatures. The pairs are then compared exactly.
+
+def near_classes(docs: DataFrame, threshold: float = 0.8, chain: int = CHAIN) -> DataFrame:
+    """doc_id and class_id of every document: the smallest doc_id reachable over fingerprints alike to ``threshold`` or more.
+
+    Equal fingerprints are compared as one. Sizes are partitioned with bounds growing by 1/threshold; a set is looked up in
+    its own partition and the next one, through its rarest signatures only. Buckets are dealt out in blocks of
+    bounded size, and a task gives out a spanning forest of the alike fingerprints it meets, never pairs. Documents with an
+    empty fingerprint are classes of their own.
     """
-    prints = common.written(fingerprints(docs, chain).select("fingerprint").filter("fingerprint <> ''").distinct()
-                            .withColumn("fid", F.sha2("fingerprint", 256)), "spot-prints")
-    schema = T.StructType([T.StructField("fid", T.StringType()), T.StructField("size", T.IntegerType()), T.StructField("sig", T.LongType())])
+    prints = common.written(fingerprints(docs, chain).withColumn("fid", F.sha2("fingerprint", 256)), "spot-prints")
+    sets = common.written(prints.filter("fingerprint <> ''").select("fid", "fingerprint").distinct(), "spot-sets")
 
     def spread(batch):
         import numpy as np
-        sets = [read_form(x) for x in batch.column(1).to_pylist()]
-        sizes = [len(s) for s in sets]
-        return common.batch_of(schema, [np.repeat(np.array(batch.column(0).to_pylist(), dtype=object), sizes).tolist(),
-                                        np.repeat(sizes, sizes).tolist(), np.concatenate(sets).astype(np.int64).tolist()])
-    sigs = common.map_batches(prints.select("fid", "fingerprint"), spread, schema)
+        found = [read_form(x) for x in batch.column(1).to_pylist()]
+        sizes = [len(s) for s in found]
+        return common.batch_of(SETS, [np.repeat(np.array(batch.column(0).to_pylist(), dtype=object), sizes).tolist(),
+                                      np.repeat(sizes, sizes).tolist(), np.concatenate(found).astype(np.int64).tolist()])
+    sigs = common.map_batches(sets, spread, SETS)
     often = sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
-    from pyspark.sql import Window
-    rank = F.row_number().over(Window.partitionBy("fid").orderBy("often", "sig"))
     # a partner above the threshold misses at most size - ceil(threshold * size) of the signatures
+    rank = F.row_number().over(Window.partitionBy("fid").orderBy("often", "sig"))
     rare = sigs.join(often, "sig").withColumn("r", rank).filter(F.col("r") <= F.col("size") - F.ceil(F.col("size") * threshold) + 1)
     level = F.floor(F.log(F.col("size").cast("double")) / -math.log(threshold) + 1e-9).cast("int")
-    rare = common.written(rare.select("fid", "size", "sig", level.alias("level")), "spot-rare")
-    left = rare.select(F.col("fid").alias("a"), F.col("size").alias("na"), "sig", F.explode(F.array(F.col("level"), F.col("level") + 1)).alias("level"))
-    right = rare.select(F.col("fid").alias("b"), F.col("size").alias("nb"), "sig", "level")
-    pairs = left.join(right, ["sig", "level"]).filter((F.col("a") != F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    text = prints.select("fid", "fingerprint")
-    both = pairs.join(text.select(F.col("fid").alias("a"), F.col("fingerprint").alias("fa")), "a") \
-        .join(text.select(F.col("fid").alias("b"), F.col("fingerprint").alias("fb")), "b").select("fa", "fb")
-    out = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("likeness", T.DoubleType())])
-
-    def compare(batch):
-        rows = [(x, y, jaccard(read_form(x), read_form(y), threshold)) for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-        rows = [(min(x, y), max(x, y), j) for x, y, j in rows if j >= threshold]
-        return common.batch_of(out, [list(c) for c in zip(*rows)]) if rows else None
-    return common.map_batches(both, compare, out)
+    keys = common.written(rare.select("fid", F.explode(F.array(level, level + 1)).alias("level"), "sig")
+                          .select(F.xxhash64("sig", "level").alias("key"), "fid"), "spot-keys")
+    h = F.xxhash64("fid")
+    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 8)).alias("s")) \
+        .filter("m > 1").groupBy("m", "x", "s").agg(F.min("key").alias("key")).select("key", "m")     # equal buckets once
+    member = common.blocks(keys.join(common.written(buckets, "spot-buckets"), "key"), "key", "m", "fid", BUCKET_BLOCK)
+    rows = member.select("key", "block", "fid").join(sets, "fid")
+
+    def fn(table):
+        fids, found = table.column("fid").to_pylist(), [read_form(x) for x in table.column("fingerprint").to_pylist()]
+        left, a, b = list(range(len(fids))), [], []
+        while len(left) > 1:
+            queue, left = [left[0]], left[1:]
+            while queue and left:
+                one = queue.pop()
+                hit = [i for i in left if jaccard(found[one], found[i], threshold) >= threshold]
+                if hit:
+                    a += [fids[one]] * len(hit)
+                    b += [fids[i] for i in hit]
+                    queue += hit
+                    met = set(hit)
+                    left = [i for i in left if i not in met]
+        return common.batch_of(EDGES, [a, b]) if a else None
+    component = common.connected_components(common.by_group(rows.select("key", "block", "fid", "fingerprint"), ["key", "block"], fn, EDGES))
+    named = prints.join(component, prints["fid"] == component["node"], "left").withColumn("_k", F.coalesce("component", "fid"))
+    least = named.filter("fingerprint <> ''").groupBy("_k").agg(F.min("doc_id").alias("class_id"))
+    return named.select("doc_id", "_k").join(least, "_k", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
