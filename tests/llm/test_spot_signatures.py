@@ -1,14 +1,16 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from transitlab.llm import spot_signatures as ss
 
 SCHEMA = "doc_id long, text string, fingerprint string"
 
 
-def brute(rows):
+def brute(rows, hashes):
     """The whole comparison on one machine."""
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1] or ""], r[1] or ""))
     out = []
     for k, (i, t, _) in enumerate(order):
         t, nxt = t or "", order[(k + 1) % len(order)][1] or ""
@@ -31,10 +33,13 @@ def corpus():
 
 def test_equals_one_pass_over_the_sorted_rows(spark):
     rows = corpus()
-    for parts in (1, 5):
-        got = ss.compare_with_next(spark.createDataFrame(rows, SCHEMA).repartition(parts)).collect()
+    rows += [(30, f"copy {k} of the one id", "x") for k in range(60)] + [(30, "the very same row", "x")] * 5
+    texts = spark.createDataFrame([(t or "",) for t in {r[1] for r in rows}], "t string")
+    hashes = dict(texts.select("t", F.xxhash64("t")).collect())       # rows with one id are ordered by it
+    for parts, ranges in ((1, 1), (5, None), (3, 40)):
+        got = ss.compare_with_next(spark.createDataFrame(rows, SCHEMA).repartition(parts), ranges).collect()
         mine = sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], r["fingerprint"], r["near_edited"], r["near_next"]) for r in got), key=repr)
-        assert mine == brute(rows)
+        assert mine == brute(rows, hashes)
     one = ss.compare_with_next(spark.createDataFrame([(1, "only the one", "x")], SCHEMA)).first()
     assert one["near_next"] == 1.0
     assert ss.compare_with_next(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -11,7 +11,7 @@ each set (as many as a partner above t could miss, plus one) are looked up.
 
 Defined results: null and empty texts have the empty fingerprint; so does a text without letters or digits only if it is
 empty: other wordless texts have one signature, of the whole text. Two empty fingerprints have likeness 1. The text
-that follows a document is that of the next row in the order (doc_id, text); after the last comes the first. Rows are
+that follows a document is that of the next row in the order (doc_id, hash of the text, text); after the last comes the first. Rows are
 kept one to one; repeated ids are rows of their own.
 """
 from __future__ import annotations
@@ -21,6 +21,7 @@ import hashlib
 import math
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,11 +112,10 @@ def fingerprints(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     return common.map_batches(docs.select("doc_id", "text"), fn, PRINTS)
 
 
-COMPARED = [T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
-            T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),
-            T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())]
-# rows that wait for a neighbour task: the first row of a task (head) and its last one (tail)
-STEPS = T.StructType([*COMPARED, T.StructField("role", T.StringType()), T.StructField("task", T.IntegerType()), T.StructField("text", T.StringType())])
+COMPARED = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
+    T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),
+    T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
 
 
 def _compare(doc_id, text: str, following: str, sig, next_sig) -> tuple:
@@ -125,55 +125,65 @@ def _compare(doc_id, text: str, following: str, sig, next_sig) -> tuple:
             jaccard(sig, other), jaccard(sig, next_sig))
 
 
-def compare_with_next(docs: DataFrame) -> DataFrame:
+def _ranges(rows: DataFrame, n: int) -> DataFrame:
+    """Adds ``range``: numbers that grow with (doc_id, hash), about as many rows each.
+
+    The bounds are quantiles of doc_id (``n`` numbers on the driver). An id that holds so many rows that several bounds fall on it
+    is spread over their ranges by its rows' hashes, in the order of the hashes.
+    """
+    common.ship(rows.sparkSession)
+    bounds = rows.select("doc_id").filter("doc_id IS NOT NULL").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else []
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        import numpy as np
+        at = np.array(sorted(bounds), dtype=np.float64)
+        v = ids.to_numpy(dtype=np.float64, na_value=-np.inf)
+        low, high = np.searchsorted(at, v, "left"), np.searchsorted(at, v, "right")
+        share = (hashes.to_numpy(dtype=np.float64) + 2.0 ** 63) / 2.0 ** 64
+        return pd.Series(np.minimum(low + np.floor(share * (high - low + 1)), high).astype("int32"))
+    return rows.withColumn("range", place("doc_id", "hash"))
+
+
+def compare_with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Each document's fingerprint beside that of its edited text and of the next document.
 
-    The rows are dealt out by ranges of (doc_id, hash of the text) and sorted inside tasks, so a document's successor is nearly
-    always the next row of its task. Only the first and the last row of each task wait: as many rows as tasks, whose
-    order is settled by a window over the task numbers.
+    The rows are dealt out by ranges of (doc_id, hash of the text) and sorted inside tasks, so a document's successor is the next
+    row of its range. The last row of a range needs the first row of the next one: those first rows (one for each range)
+    are found by their ids and hashes, and travel along with the range before them. Texts are shuffled once.
+    ``ranges``: how many (default: the session's number of shuffle partitions).
     """
-    common.ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    order = ["doc_id", F.xxhash64("text"), "text"]
-    # range bounds by id and hash split even a repeated id; the order of equal (id, hash) rows is that of the text
-    dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
+    spark = docs.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = _ranges(rows, n)
+    key = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "hash")
+    first = rows.groupBy("range").agg(F.min(key).alias("k")).select("range", "k.doc_id", "k.hash")
+    order = Window.orderBy("range")                                    # one small row for each range
+    first = common.written(first.withColumn("before", F.lag("range").over(order)).withColumn("last", F.max("range").over(Window.partitionBy())),
+                           "spot-first")
+    heads = first.select(F.col("doc_id").alias("_d"), F.col("hash").alias("_h"), F.coalesce("before", "last").alias("_before"))
+    # as many rows as ranges go to every executor
+    heads = rows.drop("range").join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("hash") == F.col("_h"))) \
+        .groupBy("_before").agg(F.min("text").alias("text"))
+    heads = heads.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("hash"),
+                         F.col("_before").alias("range"), F.lit(1).alias("next"))
+    every = rows.withColumn("next", F.lit(0)).unionByName(heads)
+    sort = ["range", "next", "doc_id", "hash", "text"]
+    dealt = every.repartitionById(n, F.col("range")).sortWithinPartitions(*sort).select("doc_id", "text", "next")
 
     def run(batches):
-        from pyspark import TaskContext
-        task, held = TaskContext.get().partitionId(), None
+        held = None
         for part in (p for b in batches for p in common.slices(b)):
             out = []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for doc_id, text, following in zip(*(part.column(i).to_pylist() for i in range(3))):
                 sig = signatures(text)
-                if held is None:
-                    out.append((None,) * 7 + ("head", task, text))
-                else:
-                    out.append((*_compare(held[0], held[1], text, held[2], sig), "done", task, None))
-                held = doc_id, text, sig
+                if held is not None:
+                    out.append(_compare(held[0], held[1], text, held[2], sig))
+                held = None if following else (doc_id, text, sig)
             if out:
-                yield common.batch_of(STEPS, [list(c) for c in zip(*out)])
-        if held is not None:
-            yield common.batch_of(STEPS, [[x] for x in (held[0], *(None,) * 6, "tail", task, held[1])])
-    steps = common.written(dealt.mapInArrow(run, STEPS), "spot-steps")
-    return steps.filter("role = 'done'").select(*[f.name for f in COMPARED]).unionByName(_last_of_tasks(steps))
-
-
-def _last_of_tasks(steps: DataFrame) -> DataFrame:
-    """The rows that ended a task, joined to the first text of the next task that has rows (after the last: the first)."""
-    heads = steps.filter("role = 'head'").select("task", F.col("text").alias("following"))
-    numbers = heads.select("task")                                     # one small row per task
-    w = Window.orderBy("task")
-    after = numbers.select("task", F.lead("task").over(w).alias("next"), F.first("task").over(w).alias("first"))
-    after = after.select("task", F.coalesce("next", "first").alias("_next"))
-    tails = steps.filter("role = 'tail'").select("doc_id", "text", "task").join(after, "task") \
-        .join(heads.withColumnRenamed("task", "_next"), "_next").select("doc_id", "text", "following")
-    schema = T.StructType(COMPARED)
-
-    def fn(batch):
-        out = [_compare(d, t, f, signatures(t), signatures(f)) for d, t, f in
-               zip(*(batch.column(i).to_pylist() for i in range(3)))]
-        return common.batch_of(schema, [list(c) for c in zip(*out)])
-    return common.map_batches(tails, fn, schema)
+                yield common.batch_of(COMPARED, [list(c) for c in zip(*out)])
+    return dealt.mapInArrow(run, COMPARED)
 
 
 BUCKET_BLOCK = 512          # fingerprints of one bucket compared in a task
