@@ -26,6 +26,7 @@ from . import common
 
 UNDETERMINED = "und"
 MAX_DOCS_PER_LANGUAGE = 2000
+MAX_BROADCAST_LANGUAGES = 10_000
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 PRIME, MIX = 1_000_000_007, 0x9E3779B97F4A7C15      # constants of the hash into cells
@@ -101,6 +102,9 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LANGUAGE) -> dict:
     rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.filter(is_training(F.col("doc_id")))
     share = rows.groupBy("lang").agg((F.lit(float(max_docs)) / F.count(F.lit(1))).alias("_share"))
+    share = common.written(share, "languages")
+    if share.count() <= MAX_BROADCAST_LANGUAGES:        # otherwise the planner chooses, and the texts may be shuffled
+        share = F.broadcast(share)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = rows.withColumn("_place", place).join(share, "lang").filter(F.col("_place") < F.col("_share"))
 
