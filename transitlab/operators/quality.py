@@ -122,25 +122,18 @@ def filter_routes(df: DataFrame, routes: Sequence[str] | None, route_col: str =
     return df.filter(F.col(route_col).isin(list(routes)))
 
 
-def resolve_as_of(df: DataFrame, ts_col: str, as_of=None):
-    """``as_of`` replaces "now". Default: the newest ``ts_col`` in ``df`` (one scalar to the driver)."""
-    if as_of is not None:
-        return as_of
-    return df.agg(F.max(ts_col)).first()[0]
-
-
 def recent_rows(df: DataFrame, ts_col: str, window: str, as_of=None) -> DataFrame:
     """Rows with ``ts_col > as_of - window`` (strict). Null or unparseable times never pass.
 
-    The cutoff is a literal, so Parquet row groups and date partitions are pruned by the scan.
+    With ``as_of`` the cutoff is a literal, so Parquet row groups and date partitions are pruned by the scan. Without it,
+    "now" is the newest ``ts_col``, found by a scalar subquery of the same query (no job of its own before it).
     """
-    as_of = resolve_as_of(df, ts_col, as_of)
-    if as_of is None:  # empty input
-        return df.limit(0)
+    if as_of is None:
+        newest = df.agg(F.max(ts_col).cast("timestamp")).scalar()
+        return df.filter(F.col(ts_col) > newest - F.expr(f"INTERVAL {window}"))
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {window}")
-    return df.filter(F.col(ts_col) > cutoff)
+    return df.filter(F.col(ts_col) > F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {window}"))
 
 
 # The time-range choices of the report page (hours; None = all), default 24.
