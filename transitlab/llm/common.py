@@ -175,7 +175,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``edges`` has columns ``a`` and ``b`` of one orderable type. Alternates the two star operations of Kiveris
     et al. ("Connected components in MapReduce and beyond"): every round hangs neighbours on the smallest
     node known, written to the shared folder; it ends when a round changes nothing. The neighbour minima are
-    combined map-side, so a hub ships one row per task; nothing is collected.
+    combined map-side, so a hub ships one row per task, and written before they are joined: both sides of that join are
+    plain tables then, whose skewed partitions AQE can split. Nothing is collected.
     """
     a, b = F.col("a"), F.col("b")
     cur = written(edges.filter(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(),
@@ -191,11 +192,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = cur.select("a", "b").unionByName(cur.select(b.alias("a"), a.alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("_m")) \
             .select(F.col("a").alias("_n"), F.least("a", "_m").alias("_m"))
+        low = written(low, "edges-low")
         large = both.join(low, both["a"] == low["_n"]).filter(F.col("b") > F.col("a")) \
             .select(F.col("b").alias("a"), F.col("_m").alias("b")).filter(a != b).distinct()
         # smaller neighbours and the node itself hang on the smallest of them
         large = written(large, "edges-large")
-        low2 = large.groupBy("a").agg(F.min("b").alias("_m")).withColumnRenamed("a", "_n")
+        low2 = written(large.groupBy("a").agg(F.min("b").alias("_m")).withColumnRenamed("a", "_n"), "edges-low")
         small = large.join(low2, large["a"] == low2["_n"]).select(
             F.explode(F.array(F.struct(F.col("b").alias("x")), F.struct(F.col("a").alias("x")))).alias("_x"),
             F.col("_m").alias("b")).select(F.col("_x.x").alias("a"), "b").filter(a != b).distinct()
