@@ -226,6 +226,11 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, size: int = SIZE, ke
     """The pieces with ``sequence_id`` and ``offset`` (their place there, gapless from 0)."""
     spark = docs.sparkSession
     cut = common.written(pieces(docs, vocabulary, end_id, size, keep_tokens), "pieces")
+    # a full piece is a sequence of its own: no plan, and its tokens are not shuffled
+    names = [n for n in PLACED.names if n not in ("task", "rank")]
+    alone = -F.lit(1) - F.shiftleft(F.col("task"), 36) - F.col("rank")
+    full = cut.filter(F.col("length") == size).select("*", alone.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    cut = cut.filter(F.col("length") < size)
     # at most `size` numbers for each task that wrote
     by_task = cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("_n"))
     total = {r["length"]: r["_n"] for r in by_task.groupBy("length").agg(F.sum("_n").alias("_n")).collect()}
@@ -235,7 +240,8 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, size: int = SIZE, ke
     first = by_task.select("length", "task", (F.sum("_n").over(w) - F.col("_n")).alias("_first"))
     numbered = cut.join(first, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("_first")) \
         .select(*cut.columns)
-    return common.map_batches(numbered, lambda b: _placed(b, runs.value), PLACED).drop("task", "rank")
+    placed = common.map_batches(numbered, lambda b: _placed(b, runs.value), PLACED)
+    return full.select(*names).unionByName(placed.select(*names))
 
 
 def _placed(batch, runs):
