@@ -34,7 +34,7 @@ SMOOTHING = 0.2
 GRAM_WEIGHT = 0.3          # overlapping n-grams of a word are not independent evidence
 WORD_LIMIT = 6.0           # the most one word can say against a language (natural log)
 SWITCH_PENALTY = 12.0
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 WORD = re.compile(r"[^\W\d_]+")
 
 # First and last code points of scripts (Unicode block ranges).

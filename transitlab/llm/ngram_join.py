@@ -34,7 +34,7 @@ STEP, TOLERANCE = 16, 1e-6
 BUCKET_BLOCK = 4096         # classes of one bucket in a block (256 bytes each)
 BLOCK = 512                 # classes of one component in a block, with their shingles
 WORD = re.compile(r"[^\W_]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 class WordHashes(dict):

@@ -42,7 +42,7 @@ VARIANT_WEIGHT = 0.3
 SENTENCE_END = re.compile(r"[.!?\n]+")
 SPAN, DECAY = 7, 0.5
 WINDOW = 24                 # longer words are read through windows of this many characters
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 LOWEST = -3.0               # value of a text without units
 TOKEN = re.compile(r"[^\s.,;:!?\"()]+")
 SYMBOLS = 64                # letters a-z are 1..26, other characters share 27..61, word ends are 62 and 63
