@@ -1,8 +1,10 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
+from transitlab.llm import registry
 from transitlab.llm import sentence_pieces as sp
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -76,3 +78,21 @@ def test_new_parts_are_checked_once():
 def test_whole_table_equals_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert sp.round_trip(docs, PATH, "texts").filter("NOT library_equal").count() == 0
+
+
+@pytest.mark.parametrize("wrong", ["ids", "decoded text"])
+def test_registered_query_compares_whole_rows_with_the_library(spark, tmp_path, monkeypatch, wrong):
+    """Every part is merged rightly, but the row's joined ids or its decoded text are not the library's."""
+    spark.createDataFrame([(1, "Some words, some more words.")], "doc_id long, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    m = sp.PieceModel(PATH)
+    if wrong == "ids":
+        monkeypatch.setattr(m, "encode", lambda t: sp.PieceModel.encode(m, t)[1:])
+    else:
+        monkeypatch.setattr(m, "decode", lambda ids: "other")
+    batches = []
+    monkeypatch.setattr(sp.common, "map_batches", lambda df, fn, schema: batches.append(fn) or df)
+    monkeypatch.setitem(sp._MODELS, PATH, m)
+    registry.op2_sentencepiece(spark, str(tmp_path))
+    row = batches[0](pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["Some words, some more words."]}))
+    assert row.column("library_equal").to_pylist() == [False]

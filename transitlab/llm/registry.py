@@ -29,8 +29,8 @@ def op1_personal_data(spark, sf_dir):
 
 
 def op2_sentencepiece(spark, sf_dir):
-    """Encoded and decoded documents as digests; every batch is checked against the library."""
-    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    """Encoded and decoded documents as digests; ids and decoded text of every row are compared with the library."""
+    return sentence_pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), "texts")
 
 
 def op3_embedding_dedup(spark, sf_dir):

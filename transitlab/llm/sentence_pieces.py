@@ -4,8 +4,8 @@ A text is normalised by the model's own rules, split where no vocabulary entry c
 another character), and every part is merged by an agenda: a heap of adjacent symbol pairs whose join is an entry,
 best score first, leftmost on ties. Parts recur, so each Python worker keeps a bounded table of parts
 already merged. Symbols that are no entry become their UTF-8 byte entries, or the unknown id where the vocabulary
-has none. Each Arrow batch is checked against the sentencepiece library (``library_equal``): the parts merged for it, or
-with ``check="texts"`` every whole text.
+has none. Every row's ids and decoded text are compared with the sentencepiece library (``library_equal``);
+``check="parts"`` compares only the parts merged for a batch, each on its own, and neither whole texts nor decoding.
 
 Defined results: null and empty texts encode to the end id alone and decode to "". Rows are kept one to one
 (repeated rows and ids included). Columns of the input other than ``doc_id`` and ``text`` are ignored.
@@ -221,14 +221,14 @@ CHECKS = ("parts", "texts", "none")
 def _agrees(m: PieceModel, texts: list[str], ids: list[list[int]], check: str) -> list[bool | None]:
     """``texts``: the library encodes every text too. ``parts``: it encodes every part that was merged for this batch;
     all rows of the batch are marked false if it differs on one."""
-    if check == "texts":
-        return [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))]
     same = m.check_new_parts() if check == "parts" else None
     m.cache.new.clear()
+    if check == "texts":
+        return [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))]
     return [same] * len(ids)
 
 
-def encode(docs: DataFrame, model_path: str, check: str = "parts") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, check: str = "texts") -> DataFrame:
     """doc_id, ids (with the end id) and whether the library agrees (see ``CHECKS``; null if unchecked)."""
     if check not in CHECKS:
         raise ValueError(f"check must be one of {CHECKS}")
@@ -257,7 +257,7 @@ ROUND_TRIP = T.StructType([
     T.StructField("library_equal", T.BooleanType())])
 
 
-def round_trip(docs: DataFrame, model_path: str, check: str = "parts") -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str, check: str = "texts") -> DataFrame:
     """Encode and decode in one pass, kept as digests: ids and texts never leave the task that made them."""
     if check not in CHECKS:
         raise ValueError(f"check must be one of {CHECKS}")
