@@ -54,6 +54,21 @@ def test_ids_equal_the_tokenizers_library():
         assert [enc.encode_ordinary(t) for t in texts] == [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens_are_taken_out_of_texts_as_the_library_does(spark):
+    from tokenizers import Tokenizer
+    theirs = Tokenizer.from_file(JSON)
+    rnd = random.Random(4)
+    bits = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "  ", "hello", "é", "日", "<|im_end|>", "'s", "1"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>"] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(500)]
+    expected = [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
+    for path in (RANKS, JSON):
+        assert [packing.encoder(path).encode(t) for t in texts] == expected
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["ids_crc32"] == zlib.crc32(np.array(expected[r["doc_id"]] + [2], dtype="<u4").tobytes())
+
+
 def test_pack_places_every_token_once(spark):
     texts = [" ".join(["word"] * n) for n in (1, 5, 9, 30, 100, 64, 63, 62, 0)] + ["only"] * 20 + [None]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(0, "word", "again")],

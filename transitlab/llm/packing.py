@@ -28,25 +28,41 @@ SIZE = 1024
 _ENCODERS: dict[str, object] = {}
 
 
-def encoder(path: str):
-    """Tokenizer of a byte-level BPE file: a ``.tiktoken`` rank file, or a ``.json`` whose entries give the ranks.
+class Encoder:
+    """A rank encoder that takes the vocabulary's added tokens out of a text, as the tokenizers library does."""
 
-    Special strings inside a text are ordinary text.
-    """
+    def __init__(self, ranks, added: dict[str, int]):
+        import tiktoken
+        self.ranks = tiktoken.Encoding("packing", pat_str=GPT2_PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        self.added = set(added)
+
+    def encode(self, text: str) -> list[int]:
+        return self.ranks.encode(text, allowed_special=self.added, disallowed_special=())
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        """The ids with added tokens as ordinary text."""
+        return self.ranks.encode_ordinary(text)
+
+
+def encoder(path: str) -> Encoder:
+    """Tokenizer of a byte-level BPE file: a ``.json``, or a ``.tiktoken`` rank file with the ``.json`` of the same name beside
+    it, which lists the added tokens (without it there are none)."""
     if path not in _ENCODERS:
         import base64
-
-        import tiktoken
-        if path.endswith(".json"):
-            import json
-            with open(path, encoding="utf-8") as f:
+        import json
+        import os
+        spec = {}
+        listing = os.path.splitext(path)[0] + ".json"
+        if os.path.exists(listing):
+            with open(listing, encoding="utf-8") as f:
                 spec = json.load(f)
-            ranks, pattern = _json_ranks(spec), GPT2_PATTERN
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        if path.endswith(".json"):
+            ranks = _json_ranks(spec)
         else:
             with open(path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            pattern = GPT2_PATTERN
-        _ENCODERS[path] = tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _ENCODERS[path] = Encoder(ranks, added)
     return _ENCODERS[path]
 
 
@@ -59,7 +75,7 @@ def _json_ranks(spec: dict) -> dict[bytes, int]:
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]   # bytes written as themselves
     hidden = [b for b in range(256) if b not in shown]              # the others, from code point 256 up
     byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-    special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
+    special = {t["content"] for t in spec.get("added_tokens", [])}
     return {bytes(byte[c] for c in piece): i for piece, i in spec["model"]["vocab"].items() if piece not in special}
 
 
@@ -82,7 +98,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, size: int = SIZE,
         for batch in (part for b in batches for part in common.slices(b)):
             cols = [[] for _ in PIECES.fields]
             for doc, text in zip(batch.column(0).to_pylist(), common.texts_of(batch)):
-                ids = enc.encode_ordinary(text)
+                ids = enc.encode(text)
                 ids.append(end_id)
                 raw = np.array(ids, dtype="<u4").tobytes()
                 n, at, k = len(ids), 0, 0
