@@ -6,8 +6,8 @@ vector q, <c, q> / f is an unbiased estimate of the cosine, and its error stays
 ``CONFIDENCE`` * sqrt((1 - f^2) / f^2 / (bits - 1)) but for a vanishing chance. Pairs whose upper bound reaches the threshold, in
 both directions, are recomputed exactly in double precision; nothing else is linked, and nothing is linked on an estimate.
 
-Candidates come from bands of code bits (``BANDS`` random sets of ``BAND_BITS`` bits): a pair at cosine 0.98 differs in 6.4 % of
-its bits and misses every band with a chance of about 1e-6; unrelated vectors meet with one of 2^-16 a band.
+Candidates come from bands (``BANDS`` of ``BAND_BITS`` bits, each bit from a random plane of its own): a pair at cosine 0.98
+differs in 6.4 % of its bits and misses every band with a chance of about 1e-6; unrelated vectors meet with one of 2^-16 a band.
 Equal vectors form a class that stands for them. Links of a bucket join classes into components; inside a component every
 pair is compared, in pairs of blocks of bounded size, so links are counted without giving out pairs.
 
@@ -25,13 +25,14 @@ from . import common
 THRESHOLD = 0.98
 BITS = 256                  # code length; longer vectors use the next multiple of 64
 BANDS, BAND_BITS = 32, 16
+BAND_ROWS = 2048            # vectors whose band bits are made at once
 CONFIDENCE = 6.0
 BUCKET_BLOCK = 2048
 BLOCK = 1024
 SEED = 20240521
 
 _ROTATIONS: dict[int, object] = {}
-_CHOICES: dict[int, object] = {}
+_PLANES: dict[int, object] = {}
 
 
 def bits_of(dim: int) -> int:
@@ -47,12 +48,19 @@ def rotation(dim: int):
     return _ROTATIONS[dim]
 
 
-def _choice(bits: int):
-    if bits not in _CHOICES:
+def planes(dim: int):
+    """The normals of the band bits: independent of each other and of the rotation."""
+    if dim not in _PLANES:
         import numpy as np
-        rnd = np.random.RandomState(SEED)
-        _CHOICES[bits] = np.array([rnd.choice(bits, BAND_BITS, replace=False) for _ in range(BANDS)])
-    return _CHOICES[bits]
+        _PLANES[dim] = np.random.RandomState([SEED, dim]).standard_normal((BANDS * BAND_BITS, dim))
+    return _PLANES[dim]
+
+
+def band_values(units):
+    """(rows, bands) numbers of ``BAND_BITS`` bits, the sides of the planes on which each unit vector lies."""
+    import numpy as np
+    bits = (units @ planes(units.shape[1]).T >= 0).reshape(len(units), BANDS, BAND_BITS)
+    return (bits.astype(np.uint64) << np.arange(BAND_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
 
 
 def encode(units):
@@ -135,15 +143,15 @@ def _band_keys(classes: DataFrame) -> DataFrame:
         raw = batch.column(1).to_pylist()
         for dim in np.unique(dims):
             rows = np.flatnonzero(dims == dim)
-            signs = np.unpackbits(np.frombuffer(b"".join(raw[r] for r in rows), dtype=np.uint8).reshape(len(rows), -1), axis=1)
-            pick = signs[:, _choice(bits_of(int(dim)))].astype(np.uint64)                     # rows x bands x bits
-            value = (pick << np.arange(BAND_BITS, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+            value = np.concatenate([
+                band_values(np.frombuffer(b"".join(raw[r] for r in some), dtype=np.float64).reshape(len(some), dim))
+                for some in np.split(rows, range(BAND_ROWS, len(rows), BAND_ROWS))])
             value = (value + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
             value = (value ^ (value >> np.uint64(31)) ^ group[rows].view(np.uint64)[:, None]) * np.uint64(0xD6E8FEB86659FD93)
             keys.append((value ^ (value >> np.uint64(32))).view(np.int64).ravel())
             owner.append(np.repeat(rows, BANDS))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), batch.column(0).take(pa.array(np.concatenate(owner)))], names=KEYS.names)
-    return common.map_batches(classes.select("cls", "code", "dim", F.xxhash64("grp")), fn, KEYS)
+    return common.map_batches(classes.select("cls", "unit", "dim", F.xxhash64("grp")), fn, KEYS)
 
 
 def _arrays(table):
