@@ -79,3 +79,15 @@ def test_near_classes_equal_brute_force(spark):
         expected[i] = min(rows[j][0] for j in seen)
     got = dict(ss.near_classes(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == expected and len(set(expected.values())) < 0.8 * len(rows)
+
+
+def test_signatures_grow_with_texts_without_common_words():
+    rnd = random.Random(6)
+    russian = " ".join(rnd.choice("дом река поле небо город книга слово ветер утро снег".split()) + str(rnd.randrange(50)) for _ in range(400))
+    chinese = "".join(chr(0x4E00 + rnd.randrange(2000)) for _ in range(400))
+    numbers = "\n".join(f"{rnd.randrange(1000)};{rnd.randrange(1000)}" for _ in range(200))
+    for text in (russian, chinese, numbers):
+        whole, new = ss.signatures(text), ss.signatures(ss.edited(text, "совсем другой текст 完全不同 " * 100))
+        assert len(whole) > 60 and len(whole) > 1.5 * len(ss.signatures(text[:len(text) // 2]))
+        assert 0.4 < ss.jaccard(whole, new) < 0.95
+        assert ss.jaccard(whole, ss.signatures(text[:len(text) // 8] + numbers[::-1])) < 0.5

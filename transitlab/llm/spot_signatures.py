@@ -1,6 +1,8 @@
 """Document fingerprints from spot signatures (SpotSigs).
 
-An anchor is a common word, or the start of the text. The signature of an anchor is the chain of the next ``CHAIN`` content
+An anchor is a common word, or the start of the text. In a stretch of ``STRETCH`` or more content words without one (other
+languages, tables, code) further anchors are the content words whose chain has the smallest hash of ``STRETCH`` neighbouring ones, so
+signatures grow with the text. Characters of scripts written without blanks are words of their own. The signature of an anchor is the chain of the next ``CHAIN`` content
 words (words that are no anchors); anchors near the end give shorter chains. A fingerprint is the set of signatures,
 written as sorted 32-bit numbers in fixed-width base 64. Likeness is the Jaccard index of two sets; it is only counted when their
 sizes allow the bound asked for (the smaller over the larger), and counting stops when the rest cannot reach it.
@@ -29,7 +31,10 @@ from pyspark.sql import types as T
 from . import common
 
 CHAIN = 2
-WORD = re.compile(r"[^\W_]+")
+STRETCH = 4
+# scripts written without blanks: Thai, Lao, Myanmar, Khmer, kana, Han
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+WORD = re.compile(rf"(?:(?![{_UNSPACED}])[^\W_])+|(?:(?=[{_UNSPACED}])[^\W_])")
 CACHE_WORDS = 300_000
 
 # Frequent function words of English, German, French and Spanish.
@@ -69,11 +74,17 @@ def signatures(text: str, chain: int = CHAIN):
     first = np.unique(np.concatenate([[0], np.cumsum(~anchor)[anchor]]))
     padded = np.concatenate([content, np.zeros(chain, dtype=np.uint64)])
     first = first[first < max(1, len(content))]
-    h = np.zeros(len(first), dtype=np.uint64)
+    h = np.zeros(max(1, len(content)), dtype=np.uint64)     # the chain at every content word
     for k in range(chain):
-        h = (h ^ padded[first + k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
+        h = (h ^ padded[k:k + len(h)]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
     h ^= h >> np.uint64(32)
-    return np.unique((h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32))
+    h = (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)).astype(np.uint32)
+    if len(content) >= STRETCH:
+        stretch = np.cumsum(anchor)[~anchor]                # number of the stretch each content word is in
+        whole = np.flatnonzero(stretch[:len(h) - STRETCH + 1] == stretch[STRETCH - 1:])
+        least = np.lib.stride_tricks.sliding_window_view(h, STRETCH)[whole].argmin(axis=1)
+        first = np.concatenate([first, whole + least])
+    return np.unique(h[first])
 
 
 def written_form(sig) -> str:
