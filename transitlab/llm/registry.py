@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (chat, embedding_dedup, language_id, license_rules, ngram_join, packing, personal_data, sentence_pieces,
-               spot_signatures, toxicity)
+               spot_signatures, token_counts, toxicity)
 from .common import table
 
 
@@ -97,6 +97,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark, sf_dir):
+    """Bytes and tokens of every whole document, and whether it is over the limit."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_sentencepiece": op2_sentencepiece,
@@ -108,6 +113,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_ngram_join": op10_ngram_join,
+    "op13_token_counts": op13_token_counts,
 }
 
 # The template's own length is part of the result: two marks and two newlines a turn, one backslash for each escape.
