@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (chat, embedding_dedup, language_id, license_rules, ngram_join, packing, personal_data, sentence_pieces,
-               spot_signatures, token_counts, toxicity)
+from . import (chat, embedding_dedup, hard_negatives, language_id, license_rules, ngram_join, packing, personal_data,
+               sentence_pieces, spot_signatures, token_counts, toxicity)
 from .common import table
 
 
@@ -97,6 +97,12 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector; every seventh vector has the next label."""
+    seventh = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", seventh), F.col("vec_id") % 100 == 0)
+
+
 def op13_token_counts(spark, sf_dir):
     """Bytes and tokens of every whole document, and whether it is over the limit."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -113,6 +119,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_ngram_join": op10_ngram_join,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
 
@@ -159,6 +166,21 @@ degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
 FROM embeddings e JOIN least l ON l.x = e.vec_id LEFT JOIN degree g ON g.x = e.vec_id"""
 
+_OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, id, score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INT) AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 10"""
 
 
 def _quote(text: str) -> str:
@@ -191,4 +213,5 @@ SELECT d.doc_id, CAST(coalesce(seq.n, 0) AS BIGINT) AS n_sentences, coalesce(seq
 FROM documents d LEFT JOIN seq ON seq.doc_id = d.doc_id"""
 
 
-ORACLE: dict[str, str] = {"op6_license_scan": _op6_sql(), "op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
+ORACLE: dict[str, str] = {"op6_license_scan": _op6_sql(), "op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL,
+                          "op12_hard_negatives": _OP12_SQL}
