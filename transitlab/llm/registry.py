@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (chat, embedding_dedup, hard_negatives, language_id, license_rules, ngram_join, packing, personal_data,
-               sentence_pieces, spot_signatures, token_counts, toxicity)
+               prefix_trie, sentence_pieces, spot_signatures, token_counts, toxicity)
 from .common import table
 
 
@@ -97,6 +97,11 @@ def op10_ngram_join(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the prefix trie of the rebuilt conversations, with its subtree totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_hard_negatives(spark, sf_dir):
     """Hard negatives of every hundredth vector; every seventh vector has the next label."""
     seventh = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -119,6 +124,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_format": op9_chat_format,
     "op10_ngram_join": op10_ngram_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_counts": op13_token_counts,
 }
@@ -166,6 +172,28 @@ degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT e.vec_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
 FROM embeddings e JOIN least l ON l.x = e.vec_id LEFT JOIN degree g ON g.x = e.vec_id"""
 
+_OP11_SQL = r"""
+WITH tab AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+    lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c FROM range(256) r(i))),
+own AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS l
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, l, xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h FROM own, tab),
+path AS (SELECT h.conv_id, list_concat(coalesce(b.l, h.l[1:0])[1:h.h], h.l[h.h + 1:]) AS p FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+row AS (SELECT conv_id, len(p) AS n, unnest(range(len(p) + 1)) AS d, p FROM path),
+keyed AS (SELECT conv_id, n, d, array_to_string(list_transform(p[1:d], lambda x: len(x.r) || ':' || x.r || len(x.t) || ':' || x.t), '') AS k,
+    CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+')) END AS words FROM row),
+node AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256 FROM keyed GROUP BY d, k),
+edge AS (SELECT c.d, c.k, p.k AS pk, q.conv_id AS parent_conv_id FROM node c JOIN keyed p ON p.conv_id = c.conv_id AND p.d = c.d - 1 JOIN node q ON q.d = p.d AND q.k = p.k),
+kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS n FROM edge GROUP BY d, pk),
+own_total AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k),
+total AS (SELECT a.d, a.k, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(u.saved) AS saved_tokens
+  FROM own_total u JOIN keyed a ON a.conv_id = u.conv_id AND a.d <= u.d GROUP BY a.d, a.k)
+SELECT o.conv_id, o.d AS depth, e.parent_conv_id, o.n_convs, CAST(o.n_children AS BIGINT) AS n_children, CAST(t.n_leaves AS BIGINT) AS n_leaves,
+       CAST(t.saved_tokens AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own_total o JOIN total t ON t.d = o.d AND t.k = o.k LEFT JOIN edge e ON e.d = o.d AND e.k = o.k"""
+
 _OP12_SQL = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -214,4 +242,4 @@ FROM documents d LEFT JOIN seq ON seq.doc_id = d.doc_id"""
 
 
 ORACLE: dict[str, str] = {"op6_license_scan": _op6_sql(), "op3_embedding_dedup": _OP3_SQL, "op9_chat_format": _OP9_SQL, "op10_ngram_join": _OP10_SQL,
-                          "op12_hard_negatives": _OP12_SQL}
+                          "op11_prefix_trie": _OP11_SQL, "op12_hard_negatives": _OP12_SQL}
