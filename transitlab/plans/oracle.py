@@ -391,6 +391,22 @@ ORACLE["train_from_table"] = W("schedule_updates") + (
 
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+ORACLE["fresh_vehicles_stream"] = ORACLE["live_vehicles_default_window"]
+# runs of a quarter of the time each, every 50th row one run later; the watermark of a run is the newest time of the runs before it less
+# 10 minutes; a row counts in the windows the watermark has not reached, and is late if there is none
+ORACLE["recent_delays_stream"] = W("trip_updates") + """
+, u AS (SELECT *, feed_timestamp + to_minutes(CAST(event_id * 7 % 60 AS BIGINT)) + to_seconds(event_id % 60) AS ts FROM trip_updates),
+s AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM u),
+l AS (SELECT s.*, CAST(floor((sec - lo) * 4 / (hi - lo + 1)) AS BIGINT) + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS run
+  FROM s, (SELECT min(sec) AS lo, max(sec) AS hi FROM s) b WHERE route_id IS NOT NULL AND trip_id IS NOT NULL AND vehicle_id IS NOT NULL),
+wm AS (SELECT g.run, coalesce(max(l.sec) - 600, 0) AS w FROM range(6) g(run) LEFT JOIN l ON l.run < g.run GROUP BY g.run),
+e AS (SELECT l.*, w, sec - sec % 120 + 120 * k AS till FROM l JOIN wm ON wm.run = l.run, range(1, 31) r(k)),
+win AS (SELECT till, route_id, trip_id, vehicle_id, avg(arrival_delay / CAST(60 AS DOUBLE)) AS delay_minutes, min(ts) AS feed_timestamp
+  FROM e WHERE till > w AND till <= (SELECT max(w) FROM wm) GROUP BY ALL),
+late AS (SELECT route_id, trip_id, vehicle_id, count(*) AS late_rows FROM l JOIN wm ON wm.run = l.run WHERE sec - sec % 120 + 3600 <= w GROUP BY ALL)
+SELECT make_timestamp((till - 3600) * 1000000) AS window_start, route_id, trip_id, vehicle_id, round(delay_minutes, 6) AS delay_minutes, feed_timestamp,
+       CAST(0 AS BIGINT) AS late_rows FROM win
+UNION ALL SELECT NULL, route_id, trip_id, vehicle_id, NULL, NULL, late_rows FROM late"""
 
 # DuckDB's round() keeps the sign of a value that rounds to zero (-0.0); Spark's decimal rounding gives 0.0.
 # Adding 0.0 maps -0.0 to 0.0 and leaves every other double unchanged.

@@ -385,6 +385,61 @@ def q_ingest_summary(spark, sf):
     return ingest.run_summary(spark, _ingested(spark, sf, tuple(ingest.KINDS), max_files_per_trigger=3)).drop("batches")
 
 
+STREAM_RUNS = 4             # scheduled runs in which the landed rows of the live streams are drained
+LATE_EVERY = 50             # every so many rows land one run late
+
+
+def _drained(spark, sf, name, landed, make, mode):
+    """Rows with a ``run`` number landed run by run, each drained by the stream before the next lands; the batches it wrote."""
+    import uuid
+    from ..streaming import live_stream
+    root = staging.staging_path(spark, sf, "streams", f"{name}-{uuid.uuid4().hex}")
+    own = live_stream.stateful_session(spark)
+    schema = T.StructType([f for f in landed.schema.fields if f.name != "run"])
+    stream = own.readStream.schema(schema).parquet(f"{root}/landed/*")
+
+    def keep(df, batch_id):
+        df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").parquet(f"{root}/out/part={batch_id}")
+    for run in range(STREAM_RUNS + 1):
+        landed.filter(F.col("run") == run).drop("run").write.parquet(f"{root}/landed/run={run}")
+        query = make(stream).writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{root}/checkpoint") \
+            .trigger(availableNow=True).start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return spark.read.parquet(f"{root}/out/*")
+
+
+def _by_run(df, time_col):
+    """Equal spans of time, one a run; every ``LATE_EVERY``-th row lands with the next one."""
+    least, most = (df.select(f(F.unix_seconds(time_col))).scalar() for f in (F.min, F.max))
+    run = F.floor((F.unix_seconds(time_col) - least) * STREAM_RUNS / (most - least + 1))
+    return df.withColumn("run", (F.coalesce(run, F.lit(0)) + (F.col("event_id") % LATE_EVERY == 0).cast("int")).cast("int"))
+
+
+def q_recent_delays_stream(spark, sf):
+    """L2 as a stream over runs with late rows: every window that closed, and the rows that were too late by key."""
+    from ..streaming import live_stream
+    tu = _v(spark, sf, "trip_updates")
+    spread = F.make_dt_interval(mins=(F.col("event_id") * 7 % 60).cast("int"), secs=(F.col("event_id") % 60).cast("decimal(18,6)"))
+    landed = _by_run(tu.withColumn("feed_timestamp", F.col("feed_timestamp") + spread), "feed_timestamp")
+    out = _drained(spark, sf, "recent-delays", landed, live_stream.recent_trip_delays_stream, "append")
+    keys = ["route_id", "trip_id", "vehicle_id"]
+    windows = out.filter("window IS NOT NULL").select(F.col("window.start").alias("window_start"), *keys, "delay_minutes", "feed_timestamp",
+                                                      F.lit(0).cast("long").alias("late_rows"))
+    late = out.filter("window IS NULL").groupBy(*keys).agg(F.sum("late_rows").alias("late_rows")) \
+        .withColumns({"window_start": F.lit(None).cast("timestamp"), "delay_minutes": F.lit(None).cast("double"), "feed_timestamp": F.lit(None).cast("timestamp")})
+    return windows.unionByName(late)
+
+
+def q_fresh_vehicles_stream(spark, sf):
+    """L1 as a stream whose idle vehicles leave after 10 minutes: the view after the last run."""
+    from ..streaming import live_stream
+    landed = _by_run(_v(spark, sf, "vehicle_positions"), "timestamp")
+    out = _drained(spark, sf, "fresh-vehicles", landed, live_stream.fresh_vehicles_stream, "update")
+    return live_stream.apply_updates(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "scan_routes": _scan("routes"),
@@ -477,6 +532,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # the newest files first, in several micro-batches: everything after the first one is late
     "ingest_out_of_order": _ingest_stream("vehicles", VEHICLE_STORED, max_files_per_trigger=2, latest_first=True),
     "ingest_summary": q_ingest_summary,
+    "recent_delays_stream": q_recent_delays_stream,
+    "fresh_vehicles_stream": q_fresh_vehicles_stream,
 }
 
 # Scores of trained models: rows-only checks (tree ensembles have no SQL equivalent).
