@@ -239,7 +239,8 @@ def _split_round(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFram
 def rolled_up(nodes: DataFrame, rows: DataFrame, task_nodes: int = TASK_NODES) -> DataFrame:
     """node and the sums of ``TOTALS`` over its subtree (itself included), by centroid decomposition."""
     zero = [F.lit(0).cast("long").alias(f"sum_{c}") for c in TOTALS]
-    state = nodes.select("node", "parent", "depth", "conv_id", F.lit(ROOT).alias("top"), "weight", *TOTALS, *zero)
+    # written: a literal top would turn the first joins on it into joins without a key
+    state = common.written(nodes.select("node", "parent", "depth", "conv_id", F.lit(ROOT).alias("top"), "weight", *TOTALS, *zero), "trie-state")
     done = []
     while True:
         size = common.written(state.groupBy("top").agg(F.count(F.lit(1)).alias("m")).withColumnRenamed("top", "_t"), "trie-sizes")
