@@ -1,0 +1,94 @@
+"""Histogram boosting against plain loops over the rows."""
+import random
+
+import numpy as np
+import pytest
+
+from transitlab.operators import boosting, model
+
+SCHEMA = "a double, b double, c int, y double"
+
+
+def plain(rows, target, edges, rounds, rate, depth, reg_lambda=1.0, gamma=0.0, least=1.0):
+    """Predictions of the same learner, row by row: exact sums, every split tried."""
+    x = np.array([[sum(v >= e for e in es) for v, es in zip(r, edges)] for r in rows])
+    y = np.array(target)
+    pred = np.full(len(y), y.mean())
+    for _ in range(rounds):
+        leaf = np.zeros(len(y))
+
+        def grow(at, level):
+            g, h = (pred[at] - y[at]).sum(), float(len(at))
+            best = None
+            if level < depth:
+                for f in range(x.shape[1]):
+                    for cut in range(len(edges[f])):
+                        left = x[at, f] <= cut
+                        hl, hr = float(left.sum()), float((~left).sum())
+                        if hl < least or hr < least:
+                            continue
+                        gl = (pred[at][left] - y[at][left]).sum()
+                        gain = 0.5 * (gl ** 2 / (hl + reg_lambda) + (g - gl) ** 2 / (hr + reg_lambda) - g ** 2 / (h + reg_lambda)) - gamma
+                        if gain > 1e-9 and (best is None or gain > best[0] + 1e-9 * max(1.0, best[0])):
+                            best = (gain, left)
+            if best is None:
+                leaf[at] = -g / (h + reg_lambda)
+                return
+            grow(at[best[1]], level + 1)
+            grow(at[~best[1]], level + 1)
+        grow(np.arange(len(y)), 0)
+        pred = pred + rate * leaf
+    return pred
+
+
+def made(n, seed):
+    rnd = random.Random(seed)
+    rows = [(float(rnd.randrange(12)), rnd.choice([0.5, 1.25, 7.0, -3.0]), rnd.randrange(3)) for _ in range(n)]
+    return [(*r, 2.0 * (r[0] > 5) + r[1] * (r[2] == 1) + rnd.gauss(0, 0.3)) for r in rows]
+
+
+@pytest.mark.parametrize("options", [{}, {"reg_lambda": 4.0, "gamma": 0.5, "min_child_weight": 12.0}])
+def test_equals_plain_loops(spark, options):
+    rows = made(300, 3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    edges = boosting.bin_edges(df, ["a", "b", "c"])
+    assert edges == [sorted({float(r[i]) for r in rows})[1:] for i in range(3)]           # few values: each has its bin
+    fitted = boosting.fit_boosted(df, ["a", "b", "c"], "y", rounds=6, rate=0.3, depth=3, **options)
+    got = {tuple(r[:4]): r.prediction for r in model.predict(fitted, df).collect()}
+    want = plain([r[:3] for r in rows], [r[3] for r in rows], edges, 6, 0.3, 3, options.get("reg_lambda", 1.0), options.get("gamma", 0.0),
+                 options.get("min_child_weight", 1.0))
+    assert all(abs(got[r] - p) < 1e-8 for r, p in zip(rows, want))
+
+
+def test_many_values_share_bins(spark):
+    rows = [(float(i), 0.0, 0, float(i > 700)) for i in range(1000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    edges = boosting.bin_edges(df, ["a"], max_bins=16)[0]
+    assert 12 <= len(edges) <= 16 and boosting.to_cells(df, ["a"], "y", [edges]).count() == len(edges) + 1
+    near = boosting.fit_boosted(df, ["a"], "y", rounds=30, rate=0.3, depth=2, max_bins=16)
+    assert model.evaluate(near, df, "y").first().r2_score > 0.9
+
+
+def test_constant_features_and_targets(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3, 4.0)] * 20, SCHEMA)
+    fitted = model.train_boosted_trees(df, ["a", "b", "c"], "y", n_estimators=3)
+    assert {round(r.prediction, 9) for r in model.predict(fitted, df).collect()} == {4.0}
+    with pytest.raises(ValueError, match="no training rows"):
+        boosting.fit_boosted(df.limit(0), ["a"], "y")
+
+
+def test_a_hot_combination_is_one_cell(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 1, 5.0)] * 500 + made(50, 1), SCHEMA)
+    cells = boosting.to_cells(df, ["a", "b", "c"], "y", boosting.bin_edges(df, ["a", "b", "c"]))
+    rows = cells.collect()
+    assert sum(r.n for r in rows) == 550 and max(r.n for r in rows) >= 500 and len(rows) <= 51
+
+
+def test_saved_and_loaded_scores_are_equal(spark, tmp_dir):
+    df = spark.createDataFrame(made(200, 9), SCHEMA)
+    fitted = model.train_boosted_trees(df, ["a", "b", "c"], "y", n_estimators=10, max_depth=3)
+    path = model.save_model(spark, fitted, tmp_dir, "boosted_trees", ["a", "b", "c"])
+    loaded, _ = model.load_model(spark, path)
+    scores = [sorted(r.prediction for r in model.predict(m, df).collect()) for m in (fitted, loaded)]
+    assert scores[0] == scores[1] and len(set(scores[0])) > 5
+    assert model.feature_importance(spark, loaded, ["a", "b", "c"]).first().importance > 0.2

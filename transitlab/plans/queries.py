@@ -522,7 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_hourly": q_weather_hourly,
     "split_counts": q_split_counts,
     "forest_round_trip": _model_round_trip("random_forest", n_estimators=5, max_depth=5),
-    "boosted_round_trip": _model_round_trip("boosted_trees", n_estimators=4, max_depth=4),
+    "boosted_round_trip": _model_round_trip("boosted_trees"),
     "train_from_table": q_train_from_table,
     "delay_model_scores": q_delay_model_scores,
     "delay_model_metrics": q_delay_model_metrics,

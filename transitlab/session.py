@@ -4,10 +4,8 @@ Queries never change the session they are handed; this builder is for tests, the
 """
 from __future__ import annotations
 
-import io
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -124,25 +122,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "transitlab", *parts])
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per application (as ``--py-files`` would)."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w") as z:
-        for folder, _, names in os.walk(package):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
-    # only the driver reads this file; Spark's own file server hands it to the executors
-    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="transitlab-py-")), "transitlab_workers.zip")
-    with open(path, "wb") as f:
-        f.write(buf.getvalue())
-    spark.sparkContext.addPyFile(path)
-    _SHIPPED.add(app)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this application wrote and no longer reads, by the file system it lies on."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

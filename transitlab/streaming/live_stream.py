@@ -10,14 +10,17 @@ no row is behind it, and the processors decide (and count) what is too late.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.live import TRIP_GROUP, VEHICLE_WINDOW, last_non_null, with_delay_minutes
-from ..session import ship
+from . import processors
+
+# the processors travel to the workers (also to the one beside the driver) as code, not as a module those would have to find
+cloudpickle.register_pickle_by_value(processors)
 
 TRIP_WINDOW, TRIP_SLIDE, LATE_DELAY = "1 hour", "2 minutes", "10 minutes"
 FAR = 365_250                # days
@@ -55,84 +58,6 @@ def live_vehicles_stream(positions: DataFrame, order_cols=("timestamp",)) -> Dat
         .agg(*[last_non_null(c, order).alias(c) for c in value_cols])
 
 
-WINDOW_ROW = Row(*TRIP_GROUP, "begin", "until", "delay_minutes", "first", "late_rows")
-
-
-class WindowedDelays(StatefulProcessor):
-    """Per (route, trip, vehicle): cells of ``slide`` with sum, count and earliest time; windows are combined from them when they close.
-
-    A window is closed once the watermark has reached its end; a row counts in every window that was open when its batch began. A row
-    all of whose windows are closed is late, and reported as such.
-    """
-
-    def __init__(self, window: int, slide: int):
-        self.window, self.slide = window, slide
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.cells = handle.getMapState("cells", "cell long", "total double, n long, first long")
-        self.due = handle.getValueState("due", "next_end long")
-
-    def _close(self, key, watermark: int) -> Iterator[Row]:
-        """The windows the watermark has reached, and what can go with them."""
-        cells = sorted((k[0], v[0], v[1], v[2]) for k, v in self.cells.iterator())
-        if not cells:
-            return
-        step, end = self.slide, max(self.due.get()[0], cells[0][0] + self.slide)
-        while end <= watermark:
-            inside = [c for c in cells if end - self.window <= c[0] < end]
-            if inside:
-                n = sum(c[2] for c in inside)
-                yield WINDOW_ROW(*key, end - self.window, end, sum(c[1] for c in inside) / n if n else None, min(c[3] for c in inside), 0)
-                end += step
-            else:                                   # go to the next cell that a window holds
-                later = [c[0] for c in cells if c[0] >= end]
-                end = later[0] + step if later else watermark + 1
-        for c in cells:
-            if c[0] + self.window <= watermark:
-                self.cells.removeKey((c[0],))
-        self._wait([c[0] for c in cells if c[0] + self.window > watermark], watermark)
-
-    def _wait(self, cells: list[int], watermark: int) -> None:
-        """The next end that can have a window, with a timer for it; no state is left without cells."""
-        if not cells:
-            self.due.clear()
-            return
-        open_from = watermark // self.slide * self.slide + self.slide
-        self.due.update((open_from,))
-        self.handle.registerTimer(max(open_from, min(cells) + self.slide))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        if self.due.exists():
-            yield from self._close(key, watermark)
-        late, new = 0, {}
-        for r in rows:
-            cell = r.at // 1000 // self.slide * self.slide
-            if cell + self.window <= watermark:
-                late += 1
-                continue
-            total, n, first = new.get(cell, (0.0, 0, r.at))
-            some = r.delay_minutes is not None
-            new[cell] = (total + (r.delay_minutes if some else 0.0), n + some, min(first, r.at))
-        for cell, (total, n, first) in new.items():
-            if self.cells.containsKey((cell,)):
-                old = self.cells.getValue((cell,))
-                total, n, first = total + old[0], n + old[1], min(first, old[2])
-            self.cells.updateValue((cell,), (total, n, first))
-        if new:
-            self._wait([k[0] for k in self.cells.keys()], watermark)
-        if late:
-            yield WINDOW_ROW(*key, None, None, None, None, late)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.due.exists():
-            yield from self._close(key, timerValues.getCurrentWatermarkInMs())
-
-    def close(self) -> None:
-        pass
-
-
 def recent_trip_delays_stream(updates: DataFrame, window: str = TRIP_WINDOW, slide: str = TRIP_SLIDE, late: str = LATE_DELAY) -> DataFrame:
     """L2 on a stream: per sliding hour (2-minute slide) and (route, trip, vehicle) the mean delay and earliest feed time (append mode).
 
@@ -142,7 +67,6 @@ def recent_trip_delays_stream(updates: DataFrame, window: str = TRIP_WINDOW, sli
     ``stateful_session``.
     """
     spark = updates.sparkSession
-    ship(spark)
     window_ms, slide_ms = _millis(spark, window), _millis(spark, slide)
     if window_ms % slide_ms:
         raise ValueError(f"the window ({window}) has to be a multiple of the slide ({slide})")
@@ -153,81 +77,13 @@ def recent_trip_delays_stream(updates: DataFrame, window: str = TRIP_WINDOW, sli
         .select("_event", *TRIP_GROUP, "delay_minutes", F.unix_micros("feed_timestamp").alias("at"))
     keys = ", ".join(f"{c} {updates.schema[c].dataType.simpleString()}" for c in TRIP_GROUP)
     out = keyed.groupBy(*TRIP_GROUP).transformWithState(
-        statefulProcessor=WindowedDelays(window_ms, slide_ms), outputMode="Append", timeMode="EventTime",
+        statefulProcessor=processors.WindowedDelays(window_ms, slide_ms), outputMode="Append", timeMode="EventTime",
         outputStructType=f"{keys}, begin long, until long, delay_minutes double, first long, late_rows long")
     span = F.struct(F.timestamp_millis("begin").alias("start"), F.timestamp_millis("until").alias("end"))
     return out.select(F.when(F.col("until").isNotNull(), span).alias("window"), *TRIP_GROUP, "delay_minutes",
                       F.timestamp_micros("first").alias("feed_timestamp"), "late_rows")
 
 
-class FreshVehicle(StatefulProcessor):
-    """Per vehicle the fresh rows that still provide the last non-null value of some column, newest first (mostly one row)."""
-
-    def __init__(self, columns: Sequence[str], order: Sequence[str], window: int, schema: str):
-        self.columns, self.order, self.window, self.schema = list(columns), list(order), window, schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", self.schema)
-        self._out = Row("vehicle_id", *self.columns, "gone", "as_of", "seq")
-
-    def _key(self, row: Row):
-        # as structs compare: null first; text by its bytes
-        return tuple((v is not None, v.encode() if isinstance(v, str) else v if v is not None else 0) for v in (row[c] for c in self.order))
-
-    def _needed(self, rows: list[Row]) -> list[Row]:
-        """Without the rows whose every value has a newer one: those go later, so they are never asked again."""
-        kept, missing = [], set(self.columns)
-        for r in sorted(rows, key=self._key, reverse=True):
-            gives = {c for c in missing if r[c] is not None}
-            if gives or not kept:
-                kept.append(r)
-                missing -= gives
-        return kept
-
-    def _expiry(self, row: Row) -> int:
-        return -(-row["at"] // 1000) + self.window
-
-    def _store(self, key, rows: list[Row], watermark: int, seq: int) -> Row:
-        if not rows:
-            self.rows.clear()
-            return self._out(*key, *[None] * len(self.columns), True, watermark, seq)
-        self.rows.put([tuple(r) for r in rows])
-        self.handle.registerTimer(min(map(self._expiry, rows)))
-        return self._out(*key, *[next((r[c] for r in rows if r[c] is not None), None) for c in self.columns], False, watermark, seq)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[0] is None:
-            return
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = [self._named(r) for r in self.rows.get()] if self.rows.exists() else []
-        fresh = [r for r in [*held, *rows] if r["at"] is not None and self._expiry(r) > watermark]
-        if fresh or held:
-            yield self._store(key, self._needed([self._plain(r) for r in fresh]), watermark, 0)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        held = [self._named(r) for r in self.rows.get()] if self.rows.exists() else []
-        fresh = [r for r in held if self._expiry(r) > watermark]
-        if len(fresh) < len(held):
-            # an older row that a newer one covered went with it or before it, so the rest needs no second look
-            yield self._store(key, fresh, watermark, 1)
-        elif held:
-            self.handle.registerTimer(min(map(self._expiry, held)))
-
-    def _fields(self) -> list[str]:
-        return ["at", *self.columns, *[c for c in self.order if c != "at" and c not in self.columns]]
-
-    def _named(self, values) -> Row:
-        return Row(*self._fields())(*values)
-
-    def _plain(self, row: Row) -> Row:
-        return Row(*self._fields())(*[row[c] for c in self._fields()])
-
-    def close(self) -> None:
-        pass
-
-
 def fresh_vehicles_stream(positions: DataFrame, window: str = VEHICLE_WINDOW, order_cols: Sequence[str] = ("timestamp", "event_id"),
                           late: str = "0 seconds") -> DataFrame:
     """L1 on a stream (update mode): per vehicle the last non-null value of every column among its rows newer than ``as_of`` - ``window``.
@@ -238,7 +94,6 @@ def fresh_vehicles_stream(positions: DataFrame, window: str = VEHICLE_WINDOW, or
     time are not part of it. The stream has to be read in a ``stateful_session``.
     """
     spark = positions.sparkSession
-    ship(spark)
     order = [c for c in order_cols if c in positions.columns]
     time_col, hidden = order[0], order[1:]
     columns = [c for c in positions.columns if c != "vehicle_id" and c not in hidden]
@@ -248,7 +103,7 @@ def fresh_vehicles_stream(positions: DataFrame, window: str = VEHICLE_WINDOW, or
     state = ", ".join(f"`{c}` {types[c]}" for c in ["at", *columns, *hidden])
     out = ", ".join(f"`{c}` {types[c]}" for c in ["vehicle_id", *columns])
     return rows.select("_event", "vehicle_id", "at", *columns, *hidden).groupBy("vehicle_id").transformWithState(
-        statefulProcessor=FreshVehicle(columns, ["at", *hidden, *[c for c in columns if c != time_col]], _millis(spark, window), state),
+        statefulProcessor=processors.FreshVehicle(columns, ["at", *hidden, *[c for c in columns if c != time_col]], _millis(spark, window), state),
         outputMode="Update", timeMode="EventTime", outputStructType=f"{out}, gone boolean, as_of long, seq int")
 
 
