@@ -391,6 +391,14 @@ ORACLE["train_from_table"] = W("schedule_updates") + (
 
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+_LEVELS = ITEM_V.replace("ORDER BY event_id DESC) = 1)", "ORDER BY event_id % 5 DESC, event_id DESC) = 1)")
+ORACLE["store_levels"] = W("vehicle_positions") + _LEVELS + f"\nSELECT pk, sk, record_type, {VP}, event_date FROM items_v"
+ORACLE["recent_by_route_files"] = ORACLE["store_levels"] + " WHERE pk = 'VEHICLE#click' ORDER BY sk DESC LIMIT 100"
+# the second run repeats every key; after the reset before the third all of them are new again
+ORACLE["ingest_memory"] = (
+    ORACLE["ingest_summary"].replace(")\nSELECT record_type AS kind", ")\nSELECT CAST(run AS INTEGER) AS run, record_type AS kind")
+    .replace("duplicate, valid - duplicate AS stored FROM s",
+             "CASE WHEN run = 1 THEN valid ELSE duplicate END AS duplicate, CASE WHEN run = 1 THEN 0 ELSE valid - duplicate END AS stored FROM s, range(3) r(run)"))
 ORACLE["fresh_vehicles_stream"] = ORACLE["live_vehicles_default_window"]
 # runs of a quarter of the time each, every 50th row one run later; the watermark of a run is the newest time of the runs before it less
 # 10 minutes; a row counts in the windows the watermark has not reached, and is late if there is none

@@ -356,6 +356,31 @@ def q_store_upsert(spark, sf):
     return keyed_store.read_store(spark, path).select(*items.columns)
 
 
+def _levelled_store(spark, sf):
+    """S13/S14 in levels: five puts, merged on the way, one repeated as a replay would; the folder of the store."""
+    import uuid
+    from ..sources.store_levels import Levels
+    root = staging.staging_path(spark, sf, "levels", uuid.uuid4().hex)
+    items = keyed_store.vehicle_items(_v(spark, sf, "vehicle_positions"))
+    store = Levels(spark, root, fanout=2)
+    for batch_id in (0, 1, 2, 2, 3, 4):
+        store.put(keyed_store.latest_items(items.filter(F.col("event_id") % 5 == batch_id), ["event_id"]), batch_id)
+    store.vacuum(keep=1)
+    return root
+
+
+def q_store_levels(spark, sf):
+    """The current items of the store in levels, read from the files of its last version."""
+    from ..sources.store_levels import read_items
+    return read_items(spark, _levelled_store(spark, sf))
+
+
+def q_recent_by_route_files(spark, sf):
+    """S15 on store files: newest items of one route by key range."""
+    from ..sources.store_levels import recent_items
+    return recent_items(spark, _levelled_store(spark, sf), f"VEHICLE#{RECENT_ROUTE}", RECENT_LIMIT)
+
+
 VEHICLE_STORED = ["vehicle_id", "trip_id", "route_id", "latitude", "longitude", "bearing", "speed", "timestamp",
                   "current_stop_sequence", "current_status", "congestion_level", "feed_timestamp", "event_date"]
 UPDATE_STORED = ["trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "arrival_delay", "arrival_time",
@@ -385,6 +410,28 @@ def q_ingest_summary(spark, sf):
     return ingest.run_summary(spark, _ingested(spark, sf, tuple(ingest.KINDS), max_files_per_trigger=3)).drop("batches")
 
 
+def q_ingest_memory(spark, sf):
+    """R1 over runs: the feed, the feed again (all repeats), and once more after a reset of the key memory; counters of each run."""
+    import uuid
+    from ..streaming import ingest
+    feed = staging.stage_feed_messages(spark, sf)
+    root = staging.staging_path(spark, sf, "ingest-memory", uuid.uuid4().hex)
+    for run in range(3):
+        spark.read.text(feed).write.text(f"{root}/landed/run={run}")
+        if run == 2:
+            ingest.reset_memory(spark, f"{root}/out")
+        stream = ingest.start_ingest(spark, f"{root}/landed/*", f"{root}/out", checkpoint=f"{root}/checkpoint", dedup="memory")
+        stream.awaitTermination()
+        if stream.exception() is not None:
+            raise stream.exception()
+    out = None
+    for kind in ingest.KINDS:
+        one = spark.read.parquet(f"{root}/out/counts/{kind}").select(
+            F.col("batch_id").cast("int").alias("run"), F.lit(kind).alias("kind"), "processed", "valid", "invalid", "duplicate", "stored")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 STREAM_RUNS = 4             # scheduled runs in which the landed rows of the live streams are drained
 LATE_EVERY = 50             # every so many rows land one run late
 
@@ -456,6 +503,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_trip_updates": q_export_trip_updates,
     "recent_any_route": q_recent_any_route,
     "store_upsert": q_store_upsert,
+    "store_levels": q_store_levels,
+    "recent_by_route_files": q_recent_by_route_files,
     "archive_files": q_archive_files,
     "timetable_summary": q_timetable_summary,
     "training_table": q_training_table,
@@ -532,6 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # the newest files first, in several micro-batches: everything after the first one is late
     "ingest_out_of_order": _ingest_stream("vehicles", VEHICLE_STORED, max_files_per_trigger=2, latest_first=True),
     "ingest_summary": q_ingest_summary,
+    "ingest_memory": q_ingest_memory,
     "recent_delays_stream": q_recent_delays_stream,
     "fresh_vehicles_stream": q_fresh_vehicles_stream,
 }
