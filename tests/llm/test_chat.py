@@ -75,3 +75,11 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
     plan = chat.format_trees(chat.conversation_tree(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_roles_are_read_back(spark):
+    roles = ["user", "a\x00b", "\\", "\\n", "\n", "\\\n", "\\\\n\n\\", "x\\\\", "<|im_end|>", ""]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(roles)], "i int, role string")
+    got = {r.i: r for r in df.select("i", chat.escape_role(F.col("role")).alias("e"), chat.unescape_role(chat.escape_role(F.col("role"))).alias("r")).collect()}
+    assert [got[i].r for i in range(len(roles))] == roles
+    assert all("\n" not in got[i].e for i in range(len(roles)))

@@ -76,3 +76,14 @@ def test_keep_identified_keeps_columns_and_clean_rows(spark):
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.collect()}
     assert 900 not in ids and set(range(120)) <= ids
+
+
+def test_number_signs_are_no_letters():
+    model = lid.build([("de", "5", 3.0), ("de", "latin", 3.0)])
+    table = lid.WordScores(model)
+    signs = "\u00bd \u00b2 \u2163 \u2460 12 \u0663"
+    assert [g[:2] for g in lid.label_all([signs, "", "3\u00b2"], table)] == [("und", 0.0)] * 3
+    label, score, spans = lid.label_all(["a\u00b2b \u2163 c"], table)[0]
+    assert label == "de" and score > 0 and spans == [(0, 7, "de")]
+    assert lid.only_letters("x\u00b2\u4e00y") == "x \u4e00y"
+    assert all(c.isalpha() for w in lid.WORD.findall(lid.only_letters("".join(map(chr, range(0x3000))))) for c in w)

@@ -107,3 +107,9 @@ def test_published_notices_wrapped_and_on_one_line(spark):
     got = lr.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert len(got) == len(rows)
     assert [(r["doc_id"], r["licenses"]) for r in got] == [(n, [n] if n else []) for n, _ in rows]
+
+
+def test_a_column_of_the_name_used_inside(spark):
+    docs = spark.createDataFrame([(1, "Permission is hereby granted", "x", "y")], "doc_id long, text string, _ids string, __ids string")
+    row = lr.scan(docs).first()
+    assert (row["_ids"], row["__ids"]) == ("x", "y")

@@ -3,6 +3,8 @@ import sys
 import textwrap
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from transitlab.llm import language_id, ngram_join, toxicity
 
@@ -33,6 +35,24 @@ def test_stages_take_effect(spark):
     assert max(r[1] for r in total) <= 1024
 
 
+CLASHING = ["_t", "_base", "_spans", "_new", "_cand", "_row", "_hash", "_id", "keeper_id", "keeper_hash", "_copies", "_ids", "cls", "component"]
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).cache()
+    wide = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    plain, extra = docs, wide
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, extra = stage(spark, plain, SF).cache(), stage(spark, extra, SF).cache()
+        assert extra.columns == wide.columns, name
+        assert sorted(map(tuple, extra.select(docs.columns).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr), name
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in extra.collect() for c in CLASHING), name
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF).count() == corpus_pipeline.STAGES[-1][1](spark, plain, SF).count()
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+
+
 def test_library_works_without_the_operators():
     root = Path(__file__).resolve().parents[2]
     code = textwrap.dedent("""
@@ -52,4 +72,4 @@ def test_library_works_without_the_operators():
 def test_registered_names():
     import __spark_entry__ as e
     numbers = sorted(int(k[2:].split("_")[0]) for k in e.queries() if k.startswith("op") and k[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in e.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in e.queries()

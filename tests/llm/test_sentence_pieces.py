@@ -53,8 +53,7 @@ def test_round_trip_rows(spark):
     docs = spark.createDataFrame(
         [(1, "Hello world.", "x"), (1, "Hello world.", "y"), (2, None, None), (None, "", "z"), (3, "é" * 20_000, "q")],
         "doc_id long, text string, ids string")
-    rows = sp.round_trip(docs, PATH, "texts").collect()
-    assert {tuple(r) for r in rows} == {tuple(r) for r in sp.round_trip(docs, PATH).collect()}
+    rows = sp.round_trip(docs, PATH).collect()
     assert len(rows) == 5 and all(r["library_equal"] for r in rows)
     empty = [r for r in rows if r["doc_id"] in (2, None)]
     assert all(r["n_tokens"] == 1 and r["decoded_sha256"] == hashlib.sha256(b"").hexdigest() for r in empty)
@@ -64,20 +63,28 @@ def test_round_trip_rows(spark):
     assert sp.round_trip(docs.limit(0), PATH).count() == 0
 
 
-def test_new_parts_are_checked_once():
+def test_digests_of_parts_equal_those_of_whole_texts():
     m = sp.PieceModel(PATH)
-    m.encode("Some words, some more words.\n\nAnd 12% 日本 of them!")
-    assert m.cache.new and m.check_new_parts() and not m.cache.new
-    m.encode("Some words, some more")
-    assert not m.cache.new
-    m.cache["▁wrong"] = (5,)
-    m.cache.new.append("▁wrong")
-    assert not m.check_new_parts()
+    texts = ["Some words, some more words.\n\nAnd 12% 日本 of them!", "", " ", "  a", "\ue000x \U0001f642\u0378", "x" * 300, "\u2581a b"]
+    entries = m.parts(texts)
+    for text, e in zip(texts, entries):
+        ids = m.ids_of(e)
+        numbers, back = m.texts_of(e, ids)
+        assert ids == m.lib.encode(text, add_eos=True)
+        assert numbers == " ".join(map(str, ids)) and back == m.decode(ids) == m.lib.decode(ids)
+
+
+def test_a_wrong_part_is_told(spark, monkeypatch):
+    merge = sp.PieceModel.merge
+    monkeypatch.setattr(sp.PieceModel, "merge", lambda self, part: (5,) if part == "\u2581wrong" else merge(self, part))
+    m = sp.PieceModel(PATH)
+    entries = m.parts(["all right", "all wrong"])
+    assert [m.ids_of(e) == m.lib.encode(t, add_eos=True) for e, t in zip(entries, ["all right", "all wrong"])] == [True, False]
 
 
 def test_whole_table_equals_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert sp.round_trip(docs, PATH, "texts").filter("NOT library_equal").count() == 0
+    assert sp.round_trip(docs, PATH).filter("NOT library_equal").count() == 0
 
 
 @pytest.mark.parametrize("wrong", ["ids", "decoded text"])
@@ -87,9 +94,9 @@ def test_registered_query_compares_whole_rows_with_the_library(spark, tmp_path,
         .write.parquet(str(tmp_path / "documents.parquet"))
     m = sp.PieceModel(PATH)
     if wrong == "ids":
-        monkeypatch.setattr(m, "encode", lambda t: sp.PieceModel.encode(m, t)[1:])
+        monkeypatch.setattr(m, "ids_of", lambda e: sp.PieceModel.ids_of(m, e)[1:])
     else:
-        monkeypatch.setattr(m, "decode", lambda ids: "other")
+        monkeypatch.setattr(m, "texts_of", lambda e, ids: (sp.PieceModel.texts_of(m, e, ids)[0], "other"))
     batches = []
     monkeypatch.setattr(sp.common, "map_batches", lambda df, fn, schema: batches.append(fn) or df)
     monkeypatch.setitem(sp._MODELS, PATH, m)

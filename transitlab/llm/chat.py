@@ -38,9 +38,9 @@ def escape_role(c: Column) -> Column:
 
 
 def unescape_role(c: Column) -> Column:
-    # two steps that cannot meet: doubled backslashes become a mark that cannot be in the string, then back
-    marked = F.regexp_replace(unescape(c), r"\\\\", "\u0000b")
-    return F.replace(F.replace(marked, F.lit("\\n"), F.lit("\n")), F.lit("\u0000b"), F.lit("\\"))
+    # between doubled backslashes (found from the left, as they were written) a backslash can only belong to a line end
+    parts = F.split(unescape(c), r"\\\\")
+    return F.array_join(F.transform(parts, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def conversation_tree(rows: DataFrame) -> DataFrame:

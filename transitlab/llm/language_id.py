@@ -35,7 +35,8 @@ GRAM_WEIGHT = 0.3          # overlapping n-grams of a word are not independent e
 WORD_LIMIT = 6.0           # the most one word can say against a language (natural log)
 SWITCH_PENALTY = 12.0
 CACHE_WORDS = 120_000
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(r"[^\W\d_]+")       # letters, and number signs that are no decimal digits: ``only_letters`` takes those out first
+NUMBER_SIGNS = frozenset(c for c in map(chr, range(128, 0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 
 # First and last code points of scripts (Unicode block ranges).
 SCRIPTS = {
@@ -48,6 +49,14 @@ SCRIPTS = {
 }
 
 
+def only_letters(text: str) -> str:
+    """The text with blanks for number signs such as \u00bd, \u00b2, \u2163 and \u2460 (Python counts them as word characters); positions stay."""
+    if text.isascii():
+        return text
+    odd = NUMBER_SIGNS.intersection(text)
+    return text.translate(dict.fromkeys(map(ord, odd), " ")) if odd else text
+
+
 def script_of(word: str) -> str:
     """Script of the word's first letter whose block is listed; "other" if none is."""
     if word.isascii():
@@ -112,7 +121,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LANGUAGE) -> dict:
         import numpy as np
         words = defaultdict(Counter)
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words[lang].update(WORD.findall(text))
+            words[lang].update(WORD.findall(only_letters(text)))
         out: dict[tuple[str, object], float] = {}
         for lang, counted in words.items():
             listed, total = list(counted), np.zeros(BUCKETS)
@@ -233,6 +242,7 @@ def label_all(texts: list[str], table: WordScores, penalty: float = SWITCH_PENAL
     """(language, score, spans) of each text; spans are (start, end, language) in code points."""
     if not table.model["langs"]:
         return [(UNDETERMINED, 0.0, [])] * len(texts)
+    texts = [only_letters(t) for t in texts]
     words = [WORD.findall(t) for t in texts]
     return [_label(t, w, s, table.model["langs"], penalty) if w else (UNDETERMINED, 0.0, [])
             for t, w, s in zip(texts, words, table.of(words))]

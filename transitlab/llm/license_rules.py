@@ -137,10 +137,13 @@ def scan(docs: DataFrame, known=SENTENCES, rules=RULES) -> DataFrame:
         whole = F.concat(F.lit("\n"), marked(text), F.lit("\n"))
         hits = F.regexp_extract_all(whole, F.lit(_pattern([r["s"] for r in listed])), F.lit(0))
         found = F.when(may, F.transform(hits, lambda m: F.element_at(lookup, F.regexp_replace(m, r"[\n|]", " ")))).otherwise(found)
-    out = docs.withColumn("_ids", found)
+    ids = "_ids"
+    while ids in docs.columns:                      # a name that no column of the caller has
+        ids = "_" + ids
+    out = docs.withColumn(ids, found)
     # the sequence as text, one identifier between bars; the alternatives stand in the order of the rules
     ordered = sorted(rules, key=lambda r: -len(r[1]))
-    chain = F.array_join(F.transform("_ids", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
+    chain = F.array_join(F.transform(ids, lambda i: F.concat(F.lit("|"), i, F.lit("|"))), "")
     licenses = F.expr("cast(array() as array<string>)")
     if ordered:
         pattern = "|".join("(?:" + "".join(_quoted(f"|{i}|") for i in ids) + ")" for _, ids in ordered)
@@ -148,7 +151,7 @@ def scan(docs: DataFrame, known=SENTENCES, rules=RULES) -> DataFrame:
                                for x in (seq, name)])
         licenses = F.transform(F.regexp_extract_all(chain, F.lit(pattern), F.lit(0)), lambda m: F.element_at(names, m))
     keep = [c for c in docs.columns if c not in ("text", "sentence_ids", "licenses")]
-    return out.select(*keep, F.col("_ids").alias("sentence_ids"), licenses.alias("licenses"))
+    return out.select(*keep, F.col(ids).alias("sentence_ids"), licenses.alias("licenses"))
 
 
 def _quoted(text: str) -> str:

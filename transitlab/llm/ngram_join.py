@@ -303,7 +303,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, threshold: float = TH
 
 def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component does (the smallest doc_id; of repeated
-    rows one). Rows without words stay. All columns."""
+    rows one). Rows without words stay. All columns, whatever their names."""
     rows, classes = join(docs, words, threshold)
     keep = classes.select("keeper_id", "keeper_hash").distinct()
     copies = rows.filter("cls IS NOT NULL").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
@@ -312,9 +312,10 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD)
     wordless = rows.filter("cls IS NULL").select(F.col("doc_id").alias("keeper_id"), F.col("text_hash").alias("keeper_hash"),
                                                  F.lit(1).cast("long").alias("copies")).distinct()
     keep = common.written(keep.unionByName(wordless), "join-keep")
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    # the caller's columns travel in one struct, so names used here cannot meet theirs
+    marked = docs.select(F.struct(*["`" + c.replace("`", "``") + "`" for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id"),
+                         F.xxhash64("text").alias("_hash"))
     stay = marked.join(keep.select("keeper_id", "keeper_hash", F.col("copies").alias("_copies")),
-                       F.col("doc_id").eqNullSafe(F.col("keeper_id")) & (F.col("_hash") == F.col("keeper_hash")))
-    once = stay.filter("_copies = 1").select(*docs.columns)
-    repeated = stay.filter("_copies > 1").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
-    return once.unionByName(repeated)
+                       F.col("_id").eqNullSafe(F.col("keeper_id")) & (F.col("_hash") == F.col("keeper_hash")))
+    repeated = stay.filter("_copies > 1").dropDuplicates(["_id", "_hash"])
+    return stay.filter("_copies = 1").unionByName(repeated).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

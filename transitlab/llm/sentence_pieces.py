@@ -4,8 +4,8 @@ A text is normalised by the model's own rules, split where no vocabulary entry c
 another character), and every part is merged by an agenda: a heap of adjacent symbol pairs whose join is an entry,
 best score first, leftmost on ties. Parts recur, so each Python worker keeps a bounded table of parts
 already merged. Symbols that are no entry become their UTF-8 byte entries, or the unknown id where the vocabulary
-has none. Every row's ids and decoded text are compared with the sentencepiece library (``library_equal``);
-``check="parts"`` compares only the parts merged for a batch, each on its own, and neither whole texts nor decoding.
+has none. The table holds a part's ids, their text and what they decode to, so a document's digests are
+joined from its parts. Every row's ids and decoded text are compared with the sentencepiece library (``library_equal``).
 
 Defined results: null and empty texts encode to the end id alone and decode to "". Rows are kept one to one
 (repeated rows and ids included). Columns of the input other than ``doc_id`` and ``text`` are ignored.
@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import re
 from itertools import chain
+from operator import itemgetter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -27,29 +28,29 @@ CACHE_PARTS = 300_000        # parts in each of the two generations a Python wor
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # Latin letters, of which most parts consist
 SHORT = 40                   # parts up to this length use a list as their agenda, longer ones a heap
 NO_ENTRY = float("-inf")
+FIRST, SECOND, THIRD = map(itemgetter, range(3))
 CACHED_LENGTH = 64           # longer parts are merged but not remembered
 
 _MODELS: dict[str, "PieceModel"] = {}
 
 
 class PartTable(dict):
-    """part -> ids. When full, the entries become the old generation; parts still in use come back from it."""
+    """part -> (ids, ids as text, decoded text). When full, the entries become the old generation; parts still in use come back from it."""
 
-    def __init__(self, merge):
+    def __init__(self, entry):
         super().__init__()
-        self.merge, self.old, self.new = merge, {}, []
+        self.entry, self.old = entry, {}
 
-    def __missing__(self, part: str):
-        got = self.old.get(part)
-        if got is None:
-            got = self.merge(part)
-            self.new.append(part)
-        if len(part) <= CACHED_LENGTH:
-            if len(self) >= CACHE_PARTS:
-                self.old = dict(self)
-                self.clear()
-            self[part] = got
-        return got
+    def add(self, parts: set[str]) -> dict:
+        """A table that holds all of ``parts``: this one, with an extra table for parts too long to be remembered."""
+        if len(self) + len(parts) > CACHE_PARTS and self:
+            self.old = dict(self)
+            self.clear()
+        long = {}
+        for p in parts:
+            if p not in self:
+                (self if len(p) <= CACHED_LENGTH else long)[p] = self.old.get(p) or self.entry(p)
+        return {**{p: self[p] for p in parts if p in self}, **long} if long else self
 
 
 class PieceModel:
@@ -70,7 +71,7 @@ class PieceModel:
         self.score = {p: lib.get_score(i) for p, i in self.ids.items()}
         self.silent = {i for i in range(n) if silent[i]}
         self.part = re.compile(self._part_pattern())
-        self.cache = PartTable(self.merge)
+        self.cache = PartTable(self.entry)
         surface = [p.replace(MARK, " ") for p in self.pieces]
         surface[self.unk] = lib.decode([self.unk]) if self.unk >= 0 else ""
         # the model puts a blank before every text, and its decoder takes it from an entry that starts with one
@@ -148,22 +149,30 @@ class PieceModel:
                 out.append(self.unk)
         return tuple(out)
 
-    def encode(self, text: str) -> list[int]:
-        parts = self.part.findall(self.lib.normalize(text)) if text else ()
-        out = list(chain.from_iterable(map(self.cache.__getitem__, parts)))
+    def entry(self, part: str) -> tuple[tuple[int, ...], str, str]:
+        ids = self.merge(part)
+        plain = self.bytes.keys().isdisjoint(ids)
+        return ids, " ".join(map(self.number.__getitem__, ids)), "".join(map(self.surface.__getitem__, ids) if plain else self._surfaces(ids))
+
+    def parts(self, texts: list[str]) -> list[list[tuple]]:
+        """The table's entries of whole texts, in order."""
+        cut = [self.part.findall(self.lib.normalize(t)) if t else [] for t in texts]
+        table = self.cache.add(set().union(*cut))
+        return [list(map(table.__getitem__, c)) for c in cut]
+
+    def ids_of(self, entries: list[tuple]) -> list[int]:
+        out = list(chain.from_iterable(map(FIRST, entries)))
         out.append(self.end)
         return out
 
-    def check_new_parts(self) -> bool:
-        """Whether the library agrees on every part merged since the last call (one call for all of them).
+    def encode(self, text: str) -> list[int]:
+        return self.ids_of(self.parts([text])[0])
 
-        The library sees a part at the start of a text, where it puts its mark before it.
-        """
-        new, self.cache.new = self.cache.new, []
-        bare = [p[1:] if self.prefix and p.startswith(MARK) else p for p in new]
-        marked = [MARK + p if self.prefix else p for p in bare]
-        theirs = self.lib.encode(bare, num_threads=1) if bare else []
-        return all(list(self.cache.get(m) or self.merge(m)) == t for m, t in zip(marked, theirs) if m != MARK)
+    def texts_of(self, entries: list[tuple], ids: list[int]) -> tuple[str, str]:
+        """(ids as text, decoded text) of a whole text. A part holds whole characters, so byte entries never run over its end."""
+        numbers = " ".join([*map(SECOND, entries), self.number[self.end]])
+        text = "".join(map(THIRD, entries))
+        return numbers, text[1:] if self.prefix and ids[0] in self.opening else text
 
     def decode(self, ids: list[int]) -> str:
         """Surface of the entries; runs of byte entries become UTF-8; the blank that stands for the start goes."""
@@ -215,29 +224,16 @@ def model(path: str) -> PieceModel:
 
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
                         T.StructField("library_equal", T.BooleanType())])
-CHECKS = ("parts", "texts", "none")
 
 
-def _agrees(m: PieceModel, texts: list[str], ids: list[list[int]], check: str) -> list[bool | None]:
-    """``texts``: the library encodes every text too. ``parts``: it encodes every part that was merged for this batch;
-    all rows of the batch are marked false if it differs on one."""
-    same = m.check_new_parts() if check == "parts" else None
-    m.cache.new.clear()
-    if check == "texts":
-        return [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))]
-    return [same] * len(ids)
-
-
-def encode(docs: DataFrame, model_path: str, check: str = "texts") -> DataFrame:
-    """doc_id, ids (with the end id) and whether the library agrees (see ``CHECKS``; null if unchecked)."""
-    if check not in CHECKS:
-        raise ValueError(f"check must be one of {CHECKS}")
-
+def encode(docs: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, ids (with the end id) and whether the library gives the same."""
     def fn(batch):
         m = model(model_path)
         texts = common.texts_of(batch)
-        ids = [m.encode(t) for t in texts]
-        return common.batch_of(ENCODED, [batch.column(0), ids, _agrees(m, texts, ids, check)])
+        ids = list(map(m.ids_of, m.parts(texts)))
+        same = [a == b for a, b in zip(ids, m.lib.encode(texts, num_threads=1, add_eos=True))]
+        return common.batch_of(ENCODED, [batch.column(0), ids, same])
     return common.map_batches(docs.select("doc_id", "text"), fn, ENCODED)
 
 
@@ -257,21 +253,19 @@ ROUND_TRIP = T.StructType([
     T.StructField("library_equal", T.BooleanType())])
 
 
-def round_trip(docs: DataFrame, model_path: str, check: str = "texts") -> DataFrame:
+def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     """Encode and decode in one pass, kept as digests: ids and texts never leave the task that made them."""
-    if check not in CHECKS:
-        raise ValueError(f"check must be one of {CHECKS}")
-
     def fn(batch):
         m = model(model_path)
         texts = common.texts_of(batch)
-        ids = [m.encode(t) for t in texts]
-        same = _agrees(m, texts, ids, check)
-        back = [m.decode(i) for i in ids]
-        if check == "texts":
-            same = [a and b == c for a, b, c in zip(same, back, m.lib.decode(ids, num_threads=1) if ids else [])]
+        entries = m.parts(texts)
+        ids = [m.ids_of(e) for e in entries]
+        made = [m.texts_of(e, i) for e, i in zip(entries, ids)]
+        theirs = m.lib.encode(texts, num_threads=1, add_eos=True)
+        back = m.lib.decode(theirs, num_threads=1) if theirs else []
         return common.batch_of(ROUND_TRIP, [
-            batch.column(0), [len(i) for i in ids],
-            [hashlib.sha256(" ".join(map(m.number.__getitem__, i)).encode()).hexdigest() for i in ids],
-            [hashlib.sha256(t.encode()).hexdigest() for t in back], same])
+            batch.column(0), list(map(len, ids)),
+            [hashlib.sha256(n.encode()).hexdigest() for n, _ in made],
+            [hashlib.sha256(t.encode()).hexdigest() for _, t in made],
+            [i == j and t == u for i, j, (_, t), u in zip(ids, theirs, made, back)]])
     return common.map_batches(docs.select("doc_id", "text"), fn, ROUND_TRIP)
