@@ -391,6 +391,9 @@ ORACLE["train_from_table"] = W("schedule_updates") + (
 
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+ORACLE["archive_index"] = W("vehicle_positions") + (
+    "\nSELECT 'vehicles' AS data_type, strftime(feed_timestamp, '%Y%m%d') AS date, count(*) AS rows, count(*) AS read_rows, "
+    "CAST(sum(event_id) AS BIGINT) AS event_ids, count(DISTINCT feed_timestamp) AS snapshots FROM vehicle_positions GROUP BY 2")
 _LEVELS = ITEM_V.replace("ORDER BY event_id DESC) = 1)", "ORDER BY event_id % 5 DESC, event_id DESC) = 1)")
 ORACLE["store_levels"] = W("vehicle_positions") + _LEVELS + f"\nSELECT pk, sk, record_type, {VP}, event_date FROM items_v"
 ORACLE["recent_by_route_files"] = ORACLE["store_levels"] + " WHERE pk = 'VEHICLE#click' ORDER BY sk DESC LIMIT 100"

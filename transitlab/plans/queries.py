@@ -356,6 +356,23 @@ def q_store_upsert(spark, sf):
     return keyed_store.read_store(spark, path).select(*items.columns)
 
 
+def q_archive_index(spark, sf):
+    """S10-S12 by the index: positions archived in four batches, small snapshots merged into day files; rows of each day by the index and as read."""
+    import uuid
+    from ..sources import archive_index
+    root = staging.staging_path(spark, sf, "archive-index", uuid.uuid4().hex)
+    vp = _v(spark, sf, "vehicle_positions")
+    for batch_id in range(4):
+        archive.write_archive(vp.filter(F.col("event_id") % 4 == batch_id), root, "vehicles", "feed_timestamp", batch_id=batch_id)
+        archive_index.index_batch(spark, root, "vehicles", batch_id)
+    archive_index.merge_days(spark, root, "vehicles", vp.schema, least=4)
+    archive_index.vacuum(spark, root, "vehicles", keep=1)
+    listed = archive_index.list_files(spark, root, "vehicles").groupBy("date").agg(F.sum("rows").alias("rows"))
+    read = archive_index.read_archive(spark, root, vp.schema, "vehicles").groupBy("date").agg(
+        F.count(F.lit(1)).alias("read_rows"), F.sum("event_id").alias("event_ids"), F.count_distinct("archive_key").alias("snapshots"))
+    return listed.join(read, "date", "full_outer").select(F.lit("vehicles").alias("data_type"), "date", "rows", "read_rows", "event_ids", "snapshots")
+
+
 def _levelled_store(spark, sf):
     """S13/S14 in levels: five puts, merged on the way, one repeated as a replay would; the folder of the store."""
     import uuid
@@ -506,6 +523,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_levels": q_store_levels,
     "recent_by_route_files": q_recent_by_route_files,
     "archive_files": q_archive_files,
+    "archive_index": q_archive_index,
     "timetable_summary": q_timetable_summary,
     "training_table": q_training_table,
     # quality and filters
