@@ -1,13 +1,16 @@
 """Feature engineering for delay prediction."""
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefuncs import hour_of_day, is_rush_hour, is_weekend, time_of_day, weekday_monday0
+from ..session import shared_dir
 from .delays import _ts
 from .joins import left_join_dimension
+from .ranks import dense_ranks
 
 # Model inputs in order, identifier columns kept beside them.
 BASE_FEATURES = ["hour_of_day", "day_of_week", "is_weekend", "is_rush_hour", "route_id_encoded"]
@@ -31,32 +34,45 @@ def route_text(df: DataFrame, col: str = "route_id"):
     return F.coalesce(F.col(col).cast("string"), F.lit("None"))
 
 
-def fit_route_encoder(df: DataFrame, col: str = "route_id") -> StringIndexerModel:
-    """E2 fit: labels in code-point order get codes 0, 1, ... (``'10' < '2'``).
+class RouteEncoder:
+    """Fitted labels as a written table (label, code): as many rows as labels, none of them on the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @property
+    def labels(self) -> DataFrame:
+        return self.spark.read.schema("label string, code long").parquet(self.path)
 
-    The fit aggregates distinct labels on the executors and keeps only the label list on the driver,
-    which is bounded by the number of routes.
-    """
-    idx = StringIndexer(inputCol="_route_text", outputCol="route_id_encoded",
-                        stringOrderType="alphabetAsc", handleInvalid="error")
-    return idx.fit(df.select(route_text(df, col).alias("_route_text")))
 
+def fit_route_encoder(df: DataFrame, col: str = "route_id") -> RouteEncoder:
+    """E2 fit: labels in code-point order get codes 0, 1, ... (``'10' < '2'``), ranked over range partitions."""
+    path = shared_dir(df.sparkSession, "encoders", uuid.uuid4().hex)
+    ranks = dense_ranks(df.select(route_text(df, col).alias("label")), "label", "code")
+    ranks.write.parquet(path)
+    return RouteEncoder(df.sparkSession, path)
 
-def encode_route(df: DataFrame, model: StringIndexerModel | None, col: str = "route_id",
-                 handle_invalid: str = "error") -> DataFrame:
-    """E2/E3 transform: add ``route_id_encoded`` (INT, a plain number, not a nominal attribute).
 
-    Unseen labels fail unless ``handle_invalid='keep'`` (they then get the next free code).
+def encode_route(df: DataFrame, model: RouteEncoder | None, col: str = "route_id", handle_invalid: str = "error") -> DataFrame:
+    """E2/E3 transform: add ``route_id_encoded`` (INT, a plain number) by a join with the labels.
+
+    Unseen labels fail unless ``handle_invalid='keep'`` (they then get the next free code). Whether the labels are broadcast is left to
+    the planner, which goes by the size of their file.
     """
     if model is None:
         raise ValueError("no fitted route encoder was given")
-    model = model.copy().setHandleInvalid(handle_invalid)
-    out = model.transform(df.withColumn("_route_text", route_text(df, col)))
-    # The indexer marks its output nominal; the code is used as a number downstream.
-    return out.withColumn("route_id_encoded", F.col("route_id_encoded").cast("int")).drop("_route_text")
-
-
-def encode_categorical_features(df: DataFrame, fit: bool = True, model: StringIndexerModel | None = None,
+    labels = model.labels
+    out = df.withColumn("_route_text", route_text(df, col)).join(
+        labels.select(F.col("label").alias("_label"), F.col("code").alias("_code")), F.col("_route_text") == F.col("_label"), "left")
+    if handle_invalid == "keep":
+        unseen = labels.select(F.count(F.lit(1))).scalar()
+    else:
+        unseen = F.raise_error(F.concat(F.lit("label the encoder was not fitted on: "), F.col("_route_text"))).cast("long")
+    code = F.when(F.col("_code").isNotNull(), F.col("_code")).otherwise(unseen)
+    return out.withColumn("route_id_encoded", code.cast("int")).drop("_route_text", "_label", "_code")
+
+
+def encode_categorical_features(df: DataFrame, fit: bool = True, model: RouteEncoder | None = None,
                                 col: str = "route_id"):
     """Returns ``(frame, encoder)``; ``fit=False`` reuses ``model``."""
     if col not in df.columns:
@@ -93,7 +109,7 @@ def feature_columns(df: DataFrame, include_weather: bool = False) -> list[str]:
 
 
 def create_feature_set(df: DataFrame, target_col: str = "delay_minutes", include_weather: bool = False,
-                       temperature=None, fit_encoders: bool = True, encoder: StringIndexerModel | None = None):
+                       temperature=None, fit_encoders: bool = True, encoder: RouteEncoder | None = None):
     """E5: identifiers + features (+ stop_sequence when present, + weather when asked) + target.
 
     Returns ``(frame, encoder)`` so scoring can reuse the fitted route codes.

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import boosting
+from .ranks import repeated, running_sum
 
 # Model settings of the two model types and the metric thresholds (minutes).
 RANDOM_FOREST = dict(numTrees=100, maxDepth=20, seed=42)
@@ -70,7 +71,6 @@ def exact_hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     are identical rows (or, rarely, a 64-bit collision); they are reduced to (row, copies) and the
     remaining test places are handed out as copy counts, so no tied group is ever gathered in one task.
     """
-    from pyspark.sql import Window
     cols = list(df.columns)
     hashed = df.withColumn("_k", F.xxhash64(*[F.col(c) for c in (key_cols or cols)], F.lit(seed)))
     k, prefix, rank = _radix_rank(hashed, test_size)
@@ -83,16 +83,12 @@ def exact_hash_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
     below, above = hashed.filter(F.col("_k") < t), hashed.filter(F.col("_k") > t)
     # rank = how many rows of the tie group still belong to test (1 <= rank <= size of the group)
     tied = hashed.filter(F.col("_k") == t).groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    # the distinct tied rows: one or a few, unless `key_cols` are coarse; their order is that of all columns
-    w = Window.partitionBy(F.lit(t)).orderBy(*cols)
-    before = F.sum("_m").over(w) - F.col("_m")
-    tied = tied.withColumn("_take", F.least(F.greatest(F.lit(rank) - before, F.lit(0)), F.col("_m")))
-
-    def copies(n):
-        return F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias("_x")
-
-    test = below.select(*cols).unionByName(tied.select(*cols, copies(F.col("_take"))).select(*cols))
-    train = above.select(*cols).unionByName(tied.select(*cols, copies(F.col("_m") - F.col("_take"))).select(*cols))
+    # the distinct tied rows in the order of all columns, with a running sum of their copies over ranges: no task holds them all
+    reached = running_sum(tied, cols, "_m", "_upto")
+    tied = reached.withColumn("_take", F.least(F.greatest(F.lit(rank) - (F.col("_upto") - F.col("_m")), F.lit(0)), F.col("_m")))
+    taken, left = (tied.select(*cols, n.alias("_copies")) for n in (F.col("_take"), F.col("_m") - F.col("_take")))
+    test = below.select(*cols).unionByName(repeated(taken, "_copies").select(*cols))
+    train = above.select(*cols).unionByName(repeated(left, "_copies").select(*cols))
     return train, test
 
 
