@@ -23,13 +23,14 @@ def test_encode_and_decode_equal_the_library():
         assert m.decode(ids) == m.lib.decode(ids)
 
 
-def test_heap_and_list_agenda_agree(monkeypatch):
+def test_heap_and_ragged_agenda_agree(monkeypatch):
     m = sp.model(PATH)
     rnd = random.Random(5)
-    parts = ["".join(rnd.choice("thernsoe▁") for _ in range(rnd.randint(1, 40))) for _ in range(500)]
-    short = [m.merge(p) for p in parts]
+    parts = ["".join(rnd.choice("thernsoe▁日🎉é") for _ in range(rnd.randint(1, 40))) for _ in range(500)]
+    short = [e[0] for e in m.entries(parts)]
+    assert short == [m.merge(p) for p in parts]
     monkeypatch.setattr(sp, "SHORT", 0)
-    assert [m.merge(p) for p in parts] == short
+    assert [e[0] for e in m.entries(parts)] == short
 
 
 def test_decode_of_any_ids_equals_the_library():

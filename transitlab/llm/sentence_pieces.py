@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding for merge-type (BPE) vocabularies.
 
 A text is normalised by the model's own rules, split where no vocabulary entry can span (a word-start mark after
-another character), and every part is merged by an agenda: a heap of adjacent symbol pairs whose join is an entry,
-best score first, leftmost on ties. Parts recur, so each Python worker keeps a bounded table of parts
+another character), and every part is merged by an agenda of its adjacent symbol pairs whose join is an entry,
+best score first, leftmost on ties: short parts of a batch together in one ragged array, long ones with a heap. Parts recur, so each Python worker keeps a bounded table of parts
 already merged. Symbols that are no entry become their UTF-8 byte entries, or the unknown id where the vocabulary
 has none. The table holds a part's ids, their text and what they decode to, so a document's digests are
 joined from its parts. Every row's ids and decoded text are compared with the sentencepiece library (``library_equal``).
@@ -26,8 +26,9 @@ from . import common
 MARK = "▁"              # fixed value: the library's word-start mark
 CACHE_PARTS = 300_000        # parts in each of the two generations a Python worker remembers
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # Latin letters, of which most parts consist
-SHORT = 40                   # parts up to this length use a list as their agenda, longer ones a heap
-NO_ENTRY = float("-inf")
+SHORT = 40                   # parts up to this length share a ragged array of agendas, longer ones have a heap
+NONE = 1 << 40               # place of a pair that is no entry
+SIGNS = 1 << 24              # symbols from here on are characters without an entry
 FIRST, SECOND, THIRD = map(itemgetter, range(3))
 CACHED_LENGTH = 64           # longer parts are merged but not remembered
 
@@ -37,9 +38,9 @@ _MODELS: dict[str, "PieceModel"] = {}
 class PartTable(dict):
     """part -> (ids, ids as text, decoded text). When full, the entries become the old generation; parts still in use come back from it."""
 
-    def __init__(self, entry):
+    def __init__(self, entries):
         super().__init__()
-        self.entry, self.old = entry, {}
+        self.entries, self.old = entries, {}
 
     def add(self, parts: set[str]) -> dict:
         """A table that holds all of ``parts``: this one, with an extra table for parts too long to be remembered."""
@@ -47,9 +48,16 @@ class PartTable(dict):
             self.old = dict(self)
             self.clear()
         long = {}
+        new = []
         for p in parts:
             if p not in self:
-                (self if len(p) <= CACHED_LENGTH else long)[p] = self.old.get(p) or self.entry(p)
+                known = self.old.get(p)
+                if known is None:
+                    new.append(p)
+                else:
+                    self[p] = known
+        for p, e in zip(new, self.entries(new)):
+            (self if len(p) <= CACHED_LENGTH else long)[p] = e
         return {**{p: self[p] for p in parts if p in self}, **long} if long else self
 
 
@@ -71,7 +79,8 @@ class PieceModel:
         self.score = {p: lib.get_score(i) for p, i in self.ids.items()}
         self.silent = {i for i in range(n) if silent[i]}
         self.part = re.compile(self._part_pattern())
-        self.cache = PartTable(self.entry)
+        self.cache = PartTable(self.entries)
+        self._pair_table()
         surface = [p.replace(MARK, " ") for p in self.pieces]
         surface[self.unk] = lib.decode([self.unk]) if self.unk >= 0 else ""
         # the model puts a blank before every text, and its decoder takes it from an entry that starts with one
@@ -90,10 +99,82 @@ class PieceModel:
         word = f"{MARK}*[{LETTERS}]++(?=[{ends}])|" if ends else ""
         return f"{word}{MARK}*[^{MARK}]+|{MARK}+"
 
+    def _pair_table(self) -> None:
+        """The agenda's arrays: for every pair of symbols whose join is an entry its place by score, and the entry. A symbol is an
+        entry's id, or ``SIGNS`` and the code point for a character that is none."""
+        import numpy as np
+        self.sign = np.arange(0x110000, dtype=np.int64) + SIGNS
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.sign[ord(p)] = i
+
+        def symbol(x):
+            return self.ids.get(x, ord(x) + SIGNS if len(x) == 1 else None)
+        found = []
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                left, right = symbol(p[:k]), symbol(p[k:])
+                if left is not None and right is not None:
+                    found.append((left << 32 | right, self.score[p], i))
+        found.sort()
+        self.keys = np.array([f[0] for f in found], dtype=np.int64)
+        self.joined = np.array([f[2] for f in found], dtype=np.int64)
+        # equal scores share a place: the leftmost pair goes first then
+        scores = np.array([-f[1] for f in found])
+        self.place = np.unique(scores, return_inverse=True)[1] if len(found) else np.zeros(0, dtype=np.int64)
+
+    def _look_up(self, left, right):
+        """(place by score, entry) of each pair; ``NONE`` where the join is no entry."""
+        import numpy as np
+        if not len(self.keys):
+            return np.full(len(left), NONE), np.zeros(len(left), dtype=np.int64)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.place[at], NONE), self.joined[at]
+
+    def merge_all(self, parts: list[str]) -> list[tuple[int, ...]]:
+        """Ids of many parts at once. Each part has its agenda, the scores of its adjacent pairs, in one ragged array; every round takes the
+        best pair, leftmost on ties, of each part. A part without a pair leaves the array."""
+        import numpy as np
+        out: list = [()] * len(parts)
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        sym = self.sign[np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")]
+        row = np.arange(len(parts))
+        last = np.zeros(len(sym), dtype=bool)
+        last[np.cumsum(size) - 1] = True
+        score, entry = np.full(len(sym), NONE), np.zeros(len(sym), dtype=np.int64)
+        score[:-1], entry[:-1] = self._look_up(sym[:-1], sym[1:])
+        score[last] = NONE
+        while len(row):
+            start = np.cumsum(size) - size
+            best = np.minimum.reduceat(score, start)
+            going = best < NONE
+            if not going.all():
+                flat = sym[np.repeat(~going, size)].tolist()
+                at = 0
+                for r, n in zip(row[~going].tolist(), size[~going].tolist()):
+                    out[r] = tuple(flat[at:at + n])
+                    at += n
+                keep = np.repeat(going, size)
+                sym, score, entry, last, row, size = sym[keep], score[keep], entry[keep], last[keep], row[going], size[going]
+                continue
+            hits = np.flatnonzero(score == np.repeat(best, size))
+            owner = np.searchsorted(start, hits, side="right") - 1
+            at = hits[np.r_[True, owner[1:] != owner[:-1]]]             # the leftmost of each part
+            sym[at], last[at] = entry[at], last[at + 1]
+            stay = np.ones(len(sym), dtype=bool)
+            stay[at + 1] = False
+            now = at - np.arange(len(at))                               # one symbol went from each part before
+            sym, score, entry, last = sym[stay], score[stay], entry[stay], last[stay]
+            size = size - 1
+            change = np.concatenate([now, now[now > 0] - 1])
+            score[change[last[change]]] = NONE
+            change = change[~last[change]]
+            score[change], entry[change] = self._look_up(sym[change], sym[change + 1])
+        return out
+
     def merge(self, part: str) -> tuple[int, ...]:
-        """Ids of one part by the agenda of adjacent pairs."""
-        if len(part) <= SHORT:
-            return self._ids(self._merge_short(part))
+        """Ids of one part by the agenda of adjacent pairs as a heap (long parts)."""
         sym = list(part)
         n = len(sym)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -120,23 +201,6 @@ class PieceModel:
                 offer(left[i], i)
         return self._ids([x for x in sym if x])
 
-    def _merge_short(self, part: str) -> list[str]:
-        """The same merges with the agenda as a plain list: one score for each adjacent pair, best first."""
-        get, sym = self.score.get, list(part)
-        agenda = [get(x + y, NO_ENTRY) for x, y in zip(sym, sym[1:])]
-        while agenda:
-            best = max(agenda)
-            if best == NO_ENTRY:
-                break
-            i = agenda.index(best)
-            sym[i] += sym.pop(i + 1)
-            del agenda[i]
-            if i:
-                agenda[i - 1] = get(sym[i - 1] + sym[i], NO_ENTRY)
-            if i < len(agenda):
-                agenda[i] = get(sym[i] + sym[i + 1], NO_ENTRY)
-        return sym
-
     def _ids(self, symbols: list[str]) -> tuple[int, ...]:
         out: list[int] = []
         for x in symbols:
@@ -149,10 +213,20 @@ class PieceModel:
                 out.append(self.unk)
         return tuple(out)
 
-    def entry(self, part: str) -> tuple[tuple[int, ...], str, str]:
-        ids = self.merge(part)
-        plain = self.bytes.keys().isdisjoint(ids)
-        return ids, " ".join(map(self.number.__getitem__, ids)), "".join(map(self.surface.__getitem__, ids) if plain else self._surfaces(ids))
+    def entries(self, parts: list[str]) -> list[tuple]:
+        """(ids, ids as text, decoded text) of parts (not empty)."""
+        short = [p for p in parts if len(p) <= SHORT]
+        merged = dict(zip(short, self.merge_all(short))) if short else {}
+        out = []
+        for p in parts:
+            ids = merged.get(p)
+            if ids is None:
+                ids = self.merge(p)
+            elif max(ids) >= SIGNS:
+                ids = self._ids([self.pieces[i] if i < SIGNS else chr(i - SIGNS) for i in ids])
+            plain = self.bytes.keys().isdisjoint(ids)
+            out.append((ids, " ".join(map(self.number.__getitem__, ids)), "".join(map(self.surface.__getitem__, ids) if plain else self._surfaces(ids))))
+        return out
 
     def parts(self, texts: list[str]) -> list[list[tuple]]:
         """The table's entries of whole texts, in order."""
