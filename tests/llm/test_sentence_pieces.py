@@ -76,8 +76,9 @@ def test_digests_of_parts_equal_those_of_whole_texts():
 
 
 def test_a_wrong_part_is_told(spark, monkeypatch):
-    merge = sp.PieceModel.merge
-    monkeypatch.setattr(sp.PieceModel, "merge", lambda self, part: (5,) if part == "\u2581wrong" else merge(self, part))
+    right = sp.PieceModel.merge_all
+    monkeypatch.setattr(sp.PieceModel, "merge_all",
+                        lambda self, parts: [(5,) if p == "▁wrong" else ids for p, ids in zip(parts, right(self, parts))])
     m = sp.PieceModel(PATH)
     entries = m.parts(["all right", "all wrong"])
     assert [m.ids_of(e) == m.lib.encode(t, add_eos=True) for e, t in zip(entries, ["all right", "all wrong"])] == [True, False]
