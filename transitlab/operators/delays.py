@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefuncs import hour_of_day
+from .quantiles import group_quantiles
 from .schedule import merge_realtime_with_schedule, merge_realtime_with_timetable
 
 # Fixed values: |delay| <= 5 minutes counts as on time; histograms have 50 equal-width bins.
@@ -38,11 +39,34 @@ def calculate_delays_from_timetable(updates: DataFrame, stop_times: DataFrame, t
     return merge_realtime_with_timetable(calculate_delay_from_trip_updates(updates), stop_times, trips, routes, stops)
 
 
-def _median(col: str, approx: bool) -> Column:
-    # Exact median: Spark's percentile keeps a value -> frequency map per group (partial aggregation
-    # included), so memory follows the number of distinct delays, not rows. ``approx`` switches to the
-    # t-digest-like sketch for unbounded-precision inputs.
-    return F.percentile_approx(col, 0.5, 10000) if approx else F.median(col)
+MEDIANS = ("map", "ranges", "sketch")
+
+
+def _median(col: str, median: str) -> Column:
+    # "map": Spark's percentile keeps a value -> frequency map per group (partial aggregation included), so memory follows the number
+    # of distinct delays, not rows: whole seconds, a few thousand. "ranges" is exact too, for values of any precision: its value
+    # joins the aggregate afterwards (``_with_medians``). "sketch" is approximate.
+    if median not in MEDIANS:
+        raise ValueError(f"median must be one of {MEDIANS}")
+    if median == "ranges":
+        return F.lit(None).cast("double")
+    return F.percentile_approx(col, 0.5, 10000) if median == "sketch" else F.median(col)
+
+
+def _with_medians(out: DataFrame, rows: DataFrame, keys: list[str], col: str, name: str, median: str) -> DataFrame:
+    """The aggregate with the medians of ``rows`` in ``name`` where they are made over ranges."""
+    if median != "ranges":
+        return out
+    found = group_quantiles(rows, keys, col, [0.5], ["_median"])
+    if keys:
+        found = found.select(*[F.col(k).alias(f"_{k}") for k in keys], "_median")
+        joined = out.join(found, [out[k] == found[f"_{k}"] for k in keys], "left")
+        return joined.withColumn(name, F.col("_median")).select(*out.columns)
+    return out.withColumn(name, found.select(F.max("_median")).scalar())
+
+
+def _median_kind(median: str, approx: bool) -> str:
+    return "sketch" if approx else median
 
 
 def on_time_rate(col: str = "delay_minutes", threshold: float = ON_TIME_MINUTES) -> Column:
@@ -51,12 +75,14 @@ def on_time_rate(col: str = "delay_minutes", threshold: float = ON_TIME_MINUTES)
 
 
 def delay_statistics(df: DataFrame, col: str = "delay_minutes", threshold: float = ON_TIME_MINUTES,
-                     approx: bool = False) -> DataFrame:
-    """A2: one row of count, mean, median, max, min, on-time rate and sample std; zeros when empty."""
+                     approx: bool = False, median: str = "map") -> DataFrame:
+    """A2: one row of count, mean, median, max, min, on-time rate and sample std; zeros when empty. ``median``: see ``MEDIANS``."""
+    median = _median_kind(median, approx)
     n = F.count(F.lit(1))
-    agg = df.agg(n.alias("total_records"), F.avg(col).alias("avg"), _median(col, approx).alias("median"),
+    agg = df.agg(n.alias("total_records"), F.avg(col).alias("avg"), _median(col, median).alias("median"),
                  F.max(col).alias("max"), F.min(col).alias("min"), on_time_rate(col, threshold).alias("rate"),
                  F.stddev_samp(col).alias("std"))
+    agg = _with_medians(agg, df, [], col, "median", median)
     empty = F.col("total_records") == 0
     z = F.lit(0.0)
     return agg.select(
@@ -71,26 +97,31 @@ def delay_statistics(df: DataFrame, col: str = "delay_minutes", threshold: float
 
 
 def delay_by_route(df: DataFrame, col: str = "delay_minutes", threshold: float = ON_TIME_MINUTES,
-                   approx: bool = False) -> DataFrame:
+                   approx: bool = False, median: str = "map") -> DataFrame:
     """A3: per route mean, median, sample std, non-null count, route names and on-time rate; mean desc.
 
     One ``groupBy`` replaces the two aggregations and self-join of the row-by-row version. Rows with a null
     route are dropped. The name columns take the smallest name of the route (deterministic "first").
     """
+    median = _median_kind(median, approx)
     names = [F.min(c).alias(c) for c in ("route_short_name", "route_long_name") if c in df.columns]
-    out = df.filter(F.col("route_id").isNotNull()).groupBy("route_id").agg(
-        F.avg(col).alias("avg_delay"), _median(col, approx).cast("double").alias("median_delay"),
+    known = df.filter(F.col("route_id").isNotNull())
+    out = known.groupBy("route_id").agg(
+        F.avg(col).alias("avg_delay"), _median(col, median).cast("double").alias("median_delay"),
         F.stddev_samp(col).alias("std_delay"), F.count(col).alias("count"), *names,
         on_time_rate(col, threshold).alias("on_time_rate"))
+    out = _with_medians(out, known, ["route_id"], col, "median_delay", median)
     return out.orderBy(F.desc("avg_delay"), F.asc("route_id"))
 
 
 def delay_by_hour(df: DataFrame, col: str = "delay_minutes", ts_col: str = "feed_timestamp",
-                  approx: bool = False) -> DataFrame:
+                  approx: bool = False, median: str = "map") -> DataFrame:
     """A4: per hour of ``ts_col``: mean, median and non-null count of the delay; hour ascending."""
-    out = df.withColumn("hour", hour_of_day(_ts(df, ts_col))).filter(F.col("hour").isNotNull()) \
-        .groupBy("hour").agg(F.avg(col).alias("avg_delay"), _median(col, approx).cast("double").alias("median_delay"),
-                             F.count(col).alias("count"))
+    median = _median_kind(median, approx)
+    known = df.withColumn("hour", hour_of_day(_ts(df, ts_col))).filter(F.col("hour").isNotNull())
+    out = known.groupBy("hour").agg(F.avg(col).alias("avg_delay"), _median(col, median).cast("double").alias("median_delay"),
+                                    F.count(col).alias("count"))
+    out = _with_medians(out, known, ["hour"], col, "median_delay", median)
     return out.orderBy("hour")
 
 

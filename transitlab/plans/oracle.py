@@ -391,6 +391,9 @@ ORACLE["train_from_table"] = W("schedule_updates") + (
 
 ORACLE["live_vehicles_default_window"] = ORACLE["live_vehicles"].replace("INTERVAL 24 HOUR", "INTERVAL 10 MINUTE")
 ORACLE["live_trip_delays_default_window"] = ORACLE["live_trip_delays"].replace("INTERVAL 24 HOUR", "INTERVAL 1 HOUR")
+ORACLE["export_written"] = ORACLE["export_trip_updates"]
+for _name in ("delay_statistics", "delay_by_route", "delay_by_hour"):
+    ORACLE[f"{_name}_ranges"] = ORACLE[_name]
 ORACLE["archive_index"] = W("vehicle_positions") + (
     "\nSELECT 'vehicles' AS data_type, strftime(feed_timestamp, '%Y%m%d') AS date, count(*) AS rows, count(*) AS read_rows, "
     "CAST(sum(event_id) AS BIGINT) AS event_ids, count(DISTINCT feed_timestamp) AS snapshots FROM vehicle_positions GROUP BY 2")

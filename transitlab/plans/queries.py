@@ -182,6 +182,16 @@ def q_export_trip_updates(spark, sf):
                 "departure_delay", "feed_timestamp")
 
 
+def q_export_written(spark, sf):
+    """S16 with its file: the trip updates exported as CSV with a header and read back with declared types."""
+    import uuid
+    path = staging.staging_path(spark, sf, "export", uuid.uuid4().hex)
+    items = keyed_store.latest_items(keyed_store.trip_update_items(_v(spark, sf, "trip_updates")), ["event_id"])
+    schema = keyed_store.export_record_type(items, "trip_update", path).schema
+    return spark.read.schema(schema).option("header", True).csv(path) \
+        .select("pk", "sk", "trip_id", "route_id", "vehicle_id", "stop_id", "stop_sequence", "arrival_delay", "departure_delay", "feed_timestamp")
+
+
 def q_route_encoding(spark, sf):
     d = delays.calculate_delay_from_trip_updates(_v(spark, sf, "schedule_updates"))
     enc, _ = features.encode_categorical_features(d)
@@ -518,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_trip_updates": q_keyed_trip_updates,
     "recent_by_route": q_recent_by_route,
     "export_trip_updates": q_export_trip_updates,
+    "export_written": q_export_written,
     "recent_any_route": q_recent_any_route,
     "store_upsert": q_store_upsert,
     "store_levels": q_store_levels,
@@ -553,6 +564,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_statistics": lambda s, sf: delays.delay_statistics(
         delays.calculate_delay_from_trip_updates(_v(s, sf, "schedule_updates"))),
     "delay_by_route": lambda s, sf: delays.delay_by_route(_sched_delays(s, sf)),
+    # the same statistics with exact medians over ranges instead of a value map
+    "delay_statistics_ranges": lambda s, sf: delays.delay_statistics(
+        delays.calculate_delay_from_trip_updates(_v(s, sf, "schedule_updates")), median="ranges"),
+    "delay_by_route_ranges": lambda s, sf: delays.delay_by_route(_sched_delays(s, sf), median="ranges"),
+    "delay_by_hour_ranges": lambda s, sf: delays.delay_by_hour(_tu_delays(s, sf), median="ranges"),
     "delay_by_hour": lambda s, sf: delays.delay_by_hour(_tu_delays(s, sf)),
     "delay_histogram": lambda s, sf: delays.delay_histogram(
         delays.calculate_delay_from_trip_updates(_v(s, sf, "schedule_updates"))),
