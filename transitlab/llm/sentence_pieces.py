@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from . import common
 
 MARK = "▁"              # fixed value: the library's word-start mark
-CACHE_PARTS = 300_000        # parts in each of the two generations a Python worker remembers
+CACHE_PARTS = 450_000        # parts in each of the two generations a Python worker remembers
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # Latin letters, of which most parts consist
 SHORT = 40                   # parts up to this length share a ragged array of agendas, longer ones have a heap
 NONE = 1 << 40               # place of a pair that is no entry
