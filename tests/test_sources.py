@@ -242,3 +242,17 @@ def test_archive_day_filter_prunes_partitions(spark, tmp_dir):
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
     assert "PartitionFilters: [" in plan and "(date#" in plan and "= 20240102)" in plan
     assert [r.vehicle_id for r in day.collect()] == ["v2"]
+
+
+def test_changed_inputs_are_staged_again(spark, tmp_dir):
+    from transitlab.plans import staging
+    built = []
+
+    def once():
+        return staging.once(spark, tmp_dir, "probe", ("events",), lambda: built.append(1) or f"run {len(built)}")
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    assert once() == once() == "run 1"
+    spark.range(5).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/events.parquet")
+    assert once() == "run 2"
+    spark.range(4).coalesce(1).write.mode("overwrite").parquet(f"{tmp_dir}/events.parquet")
+    assert once() == once() == "run 3"

@@ -11,7 +11,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import file_system, shared_dir
 from ..sources.gtfs_static import write_timetable_table
 from . import views
 
@@ -26,12 +26,12 @@ _STAGED: dict[tuple, str] = {}
 
 
 def _signature(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple:
-    """Names, lengths and modification times of the input files, listed by the file reader of the tables' own storage."""
+    """Files, bytes and modification time of the input tables, asked of their file system (no job)."""
     sig = []
     for t in tables:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        row = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"), F.bit_xor(F.xxhash64("path", "length"))).first()
-        sig.append((t, *row))
+        fs, path = file_system(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        summary = fs.getContentSummary(path)
+        sig.append((t, summary.getFileCount(), summary.getLength(), fs.getFileStatus(path).getModificationTime()))
     return tuple(sig)
 
 

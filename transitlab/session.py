@@ -122,8 +122,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "transitlab", *parts])
 
 
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path, whatever storage it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this application wrote and no longer reads, by the file system it lies on."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
