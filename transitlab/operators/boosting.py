@@ -139,8 +139,8 @@ def leaf_weights(tree: Tree, levels: int) -> list[float]:
 
 
 def fit_trees(cells: DataFrame, rounds: int, rate: float, depth: int, reg_lambda: float = REG_LAMBDA, gamma: float = GAMMA,
-              min_child_weight: float = MIN_CHILD_WEIGHT) -> tuple[float, list[Tree]]:
-    """(mean of the target, trees). ``cells`` comes from ``to_cells``."""
+              min_child_weight: float = MIN_CHILD_WEIGHT) -> tuple[float, float, list[Tree]]:
+    """(rows, mean of the target, trees). ``cells`` comes from ``to_cells``; without any it is an error."""
     spark = cells.sparkSession
     root = shared_dir(spark, "boosting", uuid.uuid4().hex)
     # a session of the fit's own for its many small aggregates: their groups are bounded, so few partitions do at every size
@@ -155,6 +155,8 @@ def fit_trees(cells: DataFrame, rounds: int, rate: float, depth: int, reg_lambda
     own.conf.set("spark.sql.shuffle.partitions", str(max(2, min(MAX_PARTITIONS, len(now.inputFiles()) // 4))))
     try:
         n, total = now.agg(F.sum("n"), F.sum("total")).first()
+        if not n:
+            raise ValueError("no training rows")
         base, trees = total / n, []
         shift = base                                   # added to the stored prediction: the mean until the first write
         for r in range(rounds):
@@ -173,7 +175,7 @@ def fit_trees(cells: DataFrame, rounds: int, rate: float, depth: int, reg_lambda
             before, now, shift = now, written(after, f"round={r}"), 0.0
             before.unpersist()
             remove_folder(spark, f"{root}/cells" if r == 0 else f"{root}/round={r - 1}")
-        return base, trees
+        return n, base, trees
     finally:
         now.unpersist()
         remove_folder(spark, root)
@@ -236,9 +238,6 @@ def fit_boosted(train: DataFrame, features: Sequence[str], target: str, rounds:
     features = list(features)
     edges = bin_edges(train, features, max_bins)
     cells = to_cells(train, features, target, edges)
-    n = train.count()
-    if not n:
-        raise ValueError("no training rows")
-    base, trees = fit_trees(cells, rounds, rate, depth, reg_lambda, gamma, min_child_weight)
+    n, base, trees = fit_trees(cells, rounds, rate, depth, reg_lambda, gamma, min_child_weight)
     model = as_spark_model(train.sparkSession, base, trees, edges, n, rate, depth, len(features), target)
     return PipelineModel(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error"), model])
