@@ -21,6 +21,7 @@ def at(minutes, seconds=0):
 def run_batches(spark, folder, schema, batches, make, mode, **options):
     """Land each batch, drain it, go on with the same checkpoint; the output with its batch."""
     s = live_stream.stateful_session(spark)
+    s.conf.set("spark.sql.shuffle.partitions", "2")
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/landed/run={i}")
         stream = s.readStream.schema(schema).parquet(f"{folder}/landed/*")
@@ -116,6 +117,7 @@ def test_fresh_vehicles_equal_the_batch_view_after_every_run(spark, tmp_dir):
                          rnd.choice([at(4 * b - rnd.randrange(0, 14), rnd.randrange(60))] * 9 + [None]), n))
         batches.append(rows)
     s = live_stream.stateful_session(spark)
+    s.conf.set("spark.sql.shuffle.partitions", "2")
     seen = []
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, POSITIONS).coalesce(1).write.parquet(f"{tmp_dir}/landed/run={i}")
