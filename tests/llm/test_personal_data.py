@@ -121,3 +121,16 @@ def test_long_secrets_and_addresses_go_whole(spark):
     got = dict(pd.redact(df, model).select("doc_id", "text").collect())
     for i, (_, new) in enumerate(rows):
         assert got[i] == new, (i, got[i][:200])
+
+
+def test_training_reads_the_candidates_of_every_document(spark, monkeypatch):
+    """More documents than the 20,000 that were once sampled; the last generator's sign alone is enough to be read."""
+    kept = []
+    plain = pd.common.written
+    monkeypatch.setattr(pd.common, "written", lambda df, name: kept.append(plain(df, name)) or kept[-1])
+    text = F.when(F.col("id") % 3 == 0, F.concat(F.lit("password=ab1"), F.sha2(F.col("id").cast("string"), 256))) \
+        .when(F.col("id") % 3 == 1, F.lit("width=plainword")).otherwise(F.lit("me(at)home, or not"))
+    model = pd.train(spark.range(24_000).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert model is not None and set(model["thresholds"]) == set(pd.GENERATORS)
+    rows = kept[0].select(F.explode("found.kind").alias("kind")).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in rows}["value"] == 16_000 and {r["kind"]: r["count"] for r in rows}["address"] == 8_000

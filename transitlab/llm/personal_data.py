@@ -12,7 +12,7 @@ SQL expression, so documents are scored in the pass that reads them, without a s
 
 The possessive quantifiers and lookbehinds below match what the plain patterns match, without their backtracking.
 
-Bound of the training sample: about ``MAX_DOCS`` documents, chosen by a hash of doc_id, whole texts.
+Training reads every document: trees and thresholds are fitted to the candidates of all whole texts.
 
 Defined results: null and empty texts have no spans. Rows are kept one to one. Positions are code points, ends exclusive.
 """
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from . import common
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MAX_DOCS = 20_000
 PRECISION = 0.98
 LEAST_SUPPORT = 8           # held-out candidates a threshold needs above it
 TREES, DEPTH = 12, 4
@@ -158,22 +157,22 @@ def _weak_label(c: Column, base: Column) -> Column:
     return (covered | word | c["value"].rlike(SECRET_FORMATS)).cast("double")
 
 
-def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> dict | None:
-    """Trees and thresholds from a bounded sample; None if the sample's candidates are all of one class."""
+def train(docs: DataFrame) -> dict | None:
+    """Trees and thresholds from the candidates of all documents; None if they are all of one class."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
-    share = max_docs / max(1, docs.count())
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    some = docs.select("doc_id", "text").filter((place < share) & F.col("text").rlike("[0-9@=:]"))
-    rows = _with_candidates(_with_base(some)).select(
-        (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("held"), "_base", F.explode("_cand").alias("c"))
-    rows = common.written(rows.select("held", "c.kind", "c.x", _weak_label(F.col("c"), F.col("_base")).alias("label")), "pii-sample")
+    texts = docs.select("doc_id", "text").filter(F.col("text").rlike("|".join(GENERATOR_NEEDS.values())))
+    learned = F.transform("_cand", lambda c: F.struct(c["kind"].alias("kind"), c["x"].alias("x"), _weak_label(c, F.col("_base")).alias("label")))
+    # written a document a row and taken apart when read: an explode over the generators would run them again for its size check
+    rows = common.written(_with_candidates(_with_base(texts)).select(
+        (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("held"), learned.alias("found")), "pii-candidates") \
+        .select("held", F.explode("found").alias("c")).select("held", "c.kind", "c.x", "c.label")
     seen = {(r["held"], r["label"]) for r in rows.select("held", "label").distinct().collect()}
     if not {(False, 0.0), (False, 1.0)} <= seen:
         return None
     vectors = rows.withColumn("features", array_to_vector("x"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=11, checkpointInterval=-1, maxMemoryInMB=64) \
-        .fit(vectors.filter("NOT held").coalesce(2))
+        .fit(vectors.filter("NOT held"))
     trees = {"trees": [_parse_tree(t.toDebugString) for t in model.trees], "weights": list(model.treeWeights)}
     # held-out candidates by generator and score, in steps of a hundredth: at most 101 rows a generator
     steps = rows.filter("held").groupBy("kind", F.floor(score(trees, F.col("x")) * 100).alias("s")) \
