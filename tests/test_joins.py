@@ -102,3 +102,17 @@ def test_realtime_merge_salted_equals_plain(spark):
     salted = schedule.merge_realtime_with_timetable(ups, st, trips, routes, stops, skew_fraction=0.2)
     assert salted.columns == plain.columns
     assert sorted(salted.collect()) == sorted(plain.collect())
+
+
+def test_hot_keys_count_whole_keys_of_full_buckets_alone(spark):
+    """Many different keys and a few hot ones: only rows of buckets that can hold a hot key are shuffled by their key."""
+    from pyspark.sql import functions as F
+    from transitlab.operators.joins import hot_keys
+    key = F.when(F.col("id") % 10 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id").cast("string"))
+    df = spark.range(40_000).select(key.alias("k"), (F.col("id") % 2).alias("j"))
+    found = hot_keys(df, ["k", "j"], 0.05)
+    assert [(r.k, r.j) for r in found.collect()] == [("hot", 0)]
+    plan = _plan(found)
+    # the semi-join with the full buckets stands below the count by key
+    assert "LeftSemi" in plan and plan.index("keys=[k#") < plan.index("LeftSemi")
+    assert hot_keys(df, ["k", "j"], 0.2).count() == 0 and hot_keys(df.limit(0), ["k", "j"], 0.2).count() == 0
