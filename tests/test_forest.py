@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitlab.operators import forest, model
-from transitlab.operators.boosting import bin_edges
 
 FEATS = ["a", "b", "c"]
 
@@ -45,7 +44,7 @@ def _of(tree, x):
 @pytest.mark.parametrize("local", [forest.LOCAL_ENTRIES, 5])
 def test_trees_equal_plain_loops_on_the_same_bootstrap(spark, local):
     df = _rows(spark, 120)
-    edges = bin_edges(df, FEATS)
+    edges = forest.all_edges(df, FEATS)
     entries = forest.drawn(forest.to_counts(df, FEATS, "y", edges), 3, 4, 42)
     drawn = [[((r["_b0"], r["_b1"], r["_b2"]), r["s"] / r["w"], r["w"]) for r in entries.filter(F.col("tree") == t).collect()] for t in range(4)]
     fitted = forest.fit_forest(df, FEATS, "y", 4, 6, 42, local_entries=local)
@@ -80,3 +79,13 @@ def test_copies_far_over_one_group_and_few_rows(spark):
     assert single.stages[-1].getNumTrees == 100 and single.transform(many.limit(1)).first()["prediction"] == 0.0
     with pytest.raises(ValueError, match="no training rows"):
         model.train_random_forest(many.limit(0), FEATS, "y")
+
+
+def test_rare_values_keep_a_bin_of_their_own(spark):
+    df = spark.range(5000).select((F.col("id") == 77).cast("double").alias("a"), (F.col("id") % 20).cast("double").alias("b"),
+                                  F.col("id").cast("double").alias("c"), F.when(F.col("id") == 77, 1000.0).otherwise(0.0).alias("y"))
+    edges = forest.all_edges(df, FEATS)
+    assert edges[0] == [1.0] and edges[1] == [float(i) for i in range(1, 20)] and 20 <= len(edges[2]) <= 32
+    fitted = forest.fit_forest(df, ["a", "b"], "y", 10, 4, 1)
+    got = {r["a"]: r["p"] for r in fitted.transform(df).groupBy("a").agg(F.max("prediction").alias("p")).collect()}
+    assert got[0.0] == 0.0 and got[1.0] > 100
