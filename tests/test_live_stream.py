@@ -4,10 +4,12 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from transitlab.operators import live
 from transitlab.streaming import live_stream
+from transitlab.streaming.processors import FreshVehicle, WindowedDelays
 
 UPDATES = "route_id string, trip_id string, vehicle_id string, arrival_delay int, feed_timestamp timestamp"
 POSITIONS = "vehicle_id string, route_id string, latitude double, timestamp timestamp, event_id long"
@@ -144,3 +146,57 @@ def test_vehicle_state_is_removed(spark, tmp_dir):
     assert [r.vehicle_id for r in live_stream.apply_updates(out).collect()] == ["z"]
     sizes = [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
     assert sizes[-1] < 20
+
+
+class Calls:
+    """State variables and timers of one part in memory; every call is counted."""
+
+    def __init__(self):
+        self.n, self.held, self.timers = 0, {}, []
+
+    def _variable(self, name):
+        return type("State", (), {
+            "get": lambda s: self._count(iter(self.held[name]) if isinstance(self.held.get(name), list) else self.held.get(name)),
+            "put": lambda s, v: self._count(self.held.update({name: list(v)})), "update": lambda s, v: self._count(self.held.update({name: v})),
+            "exists": lambda s: self._count(name in self.held), "clear": lambda s: self._count(self.held.pop(name, None)),
+        })()
+
+    def _count(self, value):
+        self.n += 1
+        return value
+
+    def getListState(self, name, schema):
+        self.held.setdefault(name, [])
+        return self._variable(name)
+
+    def getValueState(self, name, schema):
+        return self._variable(name)
+
+    def registerTimer(self, at):
+        self._count(self.timers.append(at))
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def test_state_calls_do_not_grow_with_the_keys():
+    row = Row("route_id", "trip_id", "vehicle_id", "delay_minutes", "at")
+    state, p = Calls(), WindowedDelays(3_600_000, 120_000, "route_id string, trip_id string, vehicle_id string")
+    p.init(state)
+    state.watermark = 0
+    rows = [row("r", f"t{k}", "v", float(k), 7_200_000_000 + 60_000_000 * (k % 2)) for k in range(300)]
+    assert list(p.handleInputRows((0,), iter(rows), state)) == [] and state.n <= 6
+    state.n, state.watermark = 0, 100_000_000
+    out = list(p.handleExpiredTimer((0,), state, None))
+    # a key with one cell: 30 equal windows in one row, and no state left
+    assert state.n <= 6 and len(out) == 300 and {r.windows for r in out} == {30} and state.held == {}
+
+    position = Row("vehicle_id", "at", "latitude", "event_id")
+    state, p = Calls(), FreshVehicle(["latitude"], ["at", "event_id"], 600_000, "")
+    p.init(state)
+    state.watermark = 0
+    out = list(p.handleInputRows((0,), iter([position(f"v{k}", 60_000_000, 1.0, k) for k in range(300)]), state))
+    assert state.n <= 4 and len(out) == 300 and not any(r.gone for r in out)
+    state.n, state.watermark = 0, 10_000_000
+    out = list(p.handleExpiredTimer((0,), state, None))
+    assert state.n <= 4 and len(out) == 300 and all(r.gone for r in out)
