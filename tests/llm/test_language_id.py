@@ -87,3 +87,35 @@ def test_number_signs_are_no_letters():
     assert label == "de" and score > 0 and spans == [(0, 7, "de")]
     assert lid.only_letters("x\u00b2\u4e00y") == "x \u4e00y"
     assert all(c.isalpha() for w in lid.WORD.findall(lid.only_letters("".join(map(chr, range(0x3000))))) for c in w)
+
+
+def test_every_training_document_is_counted(spark):
+    # 3,000 documents of one language, more than a sample of 2,000 held: a word that each has once is counted for each that may be learned from
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("river").alias("text"), F.lit("en").alias("lang"))
+    seen = []
+
+    def counts(rows):
+        seen.extend(rows)
+        return {}
+    build, lid.build = lid.build, counts
+    try:
+        lid.train(docs)
+    finally:
+        lid.build = build
+    n = docs.filter(lid.is_training(F.col("doc_id"))).count()
+    assert n < 3000 and [r for r in seen if r[1] == "latin"] == [("en", "latin", 5.0 * n)]
+
+
+def test_many_languages_and_words_are_counted_in_parts(monkeypatch):
+    texts, langs = ["river stone дом"] * 12 + ["stone"], [f"l{i % 6}" for i in range(12)] + ["l0"]
+    whole = lid.Counted()
+    assert whole.add(texts, langs) is None
+    want = whole.taken().to_pylist()
+    monkeypatch.setattr(lid, "MAX_TASK_LANGUAGES", 2)
+    monkeypatch.setattr(lid, "MAX_TASK_WORDS", 4)
+    parts, got = lid.Counted(), {}
+    batches = [b for b in [parts.add([t], [x]) for t, x in zip(texts, langs)] + [parts.taken()] if b is not None]
+    assert len(batches) > 1
+    for r in [r for b in batches for r in b.to_pylist()]:
+        got[r["lang"], r["cell"]] = got.get((r["lang"], r["cell"]), 0) + r["n"]
+    assert got == {(r["lang"], r["cell"]): r["n"] for r in want}

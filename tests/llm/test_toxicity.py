@@ -90,3 +90,20 @@ def test_edges(spark, fitted):
     toxic = {r["doc_id"] for r in labels.filter("toxic = 1").collect()}
     ids = [r["doc_id"] for r in kept.collect()]
     assert not toxic & set(ids) and len(ids) == 2 * (300 - len(toxic))
+
+
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    # 2,600 documents of a class, more than a sample of 1,500 held
+    docs, labels = documents(spark, 80)
+    copies = spark.range(65).select((F.col("id") * 1000).alias("_k"))
+    docs, labels = (df.crossJoin(copies).withColumn("doc_id", F.col("doc_id") + F.col("_k")).drop("_k") for df in (docs, labels))
+    rows, size = tx.training_rows(docs, labels)
+    want = {r["toxic"]: r["n"] for r in labels.filter(tx.is_training(F.col("doc_id"))).groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert size == want and want[0] > 3000
+    assert {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()} == want
+    fitted, curve = [], tx.fit_curve
+    monkeypatch.setattr(tx, "fit_curve", lambda given: fitted.extend(given) or curve(given))
+    model = tx.train(docs, labels)
+    # every document has its weight in the curve
+    assert sum(r[3] for r in fitted if r[2] == 0) == want[0] and sum(r[3] for r in fitted if r[2] == 1) == want[1]
+    assert model["curve"][0] > 0

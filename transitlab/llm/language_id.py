@@ -5,8 +5,7 @@ its letters narrows the candidates to languages that use that script. Viterbi ov
 switch labels spans; a document's language is the one that holds most letters.
 
 The model is a table of n-gram counts by language, hashed into ``BUCKETS`` cells, so its size is bounded by the number of
-languages. It is counted by Spark over a bounded sample: at most about ``max_docs`` documents of each language
-(``MAX_DOCS_PER_LANGUAGE``), chosen by a hash of doc_id, whole texts.
+languages. It is counted by Spark over the whole text of every row that may be learned from; a task adds its rows up first.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0 and no spans; without any learned
 language everything is ``und``. Ties go to the language first in alphabetical order. Rows are kept one to one,
@@ -25,8 +24,8 @@ from pyspark.sql import types as T
 from . import common
 
 UNDETERMINED = "und"
-MAX_DOCS_PER_LANGUAGE = 2000
-MAX_BROADCAST_LANGUAGES = 10_000
+MAX_TASK_LANGUAGES = 64    # languages whose cells a task adds up at a time (256 KB each)
+MAX_TASK_WORDS = 100_000   # different words a task counts before it adds them to the cells
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 PRIME, MIX = 1_000_000_007, 0x9E3779B97F4A7C15      # constants of the hash into cells
@@ -106,35 +105,67 @@ COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("cel
                        T.StructField("n", T.DoubleType())])
 
 
-def train(docs: DataFrame, max_docs: int = MAX_DOCS_PER_LANGUAGE) -> dict:
-    """Model from the rows' ``text`` and ``lang`` (see the module's text for the bound of the sample)."""
-    rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
-    rows = rows.filter(is_training(F.col("doc_id")))
-    share = rows.groupBy("lang").agg((F.lit(float(max_docs)) / F.count(F.lit(1))).alias("_share"))
-    share = common.written(share, "languages")
-    if share.count() <= MAX_BROADCAST_LANGUAGES:        # otherwise the planner chooses, and the texts may be shuffled
-        share = F.broadcast(share)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = rows.withColumn("_place", place).join(share, "lang").filter(F.col("_place") < F.col("_share"))
+class Counted:
+    """Counts of a task's rows by language: words first, then their cells and scripts; bounded by ``MAX_TASK_WORDS`` and ``MAX_TASK_LANGUAGES``."""
 
-    def fn(batch):
+    def __init__(self):
+        self.words, self.cells, self.scripts = defaultdict(Counter), {}, defaultdict(Counter)
+
+    def add(self, texts: list[str], langs: list[str]):
+        """Count the texts; gives back a record batch when the cells of many languages are full."""
+        for text, lang in zip(texts, langs):
+            self.words[lang].update(WORD.findall(only_letters(text)))
+        if sum(map(len, self.words.values())) > MAX_TASK_WORDS:
+            self.fold()
+        if len(self.words.keys() | self.cells.keys()) > MAX_TASK_LANGUAGES:
+            return self.taken()
+        return None
+
+    def fold(self) -> None:
+        """The counted words into cells and scripts."""
         import numpy as np
-        words = defaultdict(Counter)
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words[lang].update(WORD.findall(only_letters(text)))
-        out: dict[tuple[str, object], float] = {}
-        for lang, counted in words.items():
-            listed, total = list(counted), np.zeros(BUCKETS)
+        for lang, counted in self.words.items():
+            listed = list(counted)
+            total = self.cells.setdefault(lang, np.zeros(BUCKETS))
             often = np.array([counted[w] for w in listed], dtype=float)
             for where, cells in cells_of(listed):
                 total += np.bincount(cells.ravel(), weights=np.repeat(often[where], cells.shape[1]), minlength=BUCKETS)
-            for c in total.nonzero()[0].tolist():
-                out[lang, c] = total[c]
             for w, n in counted.items():
-                key = lang, script_of(w)
-                out[key] = out.get(key, 0) + n * len(w)
-        return common.batch_of(COUNTS, [[k[0] for k in out], [str(k[1]) for k in out], [float(v) for v in out.values()]])
-    counted = common.map_batches(sample.select("text", "lang"), fn, COUNTS).groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+                self.scripts[lang][script_of(w)] += n * len(w)
+        self.words.clear()
+
+    def taken(self):
+        """All counts so far as a record batch; counting starts again."""
+        self.fold()
+        langs, names, n = [], [], []
+        for lang, total in self.cells.items():
+            some = total.nonzero()[0].tolist()
+            own = self.scripts[lang]
+            langs += [lang] * (len(some) + len(own))
+            names += [*map(str, some), *own]
+            n += [*total[some].tolist(), *map(float, own.values())]
+        self.cells.clear()
+        self.scripts.clear()
+        return common.batch_of(COUNTS, [langs, names, n])
+
+
+def train(docs: DataFrame) -> dict:
+    """Model from the ``text`` and ``lang`` of every row that may be learned from."""
+    rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = rows.filter(is_training(F.col("doc_id")))
+    common.ship(docs.sparkSession)
+
+    def run(batches):
+        counted = Counted()
+        for b in batches:
+            for part in common.slices(b) if b.num_rows else ():
+                full = counted.add(part.column(0).to_pylist(), part.column(1).to_pylist())
+                if full is not None:
+                    yield full
+        last = counted.taken()
+        if last.num_rows:
+            yield last
+    counted = rows.select("text", "lang").mapInArrow(run, COUNTS).groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     return build(((r["lang"], r["cell"], r["n"]) for r in counted.toLocalIterator()))
 
 

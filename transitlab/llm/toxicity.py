@@ -7,16 +7,17 @@ inside a word and common digit-for-letter swaps are folded away first. A Nyströ
 kernel into short vectors; a linear machine on them (squared hinge) collapses into one table of weights by subsequence,
 which is what documents are scored with.
 
-Training: every distinct sentence of the sampled documents counts once, so copies of a document add nothing, and is
+Training: every distinct sentence of all labelled training documents counts once, so copies of a document add nothing, and is
 clean if any clean document has it. Witnesses are words over-represented in sentences of toxic documents (G-squared above
 twice the log of the number of words) that clean sentences hardly hold; a toxic document's sentence with a witness is a
 toxic sentence, the words of clean sentences are clean. Spellings of a witness with one character inserted are added
 with a small weight. After each fit the clean documents' most toxic-looking words are added as hard negatives
 (``HARD_ROUNDS`` times). A document's score is a logistic curve of its highest word value and of how many words the
-machine accepts, fitted on the same documents and weighted back to the labels' proportions.
+machine accepts, fitted on the same documents and weighted back to the labels' proportions; the documents are counted by these two
+measures, value and logarithm rounded to 1 / ``GRID``.
 
-Bound of the training sample: at most about ``MAX_DOCS`` labelled documents of each class, chosen by a hash of doc_id,
-whole texts; the units collected from them are at most ``MAX_UNITS`` by count.
+No labelled document is left out; Spark counts over all of them. The size of the model is bounded: at most ``MAX_UNITS`` witnesses,
+clean words and hard negatives each, the first by what was counted.
 
 Defined results: null and empty texts have no units and get the lowest score the model gives. Without a toxic and a clean
 training document every score is 0. A doc_id labelled both ways counts as toxic. Rows are kept one to one.
@@ -33,7 +34,6 @@ from pyspark.sql import types as T
 
 from . import common
 
-MAX_DOCS = 1500
 MAX_UNITS = 4000
 LANDMARKS = 320
 CLEAN_SHARE = 0.05          # clean sentences that may hold a witness, against toxic ones
@@ -43,6 +43,7 @@ SENTENCE_END = re.compile(r"[.!?\n]+")
 SPAN, DECAY = 7, 0.5
 WINDOW = 24                 # longer words are read through windows of this many characters
 CACHE_WORDS = 150_000
+GRID = 1000                 # steps in 1 of the measures that the curve is fitted to
 LOWEST = -3.0               # value of a text without units
 TOKEN = re.compile(r"[^\s.,;:!?\"()]+")
 SYMBOLS = 64                # letters a-z are 1..26, other characters share 27..61, word ends are 62 and 63
@@ -204,10 +205,10 @@ def fit_machine(positive: dict[str, float], negative: dict[str, float], landmark
     return {"weights": weights, "bias": float(beta[-1]), "curve": (1.0, 0.0, 0.0)}
 
 
-def fit_curve(rows: list[tuple[float, int, int, float]]) -> tuple[float, float, float]:
-    """Logistic curve over (highest value, accepted words) from (highest, accepted, label, weight) rows."""
+def fit_curve(rows: list[tuple[float, float, int, float]]) -> tuple[float, float, float]:
+    """Logistic curve over (highest value, log1p of accepted words) from (highest, logarithm, label, weight) rows."""
     import numpy as np
-    x = np.array([[t, math.log1p(n), 1.0] for t, n, _, _ in rows])
+    x = np.array([[t, n, 1.0] for t, n, _, _ in rows])
     y, w = np.array([float(r[2]) for r in rows]), np.array([r[3] for r in rows])
     w = w / w.sum()
     beta = np.zeros(3)
@@ -223,27 +224,26 @@ def fit_curve(rows: list[tuple[float, int, int, float]]) -> tuple[float, float,
 
 
 UNITS = T.StructType([T.StructField("unit", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("neg", T.LongType())])
-TOPS = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("top", T.DoubleType()),
-                     T.StructField("n", T.LongType()), T.StructField("words", T.ArrayType(T.StringType()))])
+MEASURES = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("top", T.LongType()), T.StructField("accepted", T.LongType()),
+                         T.StructField("n", T.LongType())])
+HARD = T.StructType([T.StructField("unit", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, max_docs: int):
-    """(sample of doc_id, text, toxic as a written table; labelled documents by class)."""
+def training_rows(docs: DataFrame, labels: DataFrame):
+    """(doc_id, text, toxic of every labelled training document as a written table; labelled documents by class)."""
     marked = labels.select("doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IN (0, 1)") \
         .filter(is_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = common.written(marked, "toxic-labels")
     size = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.when(F.col("toxic") == 1, max_docs / max(1, size.get(1, 0))).otherwise(max_docs / max(1, size.get(0, 0)))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    # about 2 x max_docs ids and labels: bounded by the parameter, so they may go to every executor
-    chosen = F.broadcast(marked.filter(place < share))
-    sample = common.written(docs.select("doc_id", "text").filter("text IS NOT NULL").join(chosen, "doc_id"), "toxic-sample")
-    return sample, size
+    # written once: the texts are read by every round of the training
+    rows = common.written(docs.select("doc_id", "text").filter("text IS NOT NULL").join(marked, "doc_id"), "toxic-training")
+    return rows, size
 
 
 SENTENCES = T.StructType([T.StructField("sentence", T.StringType()), T.StructField("toxic", T.IntegerType())])
 
 
-def labelled_sentences(sample: DataFrame) -> DataFrame:
+def labelled_sentences(rows: DataFrame) -> DataFrame:
     """The distinct sentences with the label of their documents (clean if any of these is clean)."""
     def fn(batch):
         found: dict[str, int] = {}
@@ -253,7 +253,7 @@ def labelled_sentences(sample: DataFrame) -> DataFrame:
                 if s:
                     found[s] = min(toxic, found.get(s, 1))
         return common.batch_of(SENTENCES, [list(found), list(found.values())])
-    return common.map_batches(sample, fn, SENTENCES).groupBy("sentence").agg(F.min("toxic").alias("toxic"))
+    return common.map_batches(rows, fn, SENTENCES).groupBy("sentence").agg(F.min("toxic").alias("toxic"))
 
 
 def _unit_counts(sentences: DataFrame) -> DataFrame:
@@ -273,32 +273,47 @@ def variants(word: str) -> set[str]:
     return {word[:k] + x + word[k:] for k in range(1, len(word)) for x in ("x", word[k])}
 
 
-def _tops(sample: DataFrame, model: dict):
-    """Per sampled document: its measures and its most toxic-looking words (at most 5)."""
-    shared = _shared(sample, model)
+def _hard_words(clean: DataFrame, model: dict, known: set[str]) -> list[tuple[str, int]]:
+    """The most toxic-looking words (at most 5 a document) of the clean documents, by how many have them, without ``known`` ones."""
+    shared = _shared(clean, model)
 
     def fn(batch):
         m = _machine(shared.value)
         toks = [tokens(t) for t in common.texts_of(batch)]
-        cols = [batch.column(2).to_pylist(), [], [], []]
+        count: dict[str, int] = {}
         for ts, v in zip(toks, m.values(toks)):
             by_word = sorted(zip(ts, v), key=lambda p: -p[1])
             best = list(dict.fromkeys(unit_of(t) for t, _ in by_word[:20]))[:5]
-            cols[1].append(by_word[0][1] if by_word else LOWEST)
-            cols[2].append(sum(1 for x in v if x > 0))
-            cols[3].append([w for b in best for w in windows(b)[:1]])
-        return common.batch_of(TOPS, cols)
-    return common.map_batches(sample, fn, TOPS).collect()       # bounded by the sample's parameter
+            for w in [w for b in best for w in windows(b)[:1]]:
+                if w not in known:
+                    count[w] = count.get(w, 0) + 1
+        return common.batch_of(HARD, [list(count), list(count.values())])
+    found = common.map_batches(clean, fn, HARD).groupBy("unit").agg(F.sum("n").alias("n"))
+    return [(r["unit"], r["n"]) for r in found.orderBy(F.desc("n"), "unit").limit(MAX_UNITS).collect()]
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> dict | None:
+def _measured(rows: DataFrame, model: dict) -> list:
+    """How many training documents of each class have which measures, in steps of 1 / ``GRID``."""
+    shared = _shared(rows, model)
+
+    def fn(batch):
+        count: dict[tuple, int] = {}
+        for toxic, (top, n) in zip(batch.column(2).to_pylist(), _machine(shared.value).measures(common.texts_of(batch))):
+            key = toxic, round(top * GRID), round(math.log1p(n) * GRID)
+            count[key] = count.get(key, 0) + 1
+        return common.batch_of(MEASURES, [[k[0] for k in count], [k[1] for k in count], [k[2] for k in count], list(count.values())])
+    return common.map_batches(rows, fn, MEASURES).groupBy("toxic", "top", "accepted").agg(F.sum("n").alias("n")) \
+        .orderBy("toxic", "top", "accepted").collect()          # bounded by the steps, not by the documents
+
+
+def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Model from documents and their labels; None without both classes or without any word of evidence."""
-    sample, size = training_sample(docs, labels, max_docs)
-    counts = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows, size = training_rows(docs, labels)
+    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if not n_pos or not n_neg:
         return None
-    sentences = common.written(labelled_sentences(sample), "toxic-sentences")
+    sentences = common.written(labelled_sentences(rows), "toxic-sentences")
     units = common.written(_unit_counts(sentences), "toxic-units")
     by_class = {r["toxic"]: r["n"] for r in sentences.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     s_pos, s_neg = by_class.get(1, 0), by_class.get(0, 0)
@@ -323,16 +338,14 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> dict
     model = None
     for _ in range(1 + HARD_ROUNDS):
         if model is not None:
-            for r in _tops(sample, model):
-                for w in r["words"] if r["toxic"] == 0 else ():
-                    if w not in positive and w not in near:
-                        hard[w] = hard.get(w, 0) + 1
+            for w, k in _hard_words(rows.filter("toxic = 0"), model, positive.keys() | near.keys()):
+                hard[w] = hard.get(w, 0) + k
         worst = sorted(hard, key=lambda w: (-hard[w], w))
         half = LANDMARKS // 4
         landmarks = dict.fromkeys([*list(positive)[:LANDMARKS // 2], *worst[:half], *list(negative)[:half]])
         model = fit_machine(positive | near, negative | {w: HARD_WEIGHT * (1 + math.log(c)) for w, c in hard.items()}, list(landmarks))
     back = {1: size[1] / n_pos, 0: size[0] / n_neg}
-    model["curve"] = fit_curve([(r["top"], r["n"], r["toxic"], back[r["toxic"]]) for r in _tops(sample, model)])
+    model["curve"] = fit_curve([(r["top"] / GRID, r["accepted"] / GRID, r["toxic"], back[r["toxic"]] * r["n"]) for r in _measured(rows, model)])
     return model
 
 
