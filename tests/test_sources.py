@@ -256,3 +256,17 @@ def test_changed_inputs_are_staged_again(spark, tmp_dir):
     assert once() == "run 2"
     spark.range(4).coalesce(1).write.mode("overwrite").parquet(f"{tmp_dir}/events.parquet")
     assert once() == once() == "run 3"
+
+
+def test_feed_messages_are_made_with_one_shuffle(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from transitlab.plans import staging
+    spark.sql("""SELECT id AS event_id, TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, CAST(id AS INT) * 7) AS ts, id % 5 AS user_id, 'view' AS event_type,
+                 id * 0.5D AS value, concat('{"k": ', id % 9, '}') AS props FROM range(600)""").write.parquet(f"{tmp_dir}/events.parquet")
+    msgs = staging._feed_messages(spark, tmp_dir)
+    plan = msgs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange hashpartitioning") == 0
+    # vehicle, update and (every 60th) empty update of each event, at most 256 events a message
+    assert msgs.select(F.sum(F.size("entity")), F.max(F.size("entity"))).first()[0] == 600 + 600 + 10
+    assert msgs.select(F.explode("entity").alias("e")).select("e.id").distinct().count() == 1210
