@@ -14,7 +14,7 @@ toxic sentence, the words of clean sentences are clean. Spellings of a witness w
 with a small weight. After each fit the clean documents' most toxic-looking words are added as hard negatives
 (``HARD_ROUNDS`` times). A document's score is a logistic curve of its highest word value and of how many words the
 machine accepts, fitted on the same documents and weighted back to the labels' proportions; the documents are counted by these two
-measures, value and logarithm rounded to 1 / ``GRID``.
+measures, rounded to 1 / ``GRID`` only if there are more than ``MAX_MEASURES`` different pairs.
 
 No labelled document is left out; Spark counts over all of them. The size of the model is bounded: at most ``MAX_UNITS`` witnesses,
 clean words and hard negatives each, the first by what was counted.
@@ -43,7 +43,7 @@ SENTENCE_END = re.compile(r"[.!?\n]+")
 SPAN, DECAY = 7, 0.5
 WINDOW = 24                 # longer words are read through windows of this many characters
 CACHE_WORDS = 150_000
-GRID = 1000                 # steps in 1 of the measures that the curve is fitted to
+GRID, MAX_MEASURES = 1000, 100_000       # steps in 1 of the measures that the curve is fitted to, if there are more different ones
 LOWEST = -3.0               # value of a text without units
 TOKEN = re.compile(r"[^\s.,;:!?\"()]+")
 SYMBOLS = 64                # letters a-z are 1..26, other characters share 27..61, word ends are 62 and 63
@@ -224,7 +224,7 @@ def fit_curve(rows: list[tuple[float, float, int, float]]) -> tuple[float, float
 
 
 UNITS = T.StructType([T.StructField("unit", T.StringType()), T.StructField("pos", T.LongType()), T.StructField("neg", T.LongType())])
-MEASURES = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("top", T.LongType()), T.StructField("accepted", T.LongType()),
+MEASURES = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField("top", T.DoubleType()), T.StructField("accepted", T.DoubleType()),
                          T.StructField("n", T.LongType())])
 HARD = T.StructType([T.StructField("unit", T.StringType()), T.StructField("n", T.LongType())])
 
@@ -293,17 +293,21 @@ def _hard_words(clean: DataFrame, model: dict, known: set[str]) -> list[tuple[st
 
 
 def _measured(rows: DataFrame, model: dict) -> list:
-    """How many training documents of each class have which measures, in steps of 1 / ``GRID``."""
+    """How many training documents of each class have which measures (highest value, log1p of accepted words); see ``MAX_MEASURES``."""
     shared = _shared(rows, model)
 
     def fn(batch):
         count: dict[tuple, int] = {}
         for toxic, (top, n) in zip(batch.column(2).to_pylist(), _machine(shared.value).measures(common.texts_of(batch))):
-            key = toxic, round(top * GRID), round(math.log1p(n) * GRID)
+            key = toxic, top, math.log1p(n)
             count[key] = count.get(key, 0) + 1
         return common.batch_of(MEASURES, [[k[0] for k in count], [k[1] for k in count], [k[2] for k in count], list(count.values())])
-    return common.map_batches(rows, fn, MEASURES).groupBy("toxic", "top", "accepted").agg(F.sum("n").alias("n")) \
-        .orderBy("toxic", "top", "accepted").collect()          # bounded by the steps, not by the documents
+    found = common.map_batches(rows, fn, MEASURES).groupBy("toxic", "top", "accepted").agg(F.sum("n").alias("n"))
+    found = common.written(found, "toxic-measures")
+    if found.count() > MAX_MEASURES:
+        steps = [(F.round(F.col(c) * GRID) / GRID).alias(c) for c in ("top", "accepted")]
+        found = found.groupBy("toxic", *steps).agg(F.sum("n").alias("n"))
+    return found.orderBy("toxic", "top", "accepted").collect()          # bounded by the steps, not by the documents
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict | None:
@@ -345,7 +349,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
         landmarks = dict.fromkeys([*list(positive)[:LANDMARKS // 2], *worst[:half], *list(negative)[:half]])
         model = fit_machine(positive | near, negative | {w: HARD_WEIGHT * (1 + math.log(c)) for w, c in hard.items()}, list(landmarks))
     back = {1: size[1] / n_pos, 0: size[0] / n_neg}
-    model["curve"] = fit_curve([(r["top"] / GRID, r["accepted"] / GRID, r["toxic"], back[r["toxic"]] * r["n"]) for r in _measured(rows, model)])
+    model["curve"] = fit_curve([(r["top"], r["accepted"], r["toxic"], back[r["toxic"]] * r["n"]) for r in _measured(rows, model)])
     return model
 
 
