@@ -107,3 +107,31 @@ def test_every_labelled_document_is_learned_from(spark, monkeypatch):
     # every document has its weight in the curve
     assert sum(r[3] for r in fitted if r[2] == 0) == want[0] and sum(r[3] for r in fitted if r[2] == 1) == want[1]
     assert model["curve"][0] > 0
+
+
+def test_only_documents_that_are_learned_from_are_shuffled(spark):
+    # the ids' filter lets every labelled document pass, few others, whatever plan the size of the labels would choose
+    docs = spark.range(4000).select("id", F.lit("some words").alias("text")).withColumnRenamed("id", "doc_id")
+    docs = docs.unionByName(docs.limit(50)).unionByName(spark.createDataFrame([(None, "no id")], "doc_id long, text string"))
+    marked = spark.range(0, 4000, 100).withColumnRenamed("id", "doc_id")
+    kept = [r["doc_id"] for r in tx._may_hold(docs, marked).collect()]
+    want = [r["doc_id"] for r in docs.join(marked, "doc_id").collect()]
+    assert set(want) <= set(kept) and len(want) <= len(kept) < 100 and tx._may_hold(docs, marked).columns == docs.columns
+
+
+def test_training_leaves_no_tables(spark, monkeypatch):
+    made, written = [], tx.common.written_at
+    monkeypatch.setattr(tx.common, "written_at", lambda df, path: made.append(path) or written(df, path))
+    assert tx.train(*documents(spark, 120)) is not None
+    assert made and not any(tx.common.os.path.exists(p.removeprefix("file://")) for p in made)
+
+
+def test_words_come_back_from_the_old_generation(monkeypatch):
+    rng = np.random.RandomState(3)
+    model = {"weights": rng.normal(size=tx.SYMBOLS ** 3).astype("float32"), "bias": 0.0, "curve": (1.0, 0.0, 0.0)}
+    lists = [[f"word{i % 70}x{i % 3}" for i in range(k, k + 20)] for k in range(0, 200, 10)]
+    want = tx.Machine(model).values(lists)
+    monkeypatch.setattr(tx, "CACHE_WORDS", 45)
+    small = tx.Machine(model)
+    got = [v for k in range(0, len(lists), 2) for v in small.values(lists[k:k + 2])]
+    assert np.allclose(np.array(got), np.array(want), atol=1e-6) and len(small.value) <= 45 and len(small.old) <= 45

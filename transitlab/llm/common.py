@@ -48,10 +48,13 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
+    return written_at(df, scratch(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """``written`` under a path of the caller's, who removes it when nothing reads it any more."""
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 SLICE_BYTES = 1 << 20

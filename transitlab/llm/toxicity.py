@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove_folder
 from . import common
 
 MAX_UNITS = 4000
@@ -42,7 +43,9 @@ VARIANT_WEIGHT = 0.3
 SENTENCE_END = re.compile(r"[.!?\n]+")
 SPAN, DECAY = 7, 0.5
 WINDOW = 24                 # longer words are read through windows of this many characters
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000        # words in each of the two generations a Python worker remembers
+CHUNK = 512                  # words whose subsequences are weighed at a time
+ID_BITS = 24                 # size of the filter of labelled documents (2 MB of bits, whatever the number of labels)
 GRID, MAX_MEASURES = 1000, 100_000       # steps in 1 of the measures that the curve is fitted to, if there are more different ones
 LOWEST = -3.0               # value of a text without units
 TOKEN = re.compile(r"[^\s.,;:!?\"()]+")
@@ -77,20 +80,28 @@ def triples(n: int):
 
 
 def features(words: list[str]):
-    """(positions, subsequence numbers, weights) for the words of each length; words end in marks of their own."""
+    """(positions, subsequence numbers, weights) for at most ``CHUNK`` words of one length at a time; words end in marks of their own."""
     import numpy as np
     global _CODES
     if _CODES is None:
         _CODES = _codes()
-    by_length: dict[int, list[int]] = {}
-    for at, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(at)
-    for n, where in by_length.items():
-        raw = np.frombuffer("".join(words[a] for a in where).encode("utf-32-le"), dtype="<u4").astype(np.int64)
-        code = np.where(raw < len(_CODES), _CODES[np.minimum(raw, len(_CODES) - 1)], 27 + raw % 35).reshape(len(where), n)
-        code = np.hstack([np.full((len(where), 1), 62), code, np.full((len(where), 1), 63)])
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    order = np.argsort(size, kind="stable")
+    raw = np.frombuffer("".join([words[a] for a in order.tolist()]).encode("utf-32-le"), dtype="<u4")
+    code = np.where(raw < len(_CODES), _CODES[np.minimum(raw, len(_CODES) - 1)], 27 + raw % 35).astype(np.int32)
+    at = first = 0
+    for n, many in zip(*(x.tolist() for x in np.unique(size, return_counts=True))):
         i, j, k, w = triples(n + 2)
-        yield np.array(where), (code[:, i] * SYMBOLS + code[:, j]) * SYMBOLS + code[:, k], w
+        for lo in range(0, many, CHUNK):
+            where = order[first + lo:first + min(many, lo + CHUNK)]
+            one = np.empty((len(where), n + 2), dtype=np.int32)
+            one[:, 0], one[:, 1:-1], one[:, -1] = 62, code[at:at + n * len(where)].reshape(len(where), n), 63
+            at += n * len(where)
+            ids = (one * SYMBOLS ** 2).take(i, axis=1)
+            ids += (one * SYMBOLS).take(j, axis=1)
+            ids += one.take(k, axis=1)
+            yield where, ids, w
+        first += many
 
 
 _CODES = None
@@ -109,8 +120,9 @@ def windows(word: str) -> list[str]:
 def tokens(text: str) -> list[str]:
     """Words of a text, and every run of three or more single characters as one more word."""
     found = TOKEN.findall(text.lower())
-    single = [i for i, t in enumerate(found) if len(t) == 1]
-    if len(single) >= 3:
+    size = list(map(len, found))
+    if size.count(1) >= 3:
+        single = [i for i, n in enumerate(size) if n == 1]
         run: list[int] = []
         for i in [*single, -9]:
             if run and i != run[-1] + 1:
@@ -127,37 +139,57 @@ def is_training(doc_id: Column) -> Column:
 
 
 class Machine:
-    """Weights by subsequence; a word's value is their weighted sum plus the bias. Values of words met are kept."""
+    """Weights by subsequence; a word's value is their weighted sum plus the bias. Values of words met are kept: when full, they become
+    the old generation, from which words still in use come back."""
 
     def __init__(self, model: dict):
-        self.model, self.value = model, {}
+        self.model, self.value, self.old = model, {}, {}
 
-    def values(self, lists: list[list[str]]) -> list[list[float]]:
+    def known(self, lists: list) -> dict[str, float]:
+        """The values of all words of the lists."""
         import numpy as np
-        new = list(set().union(*lists) - self.value.keys())
+        words = set().union(*lists)
+        new = words.difference(self.value)
         if len(self.value) + len(new) > CACHE_WORDS:
-            self.value.clear()
-            new = list(set().union(*lists))
+            self.old, self.value, new = self.value, {}, words
+        if self.old:
+            found = new & self.old.keys()
+            self.value.update(zip(found, map(self.old.__getitem__, found)))
+            new = new - found
+        new = list(new)
         parts, owner = [], []
         for i, t in enumerate(new):
-            for w in windows(unit_of(t)):
-                parts.append(w)
-                owner.append(i)
+            u = unit_of(t)
+            if len(u) <= WINDOW:
+                if u:
+                    parts.append(u)
+                    owner.append(i)
+            else:
+                for w in windows(u):
+                    parts.append(w)
+                    owner.append(i)
         best = np.full(len(new), LOWEST)
         got = np.zeros(len(parts))
         for where, ids, w in features(parts):
-            for lo in range(0, len(where), 4096):
-                got[where[lo:lo + 4096]] = self.model["weights"][ids[lo:lo + 4096]] @ w
+            got[where] = self.model["weights"].take(ids) @ w
         if parts:
             np.maximum.at(best, np.array(owner), got + self.model["bias"])
         self.value.update(zip(new, best.tolist()))
-        return [list(map(self.value.__getitem__, t)) for t in lists]
+        # a table of its own: the batch's words are looked up there many times
+        return dict(zip(words, map(self.value.__getitem__, words)))
+
+    def values(self, lists: list[list[str]]) -> list[list[float]]:
+        value = self.known(lists).__getitem__
+        return [list(map(value, t)) for t in lists]
 
     def measures(self, texts: list[str]):
         """Per text: highest word value, and how many words the machine accepts."""
-        for v in self.values([tokens(t) for t in texts]):
-            top = max(v, default=LOWEST)
-            yield top, (sum(1 for x in v if x > 0) if top > 0 else 0)
+        lists = [tokens(t) for t in texts]
+        different = list(map(set, lists))
+        value = self.known(different).__getitem__
+        for t, words in zip(lists, different):
+            top = max(map(value, words), default=LOWEST)
+            yield top, (sum(1 for x in map(value, t) if x > 0) if top > 0 else 0)
 
     def scores(self, texts: list[str]) -> list[float]:
         a, c, b = self.model["curve"]
@@ -229,14 +261,26 @@ MEASURES = T.StructType([T.StructField("toxic", T.IntegerType()), T.StructField(
 HARD = T.StructType([T.StructField("unit", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame):
-    """(doc_id, text, toxic of every labelled training document as a written table; labelled documents by class)."""
+def _may_hold(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id may be in ``marked`` (all that are, few others): a filter of ``2^ID_BITS`` bits by a hash of the id, at
+    most ``2^(ID_BITS - 6)`` rows of 64 bits however many ids there are. An exact join follows."""
+    place = F.shiftright(F.xxhash64("doc_id"), 64 - ID_BITS).cast("int")
+    bit = F.expr("shiftleft(1L, _at & 63)")
+    bits = marked.select(place.alias("_at")).groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    return docs.withColumn("_at", place).withColumn("_word", F.shiftright("_at", 6)).join(F.broadcast(bits), "_word") \
+        .filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits", "_at")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, root: str | None = None):
+    """(doc_id, text, toxic of every labelled training document as a written table under ``root``; labelled documents by class)."""
+    root = root or common.scratch(docs.sparkSession, "toxic")
     marked = labels.select("doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IN (0, 1)") \
         .filter(is_training(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    marked = common.written(marked, "toxic-labels")
+    marked = common.written_at(marked, f"{root}/labels")
     size = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # written once: the texts are read by every round of the training
-    rows = common.written(docs.select("doc_id", "text").filter("text IS NOT NULL").join(marked, "doc_id"), "toxic-training")
+    texts = _may_hold(docs.select("doc_id", "text").filter("text IS NOT NULL").filter(is_training(F.col("doc_id"))), marked)
+    # written once: the texts are read by every round of the training. Only texts that are learned from are dealt by doc_id, and not sorted
+    rows = common.written_at(texts.join(marked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "toxic"), f"{root}/training")
     return rows, size
 
 
@@ -257,9 +301,11 @@ def labelled_sentences(rows: DataFrame) -> DataFrame:
 
 
 def _unit_counts(sentences: DataFrame) -> DataFrame:
+    """In how many toxic and clean sentences each unit is; the row without a unit counts the sentences."""
     def fn(batch):
-        count: dict[str, list[int]] = {}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        labels = batch.column(1).to_pylist()
+        count: dict[str | None, list[int]] = {None: [sum(labels), len(labels) - sum(labels)]}
+        for text, toxic in zip(batch.column(0).to_pylist(), labels):
             for u in {w for t in tokens(text) for w in windows(unit_of(t))}:
                 count.setdefault(u, [0, 0])[0 if toxic else 1] += 1
         return common.batch_of(UNITS, [list(count), [c[0] for c in count.values()], [c[1] for c in count.values()]])
@@ -282,7 +328,8 @@ def _hard_words(clean: DataFrame, model: dict, known: set[str]) -> list[tuple[st
         toks = [tokens(t) for t in common.texts_of(batch)]
         count: dict[str, int] = {}
         for ts, v in zip(toks, m.values(toks)):
-            by_word = sorted(zip(ts, v), key=lambda p: -p[1])
+            least = sorted(v)[-20:][:1]           # the twentieth highest value; ties go by place
+            by_word = sorted([p for p in zip(ts, v) if p[1] >= least[0]], key=lambda p: -p[1])
             best = list(dict.fromkeys(unit_of(t) for t, _ in by_word[:20]))[:5]
             for w in [w for b in best for w in windows(b)[:1]]:
                 if w not in known:
@@ -292,7 +339,7 @@ def _hard_words(clean: DataFrame, model: dict, known: set[str]) -> list[tuple[st
     return [(r["unit"], r["n"]) for r in found.orderBy(F.desc("n"), "unit").limit(MAX_UNITS).collect()]
 
 
-def _measured(rows: DataFrame, model: dict) -> list:
+def _measured(rows: DataFrame, model: dict, root: str) -> list:
     """How many training documents of each class have which measures (highest value, log1p of accepted words); see ``MAX_MEASURES``."""
     shared = _shared(rows, model)
 
@@ -303,7 +350,7 @@ def _measured(rows: DataFrame, model: dict) -> list:
             count[key] = count.get(key, 0) + 1
         return common.batch_of(MEASURES, [[k[0] for k in count], [k[1] for k in count], [k[2] for k in count], list(count.values())])
     found = common.map_batches(rows, fn, MEASURES).groupBy("toxic", "top", "accepted").agg(F.sum("n").alias("n"))
-    found = common.written(found, "toxic-measures")
+    found = common.written_at(found, f"{root}/measures")
     if found.count() > MAX_MEASURES:
         steps = [(F.round(F.col(c) * GRID) / GRID).alias(c) for c in ("top", "accepted")]
         found = found.groupBy("toxic", *steps).agg(F.sum("n").alias("n"))
@@ -311,16 +358,25 @@ def _measured(rows: DataFrame, model: dict) -> list:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """Model from documents and their labels; None without both classes or without any word of evidence."""
-    rows, size = training_rows(docs, labels)
+    """Model from documents and their labels; None without both classes or without any word of evidence. Its tables go when it is made."""
+    root = common.scratch(docs.sparkSession, "toxic")
+    try:
+        return _train(docs, labels, root)
+    finally:
+        remove_folder(docs.sparkSession, root)
+
+
+def _train(docs: DataFrame, labels: DataFrame, root: str) -> dict | None:
+    rows, size = training_rows(docs, labels, root)
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if not n_pos or not n_neg:
         return None
-    sentences = common.written(labelled_sentences(rows), "toxic-sentences")
-    units = common.written(_unit_counts(sentences), "toxic-units")
-    by_class = {r["toxic"]: r["n"] for r in sentences.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    s_pos, s_neg = by_class.get(1, 0), by_class.get(0, 0)
+    # the distinct sentences are counted behind their shuffle, not written
+    units = common.written_at(_unit_counts(labelled_sentences(rows)), f"{root}/units")
+    total = units.filter("unit IS NULL").first()
+    s_pos, s_neg = (total["pos"], total["neg"]) if total else (0, 0)
+    units = units.filter("unit IS NOT NULL")
     k, n = F.col("pos") + F.col("neg"), float(s_pos + s_neg)
 
     def part(seen, expected):
@@ -349,7 +405,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
         landmarks = dict.fromkeys([*list(positive)[:LANDMARKS // 2], *worst[:half], *list(negative)[:half]])
         model = fit_machine(positive | near, negative | {w: HARD_WEIGHT * (1 + math.log(c)) for w, c in hard.items()}, list(landmarks))
     back = {1: size[1] / n_pos, 0: size[0] / n_neg}
-    model["curve"] = fit_curve([(r["top"], r["accepted"], r["toxic"], back[r["toxic"]] * r["n"]) for r in _measured(rows, model)])
+    model["curve"] = fit_curve([(r["top"], r["accepted"], r["toxic"], back[r["toxic"]] * r["n"]) for r in _measured(rows, model, root)])
     return model
 
 
