@@ -92,3 +92,34 @@ def test_saved_and_loaded_scores_are_equal(spark, tmp_dir):
     scores = [sorted(r.prediction for r in model.predict(m, df).collect()) for m in (fitted, loaded)]
     assert scores[0] == scores[1] and len(set(scores[0])) > 5
     assert model.feature_importance(spark, loaded, ["a", "b", "c"]).first().importance > 0.2
+
+
+def test_histograms_are_summed_in_the_tasks(spark):
+    rows = [([i % 5, i % 3], float(1 + i % 2), float(i % 7), 0.25 * i) for i in range(60)]
+    cells = spark.createDataFrame(rows, "bins array<int>, n double, total double, pred double").repartition(2)
+    first = boosting.Tree({1: 0}, {1: 2}, {}, {1: 0.0, 2: 1.0, 3: -1.0}, {})
+    done = [boosting.Paths(first, 1, 0.5)]
+    grown = boosting.Tree({1: 1}, {1: 0})
+    want = {}
+    for b, n, total, pred in rows:
+        p = pred + 2.0 + 0.5 * (1.0 if b[0] <= 2 else -1.0)
+        for f in (0, 1):
+            g, h = want.get((2 + (b[1] > 0), f, b[f]), (0.0, 0.0))
+            want[2 + (b[1] > 0), f, b[f]] = g + n * p - total, h + n
+    got = {(k, f, b): (g, h) for k, f, b, g, h in zip(*boosting.histograms(cells, grown, 1, 2.0, done))}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+    assert sorted(r.pred for r in boosting.with_trees(cells, 2.0, done).collect()) == pytest.approx(
+        sorted(p + 2.0 + 0.5 * (1.0 if b[0] <= 2 else -1.0) for b, _, _, p in rows))
+
+
+def test_predictions_are_written_every_few_rounds(spark, monkeypatch):
+    removed, remove = [], boosting.remove_folder
+    monkeypatch.setattr(boosting, "remove_folder", lambda s, p: removed.append(p) or remove(s, p))
+    rows = made(80, 5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    edges = boosting.bin_edges(df, ["a", "b", "c"])
+    fitted = boosting.fit_boosted(df, ["a", "b", "c"], "y", rounds=11, rate=0.3, depth=2)
+    assert len(removed) == 2          # after the eighth round, and at the end
+    got = {tuple(r[:4]): r.prediction for r in model.predict(fitted, df).collect()}
+    want = plain([r[:3] for r in rows], [r[3] for r in rows], edges, 11, 0.3, 2)
+    assert all(abs(got[r] - p) < 1e-8 for r, p in zip(rows, want))
