@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ts
 from transitlab.functions.timefuncs import time_of_day
@@ -152,3 +153,22 @@ def test_exact_split_with_many_identical_rows(spark):
     assert test.count() == 20 and train.count() == 80
     both = sorted(train.union(test).collect())
     assert both == sorted(df.collect())
+
+
+def test_training_reads_its_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    rows = spark.range(200).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("delay_minutes"))
+    df = rows.mapInArrow(count, rows.schema)
+    done = model.train_and_evaluate(spark, df, ["a"], n_estimators=2, max_depth=2)
+    assert done["metrics"]["test_samples"] == 40 and read.value == 200
+    assert not df.storageLevel.useMemory
+    # what the caller keeps stays kept
+    kept = rows.persist()
+    model.train_and_evaluate(spark, kept, ["a"], n_estimators=2, max_depth=2)
+    assert kept.storageLevel.useMemory
+    kept.unpersist()
