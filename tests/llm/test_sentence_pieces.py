@@ -75,6 +75,58 @@ def test_digests_of_parts_equal_those_of_whole_texts():
         assert numbers == " ".join(map(str, ids)) and back == m.decode(ids) == m.lib.decode(ids)
 
 
+def test_the_table_holds_ids_alone_whose_numbers_are_shared():
+    """Every part that a worker remembers costs one tuple; its numbers are the same objects in all parts."""
+    m = sp.PieceModel(PATH)
+    first, second = m.parts(["some thousand words"])[0], m.parts(["words, some thousand"])[0]
+    assert all(isinstance(i, int) for ids in first + second for i in ids)
+    numbers = {i: i for ids in m.cache.values() for i in ids}
+    assert len(m.cache) > 3 and all(numbers[i] is i for ids in m.cache.values() for i in ids)
+
+
+def test_parts_already_known_are_looked_up_once(monkeypatch):
+    m = sp.PieceModel(PATH)
+    m.parts(["one two three"])
+    asked = []
+    monkeypatch.setattr(m.cache, "entries", lambda parts: asked.append(sorted(parts)) or m.entries(parts))
+    texts = ["one two three", "three four one", "", "four"]
+    assert list(map(m.ids_of, m.parts(texts))) == m.lib.encode(texts, add_eos=True)
+    assert asked == [["▁four"]]
+
+
+def test_every_pair_of_the_vocabulary_has_its_slot():
+    import numpy as np
+    m = sp.model(PATH)
+    pairs = {}
+    for p, i in m.ids.items():
+        for k in range(1, len(p)):
+            a, b = (m.ids.get(x, ord(x) + sp.SIGNS if len(x) == 1 else None) for x in (p[:k], p[k:]))
+            if a is not None and b is not None:
+                pairs[a, b] = i
+    left, right = np.array(list(pairs), dtype=np.int32).T
+    at = m._slots(left, right)
+    assert m.joined[at].tolist() == list(pairs.values()) and (m.place[at] < sp.NONE).all()
+    none = m._slots(right, left)
+    assert [k < sp.NONE for k in m.place[none].tolist()] == [(b, a) in pairs for a, b in pairs]
+    assert (m.place[m._slots(left, np.full(len(left), sp.PAD))] == sp.NONE).all()
+
+
+def test_bytes_decode_alone_in_runs_and_beside_silent_ids():
+    m = sp.model(PATH)
+    b = m.byte_ids
+    for ids in ([b[0xC3], b[0xA9]], [b[0xC3], m.end, b[0xA9]], [b[0xC3], b[10], b[0xA9]], [b[10], b[0xE6], b[0x97], b[0xA5], b[0xFF], m.end],
+                [m.end, b[0xC3], b[0xA9]], [b[0xC3], m.unk, b[0xA9], m.end]):
+        assert m.decode(ids) == m.lib.decode(ids)
+
+
+def test_lengths_of_all_rows_agree_with_the_heap():
+    m = sp.model(PATH)
+    rnd = random.Random(6)
+    parts = ["▁" + "".join(rnd.choice("aehnrst\n日é🎉.\x00\u0378") for _ in range(n)) for n in range(0, 70) for _ in range(6)]
+    assert [e[0] for e in m.entries(parts)] == [m.merge(p) for p in parts]
+    assert m.entries([]) == []
+
+
 def test_a_wrong_part_is_told(spark, monkeypatch):
     right = sp.PieceModel.merge_all
     monkeypatch.setattr(sp.PieceModel, "merge_all",
